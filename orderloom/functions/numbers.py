@@ -10,8 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed column types. Totals use the natural type of a sum of decimal(12,2)
-# values: it holds the same numbers as a narrower decimal would, and does not
-# overflow to NULL when one key owns a large share of a very large table.
+# values, and averages over orders or days a wide one: they hold the same numbers
+# as narrower decimals would, and do not overflow to NULL when one key owns a
+# large share of a very large table.
 PRICE = "decimal(10,2)"
 LINE_MONEY = "decimal(12,2)"
 TOTAL = "decimal(22,2)"

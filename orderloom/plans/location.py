@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.context import cut_lineage
-from orderloom.functions.numbers import AVERAGE, count_ratio, mean_of, pct_change, percent, ratio, total
+from orderloom.functions.numbers import (
+    AVERAGE,
+    WIDE_AVERAGE,
+    count_ratio,
+    mean_of,
+    pct_change,
+    percent,
+    ratio,
+    total,
+)
 from orderloom.functions.rules import PERFORMANCE_TIER_OTHERWISE, PERFORMANCE_TIERS, first_match
 from orderloom.operators.ranking import By, global_rank
 from orderloom.schemas import GOLD_BUSINESS, conform
@@ -47,8 +56,8 @@ def location_performance(facts: DataFrame, items: DataFrame) -> DataFrame:
     )
     overall = orders.join(menu, F.col("restaurant_id").eqNullSafe(F.col("menu_restaurant"))).withColumns(
         {
-            "avg_order_value": ratio(F.col("total_gross_revenue"), F.col("total_orders"), AVERAGE),
-            "avg_daily_revenue": ratio(F.col("total_gross_revenue"), F.col("active_days"), AVERAGE),
+            "avg_order_value": ratio(F.col("total_gross_revenue"), F.col("total_orders"), WIDE_AVERAGE),
+            "avg_daily_revenue": ratio(F.col("total_gross_revenue"), F.col("active_days"), WIDE_AVERAGE),
             "loyalty_rate": percent(F.col("loyalty_customers"), F.col("unique_customers"), "decimal(5,2)"),
             "items_per_order": count_ratio(
                 F.col("total_line_items"), F.col("total_orders"), "decimal(5,2)"

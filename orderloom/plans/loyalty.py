@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.context import cut_lineage
-from orderloom.functions.numbers import AVERAGE, WIDE_AVERAGE, count_mean, mean, ratio, total
+from orderloom.functions.numbers import WIDE_AVERAGE, count_mean, mean, ratio, total
 from orderloom.functions.rules import loyalty_label
 from orderloom.operators.ranking import group_medians
 from orderloom.schemas import GOLD_BUSINESS, conform
@@ -29,7 +29,7 @@ def customer_profiles(priced: DataFrame, reference: Column) -> DataFrame:
             {
                 "days_as_customer": F.datediff("last_order_date", "first_order_date"),
                 "days_since_last_order": F.datediff(reference, "last_order_date"),
-                "avg_order_value": ratio(F.col("total_net_revenue"), F.col("total_orders"), AVERAGE),
+                "avg_order_value": ratio(F.col("total_net_revenue"), F.col("total_orders"), WIDE_AVERAGE),
             }
         )
     )

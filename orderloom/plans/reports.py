@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.numbers import TOTAL, count_mean, money_mean, total
+from orderloom.functions.numbers import TOTAL, WIDE_AVERAGE, count_mean, money_mean, total
 
 CUSTOMERS = F.count(F.lit(1)).alias("customers")
 
@@ -442,7 +442,7 @@ def discount_kpis(summary: DataFrame) -> DataFrame:
 def clv_band_range(clv: DataFrame) -> DataFrame:
     bands = clv.groupBy("clv_band").agg(
         CUSTOMERS,
-        F.avg("total_net_revenue").try_cast("decimal(10,2)").alias("avg_net_revenue"),
+        F.avg("total_net_revenue").try_cast(WIDE_AVERAGE).alias("avg_net_revenue"),
         F.min("total_net_revenue").alias("min_revenue"),
         F.max("total_net_revenue").alias("max_revenue"),
     )

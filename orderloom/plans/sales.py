@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.numbers import AVERAGE, mean_of, ratio, total
+from orderloom.functions.numbers import AVERAGE, WIDE_AVERAGE, mean_of, ratio, total
 from orderloom.schemas import GOLD_BUSINESS, conform
 
 
 def _with_order_value(df: DataFrame) -> DataFrame:
-    return df.withColumn("avg_order_value", ratio(F.col("gross_revenue"), F.col("total_orders"), AVERAGE))
+    return df.withColumn("avg_order_value", ratio(F.col("gross_revenue"), F.col("total_orders"), WIDE_AVERAGE))
 
 
 def _with_calendar(df: DataFrame, calendar: DataFrame, *attributes: str) -> DataFrame:

@@ -82,25 +82,25 @@ GOLD_BUSINESS = {
         is_holiday boolean, holiday_name string, total_orders bigint, total_line_items bigint,
         gross_revenue decimal(22,2), unique_customers bigint, avg_item_revenue decimal(10,2),
         loyalty_revenue decimal(22,2), non_loyalty_revenue decimal(22,2),
-        avg_order_value decimal(10,2), year int, month int"""
+        avg_order_value decimal(16,2), year int, month int"""
     ),
     "sales_trends_weekly": _columns(
         """year int, week int, restaurant_id id, total_orders bigint,
         gross_revenue decimal(22,2), unique_customers bigint, avg_item_revenue decimal(10,2),
-        week_start_date date, week_end_date date, avg_order_value decimal(10,2)"""
+        week_start_date date, week_end_date date, avg_order_value decimal(16,2)"""
     ),
     "sales_trends_monthly": _columns(
         """year int, month int, restaurant_id id, total_orders bigint,
         gross_revenue decimal(22,2), unique_customers bigint, avg_item_revenue decimal(10,2),
         loyalty_customers bigint, non_loyalty_customers bigint, holiday_revenue decimal(22,2),
-        avg_order_value decimal(10,2)"""
+        avg_order_value decimal(16,2)"""
     ),
     "location_performance": _columns(
         """restaurant_id id, total_gross_revenue decimal(22,2), avg_item_revenue decimal(10,2),
         total_orders bigint, total_line_items bigint, unique_customers bigint,
         loyalty_customers bigint, first_order_date date, last_order_date date,
         active_days bigint, unique_categories bigint, unique_items bigint,
-        avg_order_value decimal(10,2), avg_daily_revenue decimal(10,2),
+        avg_order_value decimal(16,2), avg_daily_revenue decimal(16,2),
         loyalty_rate decimal(5,2), items_per_order decimal(5,2), revenue_rank int,
         orders_rank int, aov_rank int, performance_tier string"""
     ),
