@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.numbers import TOTAL, WIDE_AVERAGE, count_mean, money_mean, total
 
-CUSTOMERS = F.count(F.lit(1)).alias("customers")
+
+def _customers() -> Column:
+    return F.count(F.lit(1)).alias("customers")
 
 
 def _desc(value: str, *keys: str) -> list[Column]:
@@ -37,17 +39,17 @@ def total_net_revenue(clv: DataFrame) -> DataFrame:
 
 def clv_band_overview(clv: DataFrame) -> DataFrame:
     bands = clv.groupBy("clv_band").agg(
-        CUSTOMERS, money_mean(F.col("total_net_revenue")).alias("avg_revenue")
+        _customers(), money_mean(F.col("total_net_revenue")).alias("avg_revenue")
     )
     return bands.orderBy("clv_band")
 
 
 def rfm_segment_counts(rfm: DataFrame) -> DataFrame:
-    return rfm.groupBy("segment").agg(CUSTOMERS).orderBy(*_desc("customers", "segment"))
+    return rfm.groupBy("segment").agg(_customers()).orderBy(*_desc("customers", "segment"))
 
 
 def risk_tag_counts(churn: DataFrame) -> DataFrame:
-    counts = churn.groupBy("overall_risk_tag").agg(CUSTOMERS)
+    counts = churn.groupBy("overall_risk_tag").agg(_customers())
     return counts.orderBy(*_desc("customers", "overall_risk_tag"))
 
 
@@ -65,7 +67,7 @@ def overview_kpis(clv: DataFrame, churn: DataFrame) -> DataFrame:
 
 def clv_bands(clv: DataFrame) -> DataFrame:
     bands = clv.groupBy("clv_band").agg(
-        CUSTOMERS,
+        _customers(),
         money_mean(F.col("total_net_revenue")).alias("avg_revenue"),
         count_mean(F.col("total_orders"), 1).alias("avg_orders"),
         count_mean(F.col("days_as_customer"), 0).alias("avg_lifespan_days"),
@@ -91,7 +93,7 @@ def top_customers(clv: DataFrame, k: int = 20) -> DataFrame:
 
 def rfm_segments(rfm: DataFrame) -> DataFrame:
     segments = rfm.groupBy("segment").agg(
-        CUSTOMERS,
+        _customers(),
         money_mean(F.col("monetary")).alias("avg_spend"),
         count_mean(F.col("frequency"), 1).alias("avg_orders"),
         count_mean(F.col("recency_days"), 0).alias("avg_recency_days"),
@@ -101,7 +103,7 @@ def rfm_segments(rfm: DataFrame) -> DataFrame:
 
 def loyalty_clv(clv: DataFrame) -> DataFrame:
     by_loyalty = clv.groupBy(F.col("is_loyalty_member").alias("is_loyalty")).agg(
-        CUSTOMERS,
+        _customers(),
         money_mean(F.col("total_net_revenue")).alias("avg_clv"),
         count_mean(F.col("total_orders"), 1).alias("avg_orders"),
     )
@@ -126,7 +128,7 @@ def customer_kpis(clv: DataFrame) -> DataFrame:
 
 def risk_tags(churn: DataFrame) -> DataFrame:
     tags = churn.groupBy("overall_risk_tag").agg(
-        CUSTOMERS,
+        _customers(),
         count_mean(F.col("days_since_last_order"), 0).alias("avg_days_inactive"),
         money_mean(F.col("total_revenue")).alias("avg_revenue"),
     )
@@ -137,26 +139,26 @@ def spend_trends(churn: DataFrame) -> DataFrame:
     trends = (
         churn.filter(F.col("pct_spend_change_p1_vs_p2").isNotNull())
         .groupBy("spend_trend")
-        .agg(CUSTOMERS, money_mean(F.col("pct_spend_change_p1_vs_p2"), 1).alias("avg_pct_change"))
+        .agg(_customers(), money_mean(F.col("pct_spend_change_p1_vs_p2"), 1).alias("avg_pct_change"))
     )
     return trends.orderBy(*_desc("customers", "spend_trend"))
 
 
 def spend_trend_counts(churn: DataFrame) -> DataFrame:
-    counts = churn.groupBy("spend_trend").agg(CUSTOMERS)
+    counts = churn.groupBy("spend_trend").agg(_customers())
     return counts.orderBy(*_desc("customers", "spend_trend"))
 
 
 def risk_levels(churn: DataFrame) -> DataFrame:
     levels = churn.groupBy("churn_risk_level").agg(
-        CUSTOMERS, count_mean(F.col("days_since_last_order"), 0).alias("avg_days")
+        _customers(), count_mean(F.col("days_since_last_order"), 0).alias("avg_days")
     )
     return levels.orderBy(*_desc("customers", "churn_risk_level"))
 
 
 def risk_level_revenue(churn: DataFrame) -> DataFrame:
     levels = churn.groupBy("churn_risk_level").agg(
-        CUSTOMERS,
+        _customers(),
         count_mean(F.col("days_since_last_order"), 0).alias("avg_days_inactive"),
         money_mean(F.col("total_revenue")).alias("avg_lifetime_revenue"),
     )
@@ -418,7 +420,7 @@ def top_discount_categories(by_category: DataFrame, k: int = 5) -> DataFrame:
 
 def discount_segments(customers: DataFrame) -> DataFrame:
     segments = customers.groupBy("discount_seeker_segment").agg(
-        CUSTOMERS,
+        _customers(),
         money_mean(F.col("total_net_spend")).alias("avg_spend"),
         money_mean(F.col("discount_usage_rate"), 1).alias("avg_discount_rate"),
         money_mean(F.col("total_discounts_received")).alias("avg_discounts_received"),
@@ -441,7 +443,7 @@ def discount_kpis(summary: DataFrame) -> DataFrame:
 
 def clv_band_range(clv: DataFrame) -> DataFrame:
     bands = clv.groupBy("clv_band").agg(
-        CUSTOMERS,
+        _customers(),
         F.avg("total_net_revenue").try_cast(WIDE_AVERAGE).alias("avg_net_revenue"),
         F.min("total_net_revenue").alias("min_revenue"),
         F.max("total_net_revenue").alias("max_revenue"),
@@ -454,7 +456,7 @@ def churn_risk_count(clv: DataFrame) -> DataFrame:
 
 
 def rf_grid(rfm: DataFrame) -> DataFrame:
-    grid = rfm.groupBy("r_score", "f_score").agg(CUSTOMERS)
+    grid = rfm.groupBy("r_score", "f_score").agg(_customers())
     return grid.orderBy("r_score", "f_score")
 
 

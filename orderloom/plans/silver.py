@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.numbers import LINE_MONEY, PRICE
 from orderloom.operators import quality
 from orderloom.operators.dedup import latest_per_key
 
-# Records of one load share their ingestion time, so later columns break ties.
-ITEM_ORDER = (
-    F.col("ingestion_ts").desc(),
-    F.col("creation_time_utc").desc(),
-    *map(F.col, ("order_id", "user_id", "restaurant_id", "item_price", "item_quantity")),
-    *map(F.col, ("is_loyalty", "item_name", "item_category", "app_name", "printed_card_number", "currency")),
-)
-OPTION_ORDER = (
-    F.col("ingestion_ts").desc(),
-    *map(F.col, ("order_id", "option_price", "option_quantity")),
+# Records of one load share their ingestion time, so the other columns break ties.
+ITEM_NEWEST = ("ingestion_ts",)
+ITEM_TIES = (
+    *("creation_time_utc", "order_id", "user_id", "restaurant_id", "item_price", "item_quantity"),
+    *("is_loyalty", "item_name", "item_category", "app_name", "printed_card_number", "currency"),
 )
+OPTION_NEWEST = ("ingestion_ts",)
+OPTION_TIES = ("order_id", "option_price", "option_quantity")
 
 
 def _cast(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
@@ -47,10 +44,10 @@ def typed_order_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def order_items(raw: DataFrame, order: Sequence[Column] = ITEM_ORDER) -> DataFrame:
+def order_items(raw: DataFrame, ties: Sequence[str] = ITEM_TIES) -> DataFrame:
     """One row per line item, the latest record, with quality flag and eligibility."""
     latest = latest_per_key(
-        quality.kept(typed_order_items(raw), quality.ORDER_ITEM_RULES), ["lineitem_id"], order
+        quality.kept(typed_order_items(raw), quality.ORDER_ITEM_RULES), ["lineitem_id"], ITEM_NEWEST, ties
     )
     return (
         quality.with_flags(latest, quality.ORDER_ITEM_RULES)
@@ -80,12 +77,13 @@ def typed_options(raw: DataFrame) -> DataFrame:
     return typed.withColumn("is_discount", F.coalesce(F.col("option_price") < 0, F.lit(False)))
 
 
-def order_item_options(raw: DataFrame, order: Sequence[Column] = OPTION_ORDER) -> DataFrame:
+def order_item_options(raw: DataFrame, ties: Sequence[str] = OPTION_TIES) -> DataFrame:
     """One row per (line item, option group, option), the latest record."""
     latest = latest_per_key(
         quality.kept(typed_options(raw), quality.OPTION_RULES),
         ["lineitem_id", "option_group_name", "option_name"],
-        order,
+        OPTION_NEWEST,
+        ties,
     )
     return quality.with_flags(latest, quality.OPTION_RULES).select(
         *("order_id", "lineitem_id", "option_group_name", "option_name"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +23,8 @@ class Watermarks:
     path: str
 
     def get(self, table: str) -> datetime | None:
-        try:
-            marks = self.spark.read.schema(SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        self.spark.createDataFrame([], SCHEMA).write.mode("ignore").parquet(self.path)
+        marks = self.spark.read.schema(SCHEMA).parquet(self.path)
         return marks.filter(F.col("table_name") == table).agg(F.max("last_loaded_ts")).first()[0]
 
     def advance(self, table: str, mark: datetime) -> None:

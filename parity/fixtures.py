@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from orderloom.operators.order_facts import order_facts, priced_items
 from orderloom.plans import silver
 
-ITEM_ORDER = (F.col("ingestion_ts").desc(), *map(F.col, ("tie", "item_price", "item_quantity")))
-OPTION_ORDER = (F.col("ingestion_ts").desc(), *map(F.col, ("tie", "option_price")))
+ITEM_TIES = ("tie", "item_price", "item_quantity")
+OPTION_TIES = ("tie", "option_price")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,32 +53,33 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A discount on a third of the orders' lines and a paid side on every other line.
-
-    Both kinds come from one pass over the lines.
-    """
-    discount = """CAST(-(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_discount AS DECIMAL(3,2)))
-                       AS DECIMAL(10,2))"""
-    side = "CAST(CAST(l_tax AS DECIMAL(3,2)) * 100 AS DECIMAL(10,2))"
-    chosen = F.expr(
-        f"""filter(array(
-            named_struct('wanted', l_orderkey % 3 = 0 AND l_discount > 0,
-                'option_group_name', IF(l_partkey % 53 = 0, NULL, 'PROMO'),
-                'option_name', IF(l_partkey % 59 = 0, NULL, 'discount'),
-                'option_price', IF(l_partkey % 61 = 0, NULL, {discount})),
-            named_struct('wanted', l_linenumber % 2 = 0,
-                'option_group_name', 'SIDE', 'option_name', 'extra', 'option_price', {side})
-        ), option -> option.wanted)"""
-    )
-    exploded = _table(spark, sf_dir, "lineitem").withColumn("option", F.explode(chosen))
-    return exploded.select(
+    """A discount on a third of the orders' lines and a paid side on every other line."""
+    lines = _table(spark, sf_dir, "lineitem")
+    price, rate = "CAST(l_extendedprice AS DECIMAL(10,2))", "CAST(l_discount AS DECIMAL(3,2))"
+    keys = (
         _unless("l_partkey % 500 = 13", "l_orderkey").alias("order_id"),
         _unless("l_partkey % 500 = 7", "l_orderkey * 10 + l_linenumber").alias("lineitem_id"),
-        *(F.col(f"option.{name}") for name in ("option_group_name", "option_name", "option_price")),
+    )
+    origin = (
         F.lit(1).alias("option_quantity"),
         F.col("l_shipdate").alias("ingestion_ts"),
         F.col("l_partkey").alias("tie"),
     )
+    discounts = lines.filter("l_orderkey % 3 = 0 AND l_discount > 0").select(
+        *keys,
+        _unless("l_partkey % 53 = 0", "'PROMO'").alias("option_group_name"),
+        _unless("l_partkey % 59 = 0", "'discount'").alias("option_name"),
+        _unless("l_partkey % 61 = 0", f"CAST(-({price} * {rate}) AS DECIMAL(10,2))").alias("option_price"),
+        *origin,
+    )
+    sides = lines.filter("l_linenumber % 2 = 0").select(
+        *keys,
+        F.lit("SIDE").alias("option_group_name"),
+        F.lit("extra").alias("option_name"),
+        F.expr("CAST(CAST(l_tax AS DECIMAL(3,2)) * 100 AS DECIMAL(10,2))").alias("option_price"),
+        *origin,
+    )
+    return discounts.unionByName(sides)
 
 
 def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,11 +108,11 @@ def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.order_items(raw_order_items(spark, sf_dir), ITEM_ORDER)
+    return silver.order_items(raw_order_items(spark, sf_dir), ITEM_TIES)
 
 
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.order_item_options(raw_options(spark, sf_dir), OPTION_ORDER)
+    return silver.order_item_options(raw_options(spark, sf_dir), OPTION_TIES)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,7 +148,7 @@ CTES = {
         SELECT order_id, lineitem_id, CAST(SUM(option_price) AS DECIMAL(12,2)) AS total_option_price,
                CAST(SUM(CASE WHEN is_discount THEN option_price ELSE 0 END) AS DECIMAL(12,2))
                    AS total_discount_amount,
-               bool_or(is_discount) AS has_discount
+               COUNT(*) FILTER (WHERE is_discount) AS discount_count, bool_or(is_discount) AS has_discount
         FROM options GROUP BY ALL""",
     "priced": """
         SELECT i.*, COALESCE(s.total_option_price, 0) AS total_option_price,
