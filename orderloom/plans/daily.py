@@ -100,6 +100,7 @@ def priced(lake: Lake) -> DataFrame:
 def gold_tables(lake: Lake, run: RunContext) -> dict[str, Callable[[], DataFrame]]:
     """Every Gold table as a function of the stored Silver tables."""
     facts, items, calendar = lake.silver("order_facts"), lake.silver("order_items"), lake.silver("date_dim")
+    lines = priced_items(items, lake.silver("order_item_options"))
     as_of = F.lit(run.snapshot_date).cast("date")
     return {
         "clv": lambda: clv.clv(facts, as_of),
@@ -112,12 +113,12 @@ def gold_tables(lake: Lake, run: RunContext) -> dict[str, Callable[[], DataFrame
         "location_monthly_performance": lambda: location.location_monthly(facts),
         "location_top_items": lambda: location.location_top_items(items),
         "loyalty_summary": lambda: loyalty.loyalty_summary(
-            priced(lake), facts.agg(F.max("order_date")).scalar()
+            lines, facts.agg(F.max("order_date")).scalar()
         ),
-        "loyalty_by_category": lambda: loyalty.loyalty_by_category(priced(lake)),
+        "loyalty_by_category": lambda: loyalty.loyalty_by_category(lines),
         "loyalty_monthly_trend": lambda: loyalty.loyalty_monthly(facts),
         "discount_order_summary": lambda: discount.discount_order_summary(facts),
-        "discount_by_category": lambda: discount.discount_by_category(priced(lake)),
+        "discount_by_category": lambda: discount.discount_by_category(lines),
         "discount_customer_behaviour": lambda: discount.discount_customer_behaviour(facts),
     }
 
