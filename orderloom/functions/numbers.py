@@ -26,6 +26,15 @@ def total(amount: Column) -> Column:
     return F.sum(amount).try_cast(TOTAL)
 
 
+def distinct_where(column: str, condition: str) -> Column:
+    """Distinct values among the rows where ``condition`` holds.
+
+    As a filtered aggregate it shares the distinct groups of a plain
+    ``count_distinct`` of the same column instead of expanding the rows again.
+    """
+    return F.expr(f"count(DISTINCT {column}) FILTER (WHERE {condition})")
+
+
 def ratio(numerator: Column, denominator: Column, kind: str) -> Column:
     """numerator / denominator rounded half up to ``kind``; NULL when the denominator is 0."""
     return F.try_divide(numerator, denominator.cast(COUNT)).try_cast(kind)

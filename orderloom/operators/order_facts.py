@@ -23,7 +23,7 @@ def option_totals(options: DataFrame) -> DataFrame:
 
 
 def priced_items(items: DataFrame, options: DataFrame) -> DataFrame:
-    """Every line item with its option totals and net revenue.
+    """Every line item with its option totals and net revenue, in the columns Gold reads.
 
     Options are totalled before the join, so it never multiplies line items, and
     a plan that reads no option column drops the join altogether. Net revenue is
@@ -33,12 +33,13 @@ def priced_items(items: DataFrame, options: DataFrame) -> DataFrame:
         {"total_option_price": 0, "total_discount_amount": 0, "discount_count": 0, "has_discount": False}
     )
     depth = F.try_divide(F.abs("total_discount_amount") * 100, F.col("revenue")).try_cast("decimal(6,2)")
-    return joined.withColumns(
+    priced = joined.withColumns(
         {
             "net_revenue": (F.col("revenue") + F.col("total_option_price")).try_cast(LINE_MONEY),
             "discount_depth_pct": F.when(F.col("revenue") > 0, depth).otherwise(0).cast(LINE_MONEY),
         }
     )
+    return conform(priced, SILVER["priced_items"])
 
 
 def order_facts(priced: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.context import cut_lineage
-from orderloom.functions.numbers import AVERAGE, count_ratio, mean_of, total
+from orderloom.functions.numbers import AVERAGE, count_ratio, distinct_where, mean_of, total
 from orderloom.functions.rules import CHURN_RISK_DAYS, CLV_BAND_OTHERWISE, CLV_BANDS, first_match
 from orderloom.operators.order_facts import customers_only
 from orderloom.operators.ranking import By, global_percent_rank
@@ -29,7 +29,7 @@ def clv(facts: DataFrame, as_of: Column) -> DataFrame:
             F.max("order_date").alias("last_order_date"),
             F.count_distinct("order_date").alias("active_days"),
             F.bool_or("is_loyalty").alias("is_loyalty_member"),
-            F.count_distinct(F.when(F.col("is_loyalty"), F.col("order_id"))).alias("loyalty_orders"),
+            distinct_where("order_id", "is_loyalty").alias("loyalty_orders"),
             F.count_distinct("restaurant_id").alias("unique_restaurants_visited"),
         )
     )

@@ -81,7 +81,11 @@ def silver_calendar_step(lake: Lake, run: RunContext) -> None:
 
 
 def run_silver(lake: Lake, run: RunContext) -> None:
-    """The three Silver tables, then the order facts built from two of them."""
+    """The three Silver tables, then the two tables built from them.
+
+    Pricing joins the two largest tables; storing its result means no Gold table
+    has to join them again.
+    """
     _run_stage(
         "silver",
         {
@@ -90,17 +94,22 @@ def run_silver(lake: Lake, run: RunContext) -> None:
             "date_dim": lambda: silver_calendar_step(lake, run),
         },
     )
-    lake.write_silver(order_facts(priced(lake)), "order_facts")
+    pricing_step(lake)
+    order_facts_step(lake)
+
+
+def pricing_step(lake: Lake) -> None:
+    priced = priced_items(lake.silver("order_items"), lake.silver("order_item_options"))
+    lake.write_silver(priced, "priced_items")
 
 
-def priced(lake: Lake) -> DataFrame:
-    return priced_items(lake.silver("order_items"), lake.silver("order_item_options"))
+def order_facts_step(lake: Lake) -> None:
+    lake.write_silver(order_facts(lake.silver("priced_items")), "order_facts")
 
 
 def gold_tables(lake: Lake, run: RunContext) -> dict[str, Callable[[], DataFrame]]:
     """Every Gold table as a function of the stored Silver tables."""
-    facts, items, calendar = lake.silver("order_facts"), lake.silver("order_items"), lake.silver("date_dim")
-    lines = priced_items(items, lake.silver("order_item_options"))
+    facts, lines, calendar = lake.silver("order_facts"), lake.silver("priced_items"), lake.silver("date_dim")
     as_of = F.lit(run.snapshot_date).cast("date")
     return {
         "clv": lambda: clv.clv(facts, as_of),
@@ -109,12 +118,10 @@ def gold_tables(lake: Lake, run: RunContext) -> dict[str, Callable[[], DataFrame
         "sales_trends_daily": lambda: sales.sales_daily(facts, calendar),
         "sales_trends_weekly": lambda: sales.sales_weekly(facts, calendar),
         "sales_trends_monthly": lambda: sales.sales_monthly(facts, calendar),
-        "location_performance": lambda: location.location_performance(facts, items),
+        "location_performance": lambda: location.location_performance(facts, lines),
         "location_monthly_performance": lambda: location.location_monthly(facts),
-        "location_top_items": lambda: location.location_top_items(items),
-        "loyalty_summary": lambda: loyalty.loyalty_summary(
-            lines, facts.agg(F.max("order_date")).scalar()
-        ),
+        "location_top_items": lambda: location.location_top_items(lines),
+        "loyalty_summary": lambda: loyalty.loyalty_summary(facts, lines),
         "loyalty_by_category": lambda: loyalty.loyalty_by_category(lines),
         "loyalty_monthly_trend": lambda: loyalty.loyalty_monthly(facts),
         "discount_order_summary": lambda: discount.discount_order_summary(facts),

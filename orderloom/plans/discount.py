@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.numbers import WIDE_AVERAGE, count_mean, mean, percent, total
+from orderloom.functions.numbers import WIDE_AVERAGE, count_mean, distinct_where, mean, percent, total
 from orderloom.functions.rules import (
     DISCOUNT_SEEKER_OTHERWISE,
     DISCOUNT_SEEKERS,
@@ -70,10 +70,9 @@ def discount_by_category(priced: DataFrame) -> DataFrame:
 def discount_customer_behaviour(facts: DataFrame) -> DataFrame:
     """An order counts as discounted if any of its lines was, whoever the line belongs to."""
     flagged = with_order_discount(customers_only(facts), facts)
-    discounted_order = F.when(F.col("order_has_discount"), F.col("order_id"))
     per_customer = flagged.groupBy("user_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct(discounted_order).alias("discounted_orders"),
+        distinct_where("order_id", "order_has_discount").alias("discounted_orders"),
         total(F.col("gross")).alias("total_gross_spend"),
         total(F.col("net")).alias("total_net_spend"),
         total(F.col("discount_given")).alias("total_discounts_received"),

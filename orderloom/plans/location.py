@@ -10,6 +10,7 @@ from orderloom.functions.numbers import (
     AVERAGE,
     WIDE_AVERAGE,
     count_ratio,
+    distinct_where,
     mean_of,
     pct_change,
     percent,
@@ -23,16 +24,16 @@ from orderloom.schemas import GOLD_BUSINESS, conform
 TOP_ITEMS = 10
 
 
-def item_sales(items: DataFrame) -> DataFrame:
+def item_sales(lines: DataFrame) -> DataFrame:
     """Sales per restaurant, item and category."""
-    return items.groupBy("restaurant_id", "item_name", "item_category").agg(
+    return lines.groupBy("restaurant_id", "item_name", "item_category").agg(
         total(F.col("revenue")).alias("item_revenue"),
         F.sum("item_quantity").alias("total_quantity_sold"),
         F.count_distinct("order_id").alias("orders_containing_item"),
     )
 
 
-def location_performance(facts: DataFrame, items: DataFrame) -> DataFrame:
+def location_performance(facts: DataFrame, lines: DataFrame) -> DataFrame:
     """Order measures come from the order facts, menu breadth from distinct item rows."""
     orders = facts.groupBy("restaurant_id").agg(
         total(F.col("gross")).alias("total_gross_revenue"),
@@ -40,13 +41,13 @@ def location_performance(facts: DataFrame, items: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("line_items").alias("total_line_items"),
         F.count_distinct("user_id").alias("unique_customers"),
-        F.count_distinct(F.when(F.col("is_loyalty"), F.col("user_id"))).alias("loyalty_customers"),
+        distinct_where("user_id", "is_loyalty").alias("loyalty_customers"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.count_distinct("order_date").alias("active_days"),
     )
     menu = (
-        items.select("restaurant_id", "item_name", "item_category")
+        lines.select("restaurant_id", "item_name", "item_category")
         .distinct()
         .groupBy(F.col("restaurant_id").alias("menu_restaurant"))
         .agg(
@@ -95,13 +96,13 @@ def location_monthly(facts: DataFrame) -> DataFrame:
     return conform(grown, GOLD_BUSINESS["location_monthly_performance"])
 
 
-def location_top_items(items: DataFrame) -> DataFrame:
+def location_top_items(lines: DataFrame) -> DataFrame:
     """Items ranked up to ten in their restaurant; ties at the limit are all kept.
 
     The rank filter reaches Spark's group limit, so each task passes on only its
     own leading items of a restaurant.
     """
     best_first = Window.partitionBy("restaurant_id").orderBy(F.col("item_revenue").desc())
-    ranked = item_sales(items).withColumn("item_rank_in_restaurant", F.rank().over(best_first))
+    ranked = item_sales(lines).withColumn("item_rank_in_restaurant", F.rank().over(best_first))
     top = ranked.filter(F.col("item_rank_in_restaurant") <= TOP_ITEMS)
     return conform(top, GOLD_BUSINESS["location_top_items"])

@@ -2,29 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.context import cut_lineage
 from orderloom.functions.numbers import WIDE_AVERAGE, count_mean, mean, ratio, total
 from orderloom.functions.rules import loyalty_label
+from orderloom.operators.order_facts import customers_only
 from orderloom.operators.ranking import group_medians
 from orderloom.schemas import GOLD_BUSINESS, conform
 
 
-def customer_profiles(priced: DataFrame, reference: Column) -> DataFrame:
-    """One row per customer and loyalty flag, so a customer can have up to three."""
-    return (
-        priced.filter("eligible_for_customer_metrics")
+def customer_profiles(facts: DataFrame, lines: DataFrame) -> DataFrame:
+    """One row per customer and loyalty flag, so a customer can have up to three.
+
+    Only the number of categories needs line items; it is taken from their
+    distinct categories, everything else from the order facts.
+    """
+    reference = facts.agg(F.max("order_date")).scalar()
+    profiles = (
+        customers_only(facts)
         .groupBy("user_id", "is_loyalty")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            total(F.col("net_revenue")).alias("total_net_revenue"),
+            total(F.col("net")).alias("total_net_revenue"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
             F.count_distinct("restaurant_id").alias("unique_restaurants"),
-            F.count_distinct("item_category").alias("unique_categories"),
         )
+    )
+    categories = (
+        customers_only(lines)
+        .groupBy(F.col("user_id").alias("_user"), F.col("is_loyalty").alias("_loyalty"))
+        .agg(F.count_distinct("item_category").alias("unique_categories"))
+    )
+    same = (F.col("user_id") == F.col("_user")) & F.col("is_loyalty").eqNullSafe(F.col("_loyalty"))
+    return (
+        profiles.join(categories, same)
+        .drop("_user", "_loyalty")
         .withColumns(
             {
                 "days_as_customer": F.datediff("last_order_date", "first_order_date"),
@@ -35,9 +50,9 @@ def customer_profiles(priced: DataFrame, reference: Column) -> DataFrame:
     )
 
 
-def loyalty_summary(priced: DataFrame, reference: Column) -> DataFrame:
-    """Averages, totals and exact medians over profiles; ``reference`` is the latest order day."""
-    profiles = cut_lineage(customer_profiles(priced, reference))
+def loyalty_summary(facts: DataFrame, lines: DataFrame) -> DataFrame:
+    """Averages, totals and exact medians over profiles; idle days count from the latest order."""
+    profiles = cut_lineage(customer_profiles(facts, lines))
     averages = profiles.groupBy("is_loyalty").agg(
         F.count("user_id").alias("total_customers"),
         mean(F.col("total_net_revenue"), WIDE_AVERAGE).alias("avg_clv"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.numbers import AVERAGE, WIDE_AVERAGE, mean_of, ratio, total
+from orderloom.functions.numbers import AVERAGE, WIDE_AVERAGE, distinct_where, mean_of, ratio, total
 from orderloom.schemas import GOLD_BUSINESS, conform
 
 
@@ -67,8 +67,8 @@ def sales_monthly(facts: DataFrame, calendar: DataFrame) -> DataFrame:
             total(F.col("gross")).alias("gross_revenue"),
             F.count_distinct("user_id").alias("unique_customers"),
             mean_of(F.sum("gross"), F.sum("gross_lines"), AVERAGE).alias("avg_item_revenue"),
-            F.count_distinct(F.when(F.col("is_loyalty"), F.col("user_id"))).alias("loyalty_customers"),
-            F.count_distinct(F.when(~F.col("is_loyalty"), F.col("user_id"))).alias("non_loyalty_customers"),
+            distinct_where("user_id", "is_loyalty").alias("loyalty_customers"),
+            distinct_where("user_id", "NOT is_loyalty").alias("non_loyalty_customers"),
             total(F.when(F.col("is_holiday"), F.col("gross")).otherwise(0)).alias("holiday_revenue"),
         )
     )

@@ -43,6 +43,12 @@ SILVER = {
         is_holiday boolean, holiday_name string, """
         + _SILVER_RUN
     ),
+    "priced_items": _columns(
+        """order_id id, lineitem_id id, user_id id, restaurant_id id, item_name string,
+        item_category string, item_quantity int, is_loyalty boolean, order_date date,
+        revenue decimal(12,2), total_discount_amount decimal(12,2), has_discount boolean,
+        net_revenue decimal(12,2), discount_depth_pct decimal(12,2)"""
+    ),
     "order_facts": _columns(
         """order_id id, user_id id, restaurant_id id, order_date date, is_loyalty boolean,
         line_items bigint, gross decimal(22,2), gross_lines bigint, net decimal(22,2),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.context import cut_lineage
 from orderloom.operators.order_facts import order_facts, priced_items
 from orderloom.plans import silver
 
@@ -125,3 +126,8 @@ def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_facts(priced(spark, sf_dir))
+
+
+def stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For plans that read the facts several times: stored once, as the daily run does."""
+    return cut_lineage(facts(spark, sf_dir))

@@ -206,7 +206,6 @@ def test_empty_input_gives_empty_tables(spark):
     items = lines(spark)
     priced = priced_items(items, options(spark))
     days = calendar(spark)
-    reference = items.agg(F.max("order_date")).scalar()
     for table in (
         clv.clv(none, F.lit("2024-01-01").cast("date")),
         rfm.rfm(none),
@@ -217,7 +216,7 @@ def test_empty_input_gives_empty_tables(spark):
         location.location_performance(none, items),
         location.location_monthly(none),
         location.location_top_items(items),
-        loyalty.loyalty_summary(priced, reference),
+        loyalty.loyalty_summary(none, items),
         loyalty.loyalty_by_category(priced),
         loyalty.loyalty_monthly(none),
         discount.discount_order_summary(none),
@@ -305,8 +304,7 @@ def test_locations_with_an_unknown_restaurant(spark):
 
 def test_loyalty_profiles_and_labels(spark):
     rows = [(1, 1, 7, 3, 0, "5", True), (2, 2, 7, 3, 3, "7", False), (3, 3, 7, 3, 4, "8", None)]
-    priced = priced_items(lines(spark, *rows), options(spark))
-    summary = loyalty.loyalty_summary(priced, lines(spark, *rows).agg(F.max("order_date")).scalar()).collect()
+    summary = loyalty.loyalty_summary(facts(spark, *rows), lines(spark, *rows)).collect()
     assert sorted(r["loyalty_label"] for r in summary) == ["Loyalty Member", "Non-Loyalty", "Non-Loyalty"]
     assert {r["median_clv"] for r in summary} == {Decimal("5.00"), Decimal("7.00"), Decimal("8.00")}
 
