@@ -22,6 +22,8 @@ from orderloom.sources.watermarks import Watermarks
 
 Step = Callable[[], object]
 
+SILVER_TABLES = ("order_items", "order_item_options", "date_dim", "priced_items", "order_facts")
+
 
 class StageFailed(RuntimeError):
     """Some tables of a stage failed; ``errors`` maps each to its exception."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.context import RunContext
 from orderloom.sources.lake import Lake
-from orderloom.sources.watermarks import Watermarks
+from orderloom.sources.watermarks import Watermarks, from_micros
 
 
 class WriteValidationError(RuntimeError):
@@ -51,27 +51,30 @@ def incremental_load(
     are repeats that Silver deduplication removes after the next load.
     """
     last = marks.get(table)
-    mark = None if last is None else F.lit(last)
+    column = F.col(watermark.lower())
+    rows_type = dict(lower_names(source).dtypes)[watermark.lower()]
+    mark = None if last is None else F.lit(last).cast(rows_type)
     batch = run.stamp_bronze(incremental_batch(source, watermark, mark))
     seen = Observation()
-    column = F.col(watermark.lower())
     lake.append_days(
         batch,
         table,
         lambda df: df.observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
-            F.min(column).alias("low"),
-            F.max(column).alias("high"),
+            F.min(F.to_date(column)).alias("first_day"),
+            F.max(F.to_date(column)).alias("last_day"),
+            F.max(F.unix_micros(column.cast("timestamp"))).alias("high_micros"),
         ),
     )
     observed = seen.get
-    rows, high = observed["rows"], observed["high"]
+    rows = observed["rows"]
     if rows == 0:
         return LoadResult(0, last)
-    written = lake.count_run_rows(table, run, observed["low"], high)
+    written = lake.count_run_rows(table, run, observed["first_day"], observed["last_day"])
     if written != rows:
         raise WriteValidationError(f"{table}: wrote {rows} rows but found {written}; mark not moved")
+    high = from_micros(observed["high_micros"])
     marks.advance(table, high)
     return LoadResult(rows, high)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,12 +65,12 @@ class Lake:
     def bronze(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path("bronze", table))
 
-    def count_run_rows(self, table: str, run: RunContext, low: datetime, high: datetime) -> int:
+    def count_run_rows(self, table: str, run: RunContext, first: date, last: date) -> int:
         """Rows of one run, read only from the day partitions it can have written."""
         day = F.make_date("year", "month", "day")
         return (
             self.bronze(table)
-            .filter(day.between(F.lit(low.date()), F.lit(high.date())))
+            .filter(day.between(F.lit(first), F.lit(last)))
             .filter(F.col("pipeline_run_ts") == run.run_stamp)
             .count()
         )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.__main__ import main
 from orderloom.context import RunContext
 from orderloom.plans import daily, reports
 from orderloom.sources import bronze, catalog
@@ -24,6 +26,10 @@ def run_on(day: str) -> RunContext:
     return RunContext(datetime.datetime.fromisoformat(f"{day}T02:00:00").replace(tzinfo=UTC), day)
 
 
+def at(*parts: int) -> datetime.datetime:
+    return datetime.datetime(*parts, tzinfo=UTC)
+
+
 def orders(spark, *rows):
     return spark.createDataFrame(
         [(i, ts and datetime.datetime.fromisoformat(ts)) for i, ts in rows],
@@ -48,13 +54,13 @@ def marks(spark, tmp_path):
 def test_two_loads_then_an_empty_one(spark, lake, marks):
     first = [(1, "2024-01-01 10:00:00"), (2, "2024-01-02 10:00:00"), (3, None)]
     result = load(lake, marks, orders(spark, *first), "2024-01-03")
-    assert result.rows == 2 and marks.get("order_items") == datetime.datetime(2024, 1, 2, 10)
+    assert result.rows == 2 and marks.get("order_items") == at(2024, 1, 2, 10)
     late = (4, "2024-01-02 09:00:00")
     second = [*first, late, (5, "2024-01-02 11:00:00"), (6, "2024-01-04 00:00:00")]
     result = load(lake, marks, orders(spark, *second), "2024-01-05")
     assert result.rows == 2
     result = load(lake, marks, orders(spark, *second), "2024-01-06")
-    assert result.rows == 0 and marks.get("order_items") == datetime.datetime(2024, 1, 4)
+    assert result.rows == 0 and marks.get("order_items") == at(2024, 1, 4)
     stored = lake.bronze("order_items")
     assert sorted(r["lineitem_id"] for r in stored.collect()) == [1, 2, 5, 6]
     assert {r["pipeline_run_date"] for r in stored.collect()} == {"2024-01-03", "2024-01-05"}
@@ -68,18 +74,35 @@ def test_failed_check_leaves_the_mark(spark, lake, marks, monkeypatch):
         patched.setattr(Lake, "count_run_rows", lambda *_: 0)
         with pytest.raises(bronze.WriteValidationError):
             load(lake, marks, more, "2024-01-03")
-    assert marks.get("order_items") == datetime.datetime(2024, 1, 1, 10)
+    assert marks.get("order_items") == at(2024, 1, 1, 10)
     assert load(lake, marks, more, "2024-01-04").rows == 1
-    assert marks.get("order_items") == datetime.datetime(2024, 1, 2, 10)
+    assert marks.get("order_items") == at(2024, 1, 2, 10)
 
 
 def test_marks_do_not_move_back(marks):
-    marks.advance("t", datetime.datetime(2024, 1, 2))
+    marks.advance("t", at(2024, 1, 2))
     with pytest.raises(ValueError):
-        marks.advance("t", datetime.datetime(2024, 1, 1))
+        marks.advance("t", at(2024, 1, 1))
     assert marks.get("other") is None
 
 
+def test_marks_hold_in_any_local_time_zone(spark, lake, marks, monkeypatch):
+    source = orders(spark, (1, "2024-01-01 10:00:00")).withColumn(
+        "Creation_Time_UTC", F.col("Creation_Time_UTC").cast("timestamp_ntz")
+    )
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        assert load(lake, marks, source, "2024-01-02").rows == 1
+        assert marks.get("order_items") == at(2024, 1, 1, 10)
+        later = source.union(source.selectExpr("2L", "Creation_Time_UTC + INTERVAL 1 MINUTE"))
+        assert load(lake, marks, later, "2024-01-03").rows == 1
+        assert load(lake, marks, later, "2024-01-04").rows == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_predicate_reaches_the_source(spark, tmp_path):
     orders(spark, (1, "2024-01-01 10:00:00")).write.parquet(str(tmp_path / "src"))
     batch = bronze.incremental_batch(
@@ -185,3 +208,12 @@ def test_file_stream_loads_each_file_once(spark, lake, tmp_path):
     ingest("2024-01-06")
     stored = {r["lineitem_id"]: r["pipeline_run_date"] for r in lake.bronze("order_items").collect()}
     assert stored == {1: "2024-01-03", 2: "2024-01-03", 3: "2024-01-05"}
+
+
+def test_command_line_runs_the_day(spark, lake, marks, tmp_path):
+    folder = tmp_path / "src"
+    for name, table in sources(spark, "2001-06-05").items():
+        table.write.parquet(str(folder / name))
+    main(["daily", "--lake", lake.root, "--source", str(folder)])
+    main(["register", "--lake", lake.root, "--database", "cli_test"])
+    assert spark.table("cli_test_gold.rfm").count() == lake.latest("rfm").count() > 0
