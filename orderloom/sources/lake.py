@@ -124,10 +124,14 @@ class Lake:
         schema = schemas.struct(schemas.GOLD[table], self.id_type)
         return self.spark.read.schema(schema).parquet(self.path("gold", table))
 
-    def latest(self, table: str) -> DataFrame:
-        """The rows reports read: the newest snapshot, or all periods."""
+    def latest(self, table: str, snapshot: str | None = None) -> DataFrame:
+        """The rows reports read: the newest (or named) snapshot, or all periods.
+
+        Either way the filter is on the partition column, so no other snapshot's
+        rows are read; naming it also spares finding the newest one.
+        """
         rows = self.gold(table)
         if gold_partitions(table) != (SNAPSHOT,):
             return rows
-        newest = rows.agg(F.max(SNAPSHOT)).scalar()
-        return rows.filter(F.col(SNAPSHOT) == newest)
+        wanted = rows.agg(F.max(SNAPSHOT)).scalar() if snapshot is None else F.lit(snapshot)
+        return rows.filter(F.col(SNAPSHOT) == wanted)

@@ -141,6 +141,7 @@ def test_daily_runs_keep_snapshots_and_repeat_exactly(spark, lake, marks):
     }
     latest = lake.latest("clv")
     assert {r[0] for r in latest.select("snapshot_date").distinct().collect()} == {"2001-12-31"}
+    assert lake.latest("clv", "2001-07-01").count() == lake.gold("clv").count() - latest.count()
     customers = lake.silver("order_items").filter("user_id IS NOT NULL").select("user_id").distinct().count()
     assert reports.distinct_customers(latest).first()[0] == latest.count() == customers
 

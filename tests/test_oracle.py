@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 import pytest
 
 import __spark_entry__ as registry
+from orderloom.context import cut_lineage
 from tests.conftest import SF_DIR
 
 DUCK_TYPES = {
@@ -34,9 +37,19 @@ def test_entry_returns_rows(spark):
     assert result.count() > 0
 
 
+@pytest.fixture(scope="module")
+def gold(spark):
+    """Gold tables stored on first use, so each report does not build them again."""
+    return functools.cache(lambda table: cut_lineage(registry.GOLD[table](spark, SF_DIR)))
+
+
 @pytest.mark.parametrize("name", sorted(registry.queries()))
-def test_matches_duckdb(spark, duck, name):
-    result = registry.queries()[name](spark, SF_DIR)
+def test_matches_duckdb(spark, duck, gold, name):
+    if name in registry.REPORTS:
+        report, tables = registry.REPORTS[name]
+        result = report(*map(gold, tables))
+    else:
+        result = registry.queries()[name](spark, SF_DIR)
     expected = duck.execute(registry.oracle_sql()[name])
     names = [column[0] for column in expected.description]
     kinds = {column[0]: str(column[1]).replace(" ", "") for column in expected.description}

@@ -45,7 +45,7 @@ def window(by: By, tie: str | None = None):
 ORDERS = {"a": By("whole"), "b": By("whole", descending=True), "c": By("money"), "d": By("money", True)}
 
 
-@pytest.mark.parametrize("rows", [1, 2, 3, 7, 2003])
+@pytest.mark.parametrize("rows", [1, 7, 2003])
 def test_ranks(spark, rows):
     df = sample(spark, rows)
     plain = df.withColumns({name: F.rank().over(window(by)) for name, by in ORDERS.items()})
@@ -56,7 +56,7 @@ def test_ranks(spark, rows):
     assert sorted(map(str, global_percent_rank(df, ORDERS).collect())) == sorted(map(str, plain.collect()))
 
 
-@pytest.mark.parametrize("rows", [1, 3, 4, 5, 6, 11, 2003])
+@pytest.mark.parametrize("rows", [1, 3, 5, 11, 2003])
 def test_ntile(spark, rows):
     df = sample(spark, rows, seed=rows)
     plain = df.withColumns({name: F.ntile(5).over(window(by, "id")) for name, by in ORDERS.items()})
