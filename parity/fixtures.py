@@ -54,8 +54,9 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A discount on a third of the orders' lines and a paid side on every other line."""
+    """A discount on discounted lines of urgent and high-priority orders, and a side on every taxed line."""
     lines = _table(spark, sf_dir, "lineitem")
+    promoted = _table(spark, sf_dir, "orders").filter("o_orderpriority IN ('1-URGENT', '2-HIGH')")
     price, rate = "CAST(l_extendedprice AS DECIMAL(10,2))", "CAST(l_discount AS DECIMAL(3,2))"
     keys = (
         _unless("l_partkey % 500 = 13", "l_orderkey").alias("order_id"),
@@ -66,14 +67,15 @@ def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").alias("ingestion_ts"),
         F.col("l_partkey").alias("tie"),
     )
-    discounts = lines.filter("l_orderkey % 3 = 0 AND l_discount > 0").select(
+    discounts = lines.filter("l_discount > 0").join(promoted, F.col("l_orderkey") == F.col("o_orderkey"))
+    discounts = discounts.select(
         *keys,
         _unless("l_partkey % 53 = 0", "'PROMO'").alias("option_group_name"),
         _unless("l_partkey % 59 = 0", "'discount'").alias("option_name"),
         _unless("l_partkey % 61 = 0", f"CAST(-({price} * {rate}) AS DECIMAL(10,2))").alias("option_price"),
         *origin,
     )
-    sides = lines.filter("l_linenumber % 2 = 0").select(
+    sides = lines.filter("l_tax > 0").select(
         *keys,
         F.lit("SIDE").alias("option_group_name"),
         F.lit("extra").alias("option_name"),

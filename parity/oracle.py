@@ -90,13 +90,14 @@ CTES = {
                CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE
                    CAST(-({PRICE} * CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(10,2)) END AS option_price,
                1 AS option_quantity, l_shipdate AS ingestion_ts, l_partkey AS tie
-        FROM lineitem WHERE l_orderkey % 3 = 0 AND l_discount > 0
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_discount > 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH')
         UNION ALL
         SELECT CASE WHEN l_partkey % 500 = 13 THEN NULL ELSE l_orderkey END,
                CASE WHEN l_partkey % 500 = 7 THEN NULL ELSE l_orderkey * 10 + l_linenumber END,
                'SIDE', 'extra', CAST(CAST(l_tax AS DECIMAL(3,2)) * 100 AS DECIMAL(10,2)),
                1, l_shipdate, l_partkey
-        FROM lineitem WHERE l_linenumber % 2 = 0""",
+        FROM lineitem WHERE l_tax > 0""",
     "typed_items": """
         SELECT *, CAST(creation_time_utc AS DATE) AS order_date,
                CAST(item_price * item_quantity AS DECIMAL(12,2)) AS revenue,
