@@ -13,7 +13,7 @@ from orderloom.context import RunContext
 from orderloom.plans import daily, reports
 from orderloom.sources import bronze, catalog
 from orderloom.sources.jdbc import JdbcSource, Split
-from orderloom.sources.lake import Lake
+from orderloom.sources.lake import DAY, Lake, balanced
 from orderloom.sources.watermarks import Watermarks
 from orderloom.streaming.file_ingest import ingest_new_files
 from parity import fixtures
@@ -195,6 +195,12 @@ def test_vanished_days_stay_unless_rebuilt(spark, lake):
     assert [str(r["item_price"]) for r in lake.silver("order_items").collect()] == ["9.00"]
 
 
+def test_partitioned_writes_are_rebalanced(spark):
+    rows = orders(spark, (1, "2024-01-01 10:00:00")).selectExpr("*", "2024 year", "1 month", "1 day")
+    assert "REBALANCE_PARTITIONS_BY_COL" in balanced(rows, *DAY)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_NONE" in balanced(rows)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_file_stream_loads_each_file_once(spark, lake, tmp_path):
     folder, state = str(tmp_path / "in"), str(tmp_path / "state")
     first = orders(spark, (1, "2024-01-01 10:00:00"), (2, "2024-01-02 10:00:00"))

@@ -95,7 +95,8 @@ def test_running_total_within_groups(spark):
 
 def test_medians_are_the_exact_lower_ones(spark):
     df = sample(spark, 1502)
-    found = {row["flag"]: (row["m"], row["w"]) for row in group_medians(df, "flag", {"m": "money", "w": "whole"}).collect()}
+    medians = group_medians(df, "flag", {"m": "money", "w": "whole"})
+    found = {row["flag"]: (row["m"], row["w"]) for row in medians.collect()}
     for flag in (True, False, None):
         rows = [r for r in df.collect() if r["flag"] == flag]
         for position, column in enumerate(("money", "whole")):
