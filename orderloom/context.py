@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -67,20 +66,23 @@ def build_session(app_name: str = "orderloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate data that the driver and all executors see.
+
+    It is the one named in ``spark.checkpoint.dir``. Where that is unset, as in tests, a
+    folder inside the warehouse is used, which executors share as well.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
+    """Reliable checkpoint in the shared folder.
 
     Used where a small aggregate is read several times (scores, ranks): the rows
     are computed once, and losing an executor afterwards costs a file read.
-    Only a local session without that setting gets a folder of its own.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="orderloom-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

