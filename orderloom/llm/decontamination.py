@@ -23,24 +23,36 @@ from orderloom.llm._shared import BROADCAST_ROWS, small, stored, words
 WORDS, PERCENT = 5, 80
 
 
-def _windows(tokens: Column, join, n: int) -> Column:
-    """Distinct ``n``-word shingles; none where the words are fewer."""
-    places = F.sequence(F.lit(0), F.size(tokens) - n)
-    shingle = lambda i: join(*(F.get(tokens, i + k) for k in range(n)))
-    return F.when(F.size(tokens) >= n, F.array_distinct(F.transform(places, shingle))).otherwise(F.array())
+def _windows(rows: DataFrame, key: str, tokens: Column, join, n: int) -> DataFrame:
+    """key, shingles: distinct ``n``-word shingles; none where the words are fewer.
 
+    The tokens are a column of their own, so they are made once and not at each place.
+    """
+    token, places = F.col("_tokens"), F.sequence(F.lit(0), F.size("_tokens") - n)
+    shingle = lambda i: join(*(F.get(token, i + k) for k in range(n)))
+    found = F.when(F.size("_tokens") >= n, F.array_distinct(F.transform(places, shingle))).otherwise(F.array())
+    return rows.select(key, tokens.alias("_tokens")).select(key, found.alias("shingles"))
 
-def hashed_shingles(text: Column, n: int = WORDS) -> Column:
-    return _windows(F.transform(words(text), lambda word: F.xxhash64(word)), F.xxhash64, n)
 
+def _each(array: str) -> Column:
+    """The elements as rows. The outer form: for the plain one, a test on the array would be
+    inferred and pushed below the columns it is made of, which are then made again at each place.
+    Joins and filters drop the null that stands for an empty array."""
+    return F.explode_outer(array)
 
-def exact_shingles(text: Column, n: int = WORDS) -> Column:
-    return _windows(words(text), lambda *parts: F.concat_ws(" ", *parts), n)
+
+def hashed_shingles(rows: DataFrame, key: str, n: int = WORDS) -> DataFrame:
+    hashed = F.transform(words(F.col("text")), lambda word: F.xxhash64(word))
+    return _windows(rows, key, hashed, F.xxhash64, n)
+
+
+def exact_shingles(rows: DataFrame, key: str, n: int = WORDS) -> DataFrame:
+    return _windows(rows, key, words(F.col("text")), lambda *parts: F.concat_ws(" ", *parts), n)
 
 
 def sketches(items: DataFrame, percent: int, n: int) -> DataFrame:
     """item_id, hash, hits (how many of the sketch must occur), least (shingles a document must have)."""
-    hashed = items.select("item_id", F.explode(hashed_shingles(F.col("text"), n)).alias("hash")).distinct()
+    hashed = hashed_shingles(items, "item_id", n).select("item_id", _each("shingles").alias("hash")).dropna().distinct()
     sized = hashed.groupBy("item_id").agg(F.array_sort(F.collect_list("hash")).alias("hashes"))
     size = F.size("hashes")
     needed = F.floor((size * percent + 99) / 100).cast("int")
@@ -59,8 +71,8 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT, n
     items = items.select("item_id", "text")
     docs = docs.select("doc_id", "text")
     sketch = stored(sketches(items, percent, n))
-    hashed = docs.select("doc_id", hashed_shingles(F.col("text"), n).alias("hashes")).select(
-        "doc_id", F.size("hashes").alias("size"), F.explode("hashes").alias("hash")
+    hashed = hashed_shingles(docs, "doc_id", n).select(
+        "doc_id", F.size("shingles").alias("size"), _each("shingles").alias("hash")
     )
     found = stored(
         hashed.join(small(sketch), "hash")
@@ -72,10 +84,10 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT, n
     )
     # Exact verification, on the words of the candidates only.
     rows = found.count()
-    known = items.select("item_id", F.explode(exact_shingles(F.col("text"), n)).alias("shingle")).distinct()
+    known = exact_shingles(items, "item_id", n).select("item_id", _each("shingles").alias("shingle")).dropna().distinct()
     wanted = found.select("doc_id").distinct()
     texts = docs.join(F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted, "doc_id", "left_semi")
-    own = texts.select("doc_id", exact_shingles(F.col("text"), n).alias("shingles"))
+    own = exact_shingles(texts, "doc_id", n)
     asked = found.join(known.groupBy("item_id").agg(F.collect_list("shingle").alias("item_shingles")), "item_id")
     shared = (
         own.join(asked, "doc_id")
@@ -83,8 +95,9 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT, n
             "doc_id",
             "item_id",
             F.size("item_shingles").alias("size"),
-            F.explode(F.array_intersect("item_shingles", "shingles")).alias("shingle"),
+            F.array_intersect("item_shingles", "shingles").alias("both"),
         )
+        .select("doc_id", "item_id", "size", _each("both").alias("shingle"))
         .groupBy("doc_id", "item_id", "size")
         .agg(F.count_distinct("shingle").alias("n_shared"))
     )
@@ -103,16 +116,16 @@ ORACLE_SQL = """
 WITH doc_words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
 item_words AS (
   SELECT item_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM benchmark),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
 doc_shingles AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) AS s
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s
   FROM doc_words WHERE len(w) >= 5),
 item_shingles AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) AS s
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s
   FROM item_words WHERE len(w) >= 5),
 sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id)
 SELECT doc_id, item_id, n AS n_item_shingles, count(*) AS n_shared
