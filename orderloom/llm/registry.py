@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontamination, html_text, pii, quality, sharding
+from orderloom.llm import decontamination, html_text, packing, pii, quality, sharding
 from orderloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_packing": lambda s, d: packing.pack(table(s, d, "documents")),
         "op3_sharding": lambda s, d: sharding.shard(table(s, d, "documents")),
         "op6_quality": lambda s, d: quality.classify(table(s, d, "documents"), table(s, d, "labels")),
         "op7_pii": lambda s, d: pii.find(table(s, d, "documents")),
