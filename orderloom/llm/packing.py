@@ -119,18 +119,17 @@ def best_patterns(lengths: np.ndarray, value: np.ndarray, size: int, most: int =
     return float(best[size]), patterns
 
 
-def first_basis(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (columns) and uses to start from.
+def first_patterns(lengths: np.ndarray, demand: np.ndarray, size: int) -> list[tuple[int, np.ndarray, float]]:
+    """(length used up, pattern, uses) to start from.
 
     Again and again the longest length left gets the lengths that fill its sequence up, exactly where one or
     two do, else the longest that fit; the pattern is used until one of its lengths is used up. That length
-    occurs in no later pattern, so the columns are independent.
+    occurs in no later pattern, so the patterns are independent.
     """
     m, rest = len(lengths), demand.astype(float)
     where = np.full(size + 1, -1)
     where[lengths] = np.arange(m)
-    basis, uses = np.zeros((m, m)), np.zeros(m)
-    open_, done = np.ones(m, bool), np.zeros(m, bool)
+    found, open_ = [], np.ones(m, bool)
     while open_.any():
         k = int(np.flatnonzero(open_)[-1])
         pattern, room = np.zeros(m), size - int(lengths[k])
@@ -155,14 +154,11 @@ def first_basis(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple[np.
         used = np.flatnonzero(pattern)
         ratio = rest[used] / pattern[used]
         pivot = int(used[np.argmin(ratio)])
-        basis[:, pivot], uses[pivot] = pattern, ratio.min()
+        found.append((pivot, pattern, float(ratio.min())))
         rest[used] -= ratio.min() * pattern[used]
-        done[pivot] = True
         open_[pivot] = False
         open_ &= rest > 1e-9
-    for k in np.flatnonzero(~done):  # used up together with another
-        basis[k, k] = size // lengths[k]
-    return basis, uses
+    return found
 
 
 def solve(lengths: np.ndarray, demand: np.ndarray, size: int, gap: float = 1e-3, steps: int = 200):
@@ -173,8 +169,19 @@ def solve(lengths: np.ndarray, demand: np.ndarray, size: int, gap: float = 1e-3,
     pricing rounds. Each of its states is feasible.
     """
     m = len(lengths)
-    basis, x = first_basis(lengths, demand, size)
-    inverse = np.linalg.inv(basis)
+    basis, x = np.diag((size // lengths).astype(float)), np.zeros(m)  # each length alone, until its pattern enters
+    inverse = np.diag(1 / np.diag(basis))
+
+    def enter(pattern: np.ndarray, step: np.ndarray, out: int) -> None:
+        pivot = inverse[out] / step[out]
+        for row in np.flatnonzero(step):
+            inverse[row] -= step[row] * pivot
+        inverse[out] = pivot
+        basis[:, out] = pattern
+
+    for out, pattern, uses in first_patterns(lengths, demand, size):
+        enter(pattern, pattern / (size // lengths), out)  # none of its lengths is used up before
+        x[out] = uses
     floor = max(1.0, lengths @ demand / size)
     for _ in range(steps):
         price = inverse.sum(0)
@@ -193,10 +200,7 @@ def solve(lengths: np.ndarray, demand: np.ndarray, size: int, gap: float = 1e-3,
             out = int(np.argmin(ratio))
             x = x - ratio[out] * step
             x[out] = ratio[out]
-            pivot = inverse[out] / step[out]
-            inverse -= np.outer(step, pivot)
-            inverse[out] = pivot
-            basis[:, out] = pattern
+            enter(pattern, step, out)
             price = inverse.sum(0)
     return basis.T, np.maximum(x, 0)
 
