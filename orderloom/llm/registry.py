@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontamination, html_text, packing, pii, quality, sharding
+import corpus_pipeline
+from orderloom.llm import decontamination, html_text, ngram_join, packing, pii, quality, sharding
 from orderloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,11 +15,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_join": lambda s, d: ngram_join.join(table(s, d, "documents"), percent=90, n=3),
         "op2_packing": lambda s, d: packing.pack(table(s, d, "documents")),
         "op3_sharding": lambda s, d: sharding.shard(table(s, d, "documents")),
         "op6_quality": lambda s, d: quality.classify(table(s, d, "documents"), table(s, d, "labels")),
         "op7_pii": lambda s, d: pii.find(table(s, d, "documents")),
         "op8_html_text": lambda s, d: html_text.extract(table(s, d, "pages")),
+        "pipeline": corpus_pipeline.run,
         "op9_decontamination": lambda s, d: decontamination.contained_items(
             table(s, d, "documents"), table(s, d, "benchmark")
         ),
