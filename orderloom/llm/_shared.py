@@ -82,17 +82,26 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of the texts in order, and where each text's words begin (one more)."""
-    joined = b" ".join([*texts, b""]).translate(_FOLD)
-    data = np.frombuffer(joined, np.uint8)
-    space = _IS_SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
+def word_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes of the texts one after another, where words begin and end there, and the first word of
+    each text (one more)."""
+    data = np.frombuffer(b" ".join([*texts, b""]).translate(_FOLD), np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _IS_SPACE[data], [True])).view(np.int8)))
     first, last = edge[0::2], edge[1::2]
-    sums, inverse = prefix_hashes(data), powers(len(data))[1]
-    hashes = mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return hashes, np.searchsorted(first, starts)
+    return data, first, last, np.searchsorted(first, starts)
+
+
+def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches of the data."""
+    sums, inverse = prefix_hashes(data), powers(len(data))[1]
+    return mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts in order, and where each text's words begin (one more)."""
+    data, first, last, begins = word_places(texts)
+    return span_hashes(data, first, last), begins
 
 
 def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
