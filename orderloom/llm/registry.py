@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orderloom.llm import decontamination, hidden_markov, html_text, ngram_join, packing, pii, quality, sharding
+from orderloom.llm import decontamination, embedding_join, hidden_markov, html_text, ngram_join, packing, pii, quality, sharding
 from orderloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "op6_quality": lambda s, d: quality.classify(table(s, d, "documents"), table(s, d, "labels")),
         "op7_pii": lambda s, d: pii.find(table(s, d, "documents")),
         "op8_html_text": lambda s, d: html_text.extract(table(s, d, "pages")),
+        "op10_embedding_join": lambda s, d: embedding_join.join(table(s, d, "embeddings")),
         "pipeline": corpus_pipeline.run,
         "op9_decontamination": lambda s, d: decontamination.contained_items(
             table(s, d, "documents"), table(s, d, "benchmark")
