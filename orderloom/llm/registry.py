@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orderloom.llm import decontamination, embedding_join, hidden_markov, html_text, ngram_join, packing, pii, quality, sharding
+from orderloom.llm import decontamination, embedding_join, hidden_markov, html_text, ngram_join, packing, pii, quality, sharding, suffix_dedup
 from orderloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         "op2_packing": lambda s, d: packing.pack(table(s, d, "documents")),
         "op3_sharding": lambda s, d: sharding.shard(table(s, d, "documents")),
         "op4_hidden_markov": lambda s, d: hidden_markov.score(table(s, d, "documents")),
+        "op5_suffix_dedup": lambda s, d: suffix_dedup.dedup(table(s, d, "documents")),
         "op6_quality": lambda s, d: quality.classify(table(s, d, "documents"), table(s, d, "labels")),
         "op7_pii": lambda s, d: pii.find(table(s, d, "documents")),
         "op8_html_text": lambda s, d: html_text.extract(table(s, d, "pages")),
