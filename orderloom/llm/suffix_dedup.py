@@ -36,7 +36,7 @@ from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, powers, prefix_
 
 LENGTH, GRAM, WIDTH = 50, 24, 5
 #: Anchors of a run, and about how many bytes of text one bucket of the exchanges serves.
-RUN, BUCKET_BYTES = 1_500_000, 14_000_000
+RUN, BUCKET_BYTES = 400_000, 4_000_000
 
 
 def pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
