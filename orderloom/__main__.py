@@ -22,7 +22,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("stage", choices=STAGES)
     options.add_argument("--lake", required=True, help="root folder of the lake, on shared storage")
     options.add_argument("--source", help="folder with one Parquet table per source table")
-    options.add_argument("--jdbc", help="JSON file with url, driver, user, password and schema")
+    options.add_argument("--jdbc", help="JSON file with url, driver, user, password, schema and splits (table: column, partitions)")
     options.add_argument("--database", default="orders", help="prefix of the catalog databases")
     options.add_argument("--id-type", default="bigint", help="type of the keys in the source")
     return options
@@ -35,9 +35,15 @@ def _sources(spark, args):
         raise SystemExit("give --source or --jdbc")
     with open(args.jdbc) as file:
         settings = json.load(file)
-    prefix = settings.pop("schema", "dbo")
+    prefix, splits = settings.pop("schema", "dbo"), settings.pop("splits", {})
     database = JdbcSource(**settings)
-    return {table: database.table(spark, f"{prefix}.{table}") for table in SOURCE_TABLES}
+
+    def read(table: str):
+        name = f"{prefix}.{table}"
+        wanted = splits.get(table)
+        return database.table(spark, name, database.split(spark, name, **wanted) if wanted else None)
+
+    return {table: read(table) for table in SOURCE_TABLES}
 
 
 def main(argv: list[str] | None = None) -> None:

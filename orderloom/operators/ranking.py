@@ -15,12 +15,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.context import cut_lineage
 
 _VALUE = "decimal(38,2)"
 
 
+def exact_in_cents(df: DataFrame, column: str) -> None:
+    """Refuses types whose values ``_VALUE`` would round, and so tie."""
+    kind = df.schema[column].dataType
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if not whole and not (isinstance(kind, T.DecimalType) and kind.scale <= 2 and kind.precision - kind.scale <= 36):
+        raise ValueError(f"{column}: {kind.simpleString()} is not exact to two digits")
+
+
 @dataclass(frozen=True)
 class By:
     """Numeric column to order by; NULLs come first ascending and last descending."""
@@ -31,6 +40,10 @@ class By:
     def nulls(self) -> Column:
         return F.when(F.col(self.column).isNull(), F.lit(1 if self.descending else -1)).otherwise(0)
 
+    def checked(self, df: DataFrame) -> By:
+        exact_in_cents(df, self.column)
+        return self
+
     def value(self) -> Column:
         value = F.col(self.column).cast(_VALUE)
         return -value if self.descending else value
@@ -77,6 +90,8 @@ def running_total(
 
 def _value_counts(df: DataFrame, orders: Mapping[str, By]) -> DataFrame:
     """Rows (name, nulls, value, n) for several orderings, reading ``df`` once."""
+    for by in orders.values():
+        by.checked(df)
     stacked = df.select(
         F.explode(
             F.array(
@@ -135,6 +150,8 @@ def global_ntile(df: DataFrame, n: int, orders: Mapping[str, By], tie_break: str
     those few edge rows are looked up and every row is compared with them. All
     orderings share one range sort of narrow rows. ``tie_break`` must be unique.
     """
+    for by in orders.values():
+        by.checked(df)
     stacked = df.select(
         F.col(tie_break).alias("tie"),
         F.explode(
@@ -186,6 +203,8 @@ def group_medians(df: DataFrame, group: str, medians: Mapping[str, str]) -> Data
     """
     if dict(df.dtypes)[group] != "boolean":
         raise ValueError("medians are grouped by a boolean column")
+    for column in medians.values():
+        exact_in_cents(df, column)
     stacked = df.select(
         F.col(group).alias("group"),
         F.explode(

@@ -30,11 +30,16 @@ def order_gaps(orders: DataFrame) -> DataFrame:
     days = orders.filter(F.col("order_date").isNotNull()).select("user_id", "order_date").distinct()
     previous = F.lag("order_date").over(Window.partitionBy("user_id").orderBy("order_date"))
     gaps = days.withColumn("gap", F.datediff("order_date", previous)).filter("gap IS NOT NULL")
+    n, square_sum = F.count("gap"), F.sum(F.col("gap").cast("long") * F.col("gap"))
+    # Whole numbers up to the last step, so the order of rows does not matter.
+    spread = n * square_sum - F.sum("gap") * F.sum("gap")
     return gaps.groupBy("user_id").agg(
         count_ratio(F.sum("gap"), F.count("gap"), "decimal(8,1)").alias("avg_days_between_orders"),
         F.min("gap").alias("min_days_between_orders"),
         F.max("gap").alias("max_days_between_orders"),
-        F.stddev_samp("gap").try_cast("decimal(8,1)").alias("stddev_days_between_orders"),
+        F.sqrt(F.try_divide(spread.cast("double"), (n * (n - 1)).cast("double")))
+        .try_cast("decimal(8,1)")
+        .alias("stddev_days_between_orders"),
     )
 
 

@@ -66,14 +66,29 @@ def run_bronze(lake: Lake, marks: Watermarks, sources: Mapping[str, DataFrame],
 
 
 def silver_items_step(lake: Lake, run: RunContext) -> None:
+    """Merges what Bronze has received since the last merge; the first time, all of it.
+
+    A record of a later load is newer. Only the days that the arrived line items had or have are rewritten.
+    """
     raw = lake.bronze("order_items")
-    lake.append_rejected(silver.rejected_order_items(raw), "order_items", run)
-    lake.write_silver_days(run.stamp_silver(silver.order_items(raw)), "order_items")
+    first = not lake.exists("silver", "order_items")
+    last = None if first else lake.silver("order_items").agg(F.max("pipeline_run_ts"), F.max("pipeline_run_date")).first()
+    if last and last[0]:
+        raw = raw.filter((F.col("pipeline_run_ts") > last[0]) | (F.col("pipeline_run_ts") == run.run_stamp))
+        days = lake.bronze("order_items").filter(F.col("pipeline_run_date") >= min(last[1], run.snapshot_date))
+    else:
+        days = raw
+    lake.write_rejected(silver.rejected_order_items(days), "order_items")
+    items = run.stamp_silver(silver.order_items(raw))
+    if first:
+        lake.write_silver_days(items, "order_items")
+    else:
+        lake.merge_silver_days(items, "order_items", "lineitem_id")
 
 
 def silver_options_step(lake: Lake, run: RunContext) -> None:
     raw = lake.bronze("order_item_options")
-    lake.append_rejected(silver.rejected_options(raw), "order_item_options", run)
+    lake.write_rejected(silver.rejected_options(raw), "order_item_options")
     lake.write_silver(run.stamp_silver(silver.order_item_options(raw)), "order_item_options")
 
 

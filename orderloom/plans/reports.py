@@ -119,12 +119,33 @@ def customer_kpis(clv: DataFrame) -> DataFrame:
             F.count_if(F.col("clv_band") == band).alias(f"{band.lower()}_customers")
             for band in ("HIGH", "MEDIUM", "LOW")
         ),
+        *(
+            money_mean(F.when(F.col("clv_band") == band, F.col("total_net_revenue"))).alias(
+                f"{band.lower()}_avg_revenue"
+            )
+            for band in ("HIGH", "MEDIUM", "LOW")
+        ),
         F.count(F.lit(1)).alias("total_customers"),
     )
 
 
 # Churn
 
+# Tags the churn page always shows.
+SHOWN_TAGS = ("ACTIVE", "MONITOR", "AT_RISK", "CHURNED")
+
+
+def churn_kpis(churn: DataFrame) -> DataFrame:
+    """One row for each tag shown, with 0 customers and no average where none has it."""
+    tags = F.explode(F.array(*map(F.lit, SHOWN_TAGS)))
+    counted = churn.groupBy("overall_risk_tag").agg(_customers(), money_mean(F.col("total_revenue")).alias("avg_revenue"))
+    shown = churn.sparkSession.range(1).select(tags.alias("overall_risk_tag"))
+    return (
+        shown.join(counted, "overall_risk_tag", "left")
+        .select("overall_risk_tag", F.coalesce("customers", F.lit(0)).alias("customers"), "avg_revenue")
+        .orderBy("overall_risk_tag")
+    )
+
 
 def risk_tags(churn: DataFrame) -> DataFrame:
     tags = churn.groupBy("overall_risk_tag").agg(
@@ -340,8 +361,10 @@ def loyalty_categories(by_category: DataFrame, k: int = 30) -> DataFrame:
 
 
 def leading_loyalty_categories(by_category: DataFrame, k: int = 8) -> DataFrame:
-    """Report rows of the ``k`` categories with the most revenue among those rows."""
-    rows = loyalty_categories(by_category)
+    """All rows of the ``k`` categories with the most revenue, ranked over the whole table."""
+    rows = by_category.filter(F.col("item_category").isNotNull()).select(
+        "item_category", "loyalty_label", "total_revenue", "total_orders", "unique_customers"
+    )
     leaders = (
         rows.groupBy("item_category")
         .agg(total(F.col("total_revenue")).alias("revenue"))
@@ -387,26 +410,26 @@ def discount_overview(summary: DataFrame) -> DataFrame:
     )
 
 
-def discount_categories(by_category: DataFrame, k: int = 30) -> DataFrame:
-    return (
-        by_category.filter(F.col("item_category").isNotNull())
-        .orderBy(*_desc("total_gross_revenue", "item_category", "has_discount"))
-        .limit(k)
-        .select(
-            "item_category",
-            "discount_label",
-            F.col("total_gross_revenue").alias("total_revenue"),
-            F.col("total_discount_given").alias("total_discount"),
-            F.col("avg_discount_depth_pct").cast("decimal(16,1)").alias("avg_discount_pct"),
-            "total_orders",
-        )
+def _discount_rows(by_category: DataFrame) -> DataFrame:
+    return by_category.select(
+        "item_category",
+        "discount_label",
+        F.col("total_gross_revenue").alias("total_revenue"),
+        F.col("total_discount_given").alias("total_discount"),
+        F.col("avg_discount_depth_pct").cast("decimal(16,1)").alias("avg_discount_pct"),
+        "total_orders",
     )
 
 
+def discount_categories(by_category: DataFrame, k: int = 30) -> DataFrame:
+    named = by_category.filter(F.col("item_category").isNotNull())
+    return _discount_rows(named.orderBy(*_desc("total_gross_revenue", "item_category", "has_discount")).limit(k))
+
+
 def most_discounted_categories(by_category: DataFrame, k: int = 10) -> DataFrame:
-    """Discounted report rows by amount given, compared as numbers."""
-    rows = discount_categories(by_category).filter(F.col("discount_label") == "Discounted")
-    return rows.orderBy(*_desc("total_discount", "item_category")).limit(k)
+    """Discounted categories of the whole table by amount given, compared as numbers."""
+    discounted = by_category.filter(F.col("item_category").isNotNull() & F.col("has_discount"))
+    return _discount_rows(discounted.orderBy(*_desc("total_discount_given", "item_category")).limit(k))
 
 
 def top_discount_categories(by_category: DataFrame, k: int = 5) -> DataFrame:

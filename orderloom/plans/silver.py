@@ -68,6 +68,12 @@ def order_items(raw: DataFrame, ties: Sequence[str] = ITEM_TIES) -> DataFrame:
     )
 
 
+def corrected(current: DataFrame, arriving: DataFrame) -> DataFrame:
+    """The current line items, each that arrived again in its new form only, whatever its day was."""
+    gone = arriving.select("lineitem_id")
+    return current.join(gone, "lineitem_id", "left_anti").unionByName(arriving.select(current.columns))
+
+
 def rejected_order_items(raw: DataFrame) -> DataFrame:
     return quality.rejected(typed_order_items(raw), quality.ORDER_ITEM_RULES)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +16,11 @@ class Split:
     upper: str
     partitions: int
 
+    @staticmethod
+    def bounds_query(table: str, column: str) -> str:
+        """Subquery of one row whose values bound the ranges; the outer ranges are open, so it drops no row."""
+        return f"(SELECT MIN({column}) AS lower_bound, MAX({column}) AS upper_bound FROM {table}) bounds"
+
     def options(self) -> dict[str, str]:
         return {
             "partitionColumn": self.column,
@@ -32,7 +37,7 @@ class JdbcSource:
     url: str
     driver: str
     user: str
-    password: str
+    password: str = field(repr=False)
     fetch_size: int = 1000
 
     def options(self, table: str, split: Split | None = None) -> dict[str, str]:
@@ -49,3 +54,8 @@ class JdbcSource:
     def table(self, spark: SparkSession, table: str, split: Split | None = None) -> DataFrame:
         """Lazy relation; filters and column choices on it are evaluated by the database."""
         return spark.read.format("jdbc").options(**self.options(table, split)).load()
+
+    def split(self, spark: SparkSession, table: str, column: str, partitions: int) -> Split | None:
+        """Ranges between the least and largest value, asked of the database; None for an empty table."""
+        row = self.table(spark, Split.bounds_query(table, column)).first()
+        return None if row is None or row[0] is None else Split(column, str(row[0]), str(row[1]), partitions)

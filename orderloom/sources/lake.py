@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas
-from orderloom.context import RunContext
+from orderloom.context import RunContext, cut_lineage
 
 DAY = ("year", "month", "day")
 
@@ -49,6 +49,15 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def _place(self, path: str):
+        """The file system of a path and the path in its terms."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def exists(self, layer: str, table: str) -> bool:
+        files, place = self._place(self.path(layer, table))
+        return files.exists(place)
+
     # Bronze
 
     def append_days(
@@ -87,9 +96,37 @@ class Lake:
         mode = "static" if rebuild else "dynamic"
         writer.option("partitionOverwriteMode", mode).parquet(self.path("silver", table))
 
+    def merge_silver_days(self, arriving: DataFrame, table: str, key: str) -> None:
+        """Put arriving rows, one for each key, in place of what the table holds for these keys.
+
+        Only the days are rewritten on which the keys' rows were or now are; a day that is left without
+        rows is dropped. Repeating it changes nothing. The days are bounded by the calendar.
+        """
+        current = self.silver(table)
+        rows = cut_lineage(schemas.conform(arriving, schemas.SILVER[table]))
+        keys = rows.select(key)
+        before = current.join(keys, key, "left_semi").select(*DAY)
+        touched = {tuple(r) for r in before.union(rows.select(*DAY)).distinct().collect()}
+        if not touched:
+            return
+        dated = [date(*d) for d in touched if None not in d]
+        on_touched = F.make_date(*DAY).isin(dated) if dated else F.lit(False)
+        if len(dated) < len(touched):
+            on_touched |= F.make_date(*DAY).isNull()
+        kept = current.filter(on_touched).join(keys, key, "left_anti")
+        merged = cut_lineage(kept.unionByName(rows.select(current.columns)))
+        self.write_silver_days(merged, table)
+        left = {tuple(r) for r in merged.select(*DAY).distinct().collect()}
+        for year, month, day in touched - left:
+            values = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in (year, month, day))
+            parts = "/".join(f"{name}={value}" for name, value in zip(DAY, values, strict=True))
+            files, place = self._place(f"{self.path('silver', table)}/{parts}")
+            files.delete(place, True)
+
     def write_silver(self, df: DataFrame, table: str) -> None:
+        """Replace a table that comes out of a shuffle: its partitions are the files, merged by adaptive execution."""
         rows = schemas.conform(df, schemas.SILVER[table])
-        balanced(rows).write.mode("overwrite").parquet(self.path("silver", table))
+        rows.write.mode("overwrite").parquet(self.path("silver", table))
 
     def write_silver_single_file(self, df: DataFrame, table: str) -> None:
         """For a calendar-sized dimension only: everything goes through one task."""
@@ -100,10 +137,12 @@ class Lake:
         schema = schemas.struct(schemas.SILVER[table], self.id_type)
         return self.spark.read.schema(schema).parquet(self.path("silver", table))
 
-    def append_rejected(self, df: DataFrame, table: str, run: RunContext) -> None:
-        """Dead-letter rows under the run's date; an empty frame adds none."""
-        rows = df.withColumn("run_date", F.lit(run.snapshot_date))
-        rows.write.mode("append").partitionBy("run_date").parquet(self.path("dlq", table))
+    def write_rejected(self, df: DataFrame, table: str) -> None:
+        """Dead-letter rows under the date of the run that loaded them, in place of those it had."""
+        rows = df.withColumn("run_date", F.col("pipeline_run_date"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(
+            self.path("dlq", table)
+        )
 
     def rejected(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path("dlq", table))
@@ -127,11 +166,13 @@ class Lake:
     def latest(self, table: str, snapshot: str | None = None) -> DataFrame:
         """The rows reports read: the newest (or named) snapshot, or all periods.
 
-        Either way the filter is on the partition column, so no other snapshot's
-        rows are read; naming it also spares finding the newest one.
+        The newest is found by the names of the partition folders, so no other snapshot's files are opened.
         """
         rows = self.gold(table)
         if gold_partitions(table) != (SNAPSHOT,):
             return rows
-        wanted = rows.agg(F.max(SNAPSHOT)).scalar() if snapshot is None else F.lit(snapshot)
-        return rows.filter(F.col(SNAPSHOT) == wanted)
+        if snapshot is None:
+            files, place = self._place(self.path("gold", table))
+            names = [f.getPath().getName() for f in files.listStatus(place)]
+            snapshot = max((n.partition("=")[2] for n in names if n.startswith(f"{SNAPSHOT}=")), default="")
+        return rows.filter(F.col(SNAPSHOT) == F.lit(snapshot))

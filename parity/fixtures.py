@@ -1,7 +1,8 @@
 """Raw order tables derived from the TPC-H-like test data.
 
-The test tables have no faults, so nulls, negative prices, zero quantities and
-the like are planted by fixed rules on the keys. ``tie`` orders records that
+The test tables have no faults, so nulls, negative prices, zero quantities, orders
+before the calendar begins and the like are planted by fixed rules on the keys; no
+rule leaves a row out. ``tie`` orders records that
 share an ingestion time and belongs to no table. Works on whole tables.
 """
 
@@ -47,16 +48,19 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("IF(l_partkey % 101 = 0, 0, CAST(l_quantity AS INT))").alias("item_quantity"),
         F.lit("USD").alias("currency"),
         _unless("o_orderkey % 41 = 0", "o_orderkey % 10 < 3").alias("is_loyalty"),
-        _unless("o_orderkey % 211 = 0", "o_orderdate").alias("creation_time_utc"),
+        _unless(
+            "o_orderkey % 211 = 0", "IF(o_orderkey % 67 = 3, o_orderdate - INTERVAL '10' YEAR, o_orderdate)"
+        ).alias("creation_time_utc"),
         F.col("l_shipdate").alias("ingestion_ts"),
         F.col("l_partkey").alias("tie"),
     )
 
 
 def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A discount on discounted lines of urgent and high-priority orders, and a side on every taxed line."""
+    """A promotion and a side on every line. It is a discount on discounted lines of urgent and high-priority
+    orders, and its price is 0 on all others, as is that of an untaxed side."""
     lines = _table(spark, sf_dir, "lineitem")
-    promoted = _table(spark, sf_dir, "orders").filter("o_orderpriority IN ('1-URGENT', '2-HIGH')")
+    orders = _table(spark, sf_dir, "orders")
     price, rate = "CAST(l_extendedprice AS DECIMAL(10,2))", "CAST(l_discount AS DECIMAL(3,2))"
     keys = (
         _unless("l_partkey % 500 = 13", "l_orderkey").alias("order_id"),
@@ -67,15 +71,15 @@ def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").alias("ingestion_ts"),
         F.col("l_partkey").alias("tie"),
     )
-    discounts = lines.filter("l_discount > 0").join(promoted, F.col("l_orderkey") == F.col("o_orderkey"))
-    discounts = discounts.select(
+    promoted = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+    discounts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         *keys,
         _unless("l_partkey % 53 = 0", "'PROMO'").alias("option_group_name"),
         _unless("l_partkey % 59 = 0", "'discount'").alias("option_name"),
-        _unless("l_partkey % 61 = 0", f"CAST(-({price} * {rate}) AS DECIMAL(10,2))").alias("option_price"),
+        _unless("l_partkey % 61 = 0", f"IF({promoted}, CAST(-({price} * {rate}) AS DECIMAL(10,2)), CAST(0 AS DECIMAL(10,2)))").alias("option_price"),
         *origin,
     )
-    sides = lines.filter("l_tax > 0").select(
+    sides = lines.select(
         *keys,
         F.lit("SIDE").alias("option_group_name"),
         F.lit("extra").alias("option_name"),
@@ -86,13 +90,8 @@ def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar of the order days before 2001, so later orders find no calendar row."""
-    days = (
-        _table(spark, sf_dir, "orders")
-        .filter("o_orderdate < TIMESTAMP_NTZ '2001-01-01 00:00:00'")
-        .select(F.to_date("o_orderdate").alias("date_key"))
-        .distinct()
-    )
+    """Calendar of all order days; lines that are dated before it find no calendar row."""
+    days = _table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date_key")).distinct()
     day_name = F.date_format("date_key", "EEEE")
     month_day = F.month("date_key") * 100 + F.dayofmonth("date_key")
     return days.select(
@@ -114,6 +113,17 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.order_items(raw_order_items(spark, sf_dir), ITEM_TIES)
 
 
+def correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later load: every first line of an order again, three days on and a unit dearer."""
+    first = raw_order_items(spark, sf_dir).filter("lineitem_id % 10 = 1")
+    return first.withColumns(
+        {
+            "item_price": F.expr("CAST(item_price + 1 AS DECIMAL(10,2))"),
+            "creation_time_utc": F.expr("creation_time_utc + INTERVAL '3' DAY"),
+        }
+    )
+
+
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.order_item_options(raw_options(spark, sf_dir), OPTION_TIES)
 

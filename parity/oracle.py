@@ -63,6 +63,11 @@ YEAR, MONTH = "CAST(year(order_date) AS INTEGER)", "CAST(month(order_date) AS IN
 CUSTOMERS = "COUNT(*) AS customers"
 PERIOD = "CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS period"
 
+DISCOUNT_ROWS = """SELECT item_category, discount_label, total_gross_revenue AS total_revenue,
+               total_discount_given AS total_discount,
+               CAST(sign(avg_discount_depth_pct) * ((CAST(abs(avg_discount_depth_pct) * 100 AS HUGEINT) + 5) // 10) / 1e1
+                    AS DECIMAL(16,1)) AS avg_discount_pct, total_orders"""
+
 CTES = {
     "raw_items": f"""
         SELECT CASE WHEN l_partkey % 500 = 13 THEN NULL ELSE l_orderkey END AS order_id,
@@ -79,7 +84,8 @@ CTES = {
                CASE WHEN l_partkey % 101 = 0 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS item_quantity,
                'USD' AS currency,
                CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_orderkey % 10 < 3 END AS is_loyalty,
-               CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE o_orderdate END AS creation_time_utc,
+               CASE WHEN o_orderkey % 211 = 0 THEN NULL WHEN o_orderkey % 67 = 3
+                    THEN o_orderdate - INTERVAL 10 YEAR ELSE o_orderdate END AS creation_time_utc,
                l_shipdate AS ingestion_ts, l_partkey AS tie
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "raw_options": f"""
@@ -87,17 +93,16 @@ CTES = {
                CASE WHEN l_partkey % 500 = 7 THEN NULL ELSE l_orderkey * 10 + l_linenumber END AS lineitem_id,
                CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE 'PROMO' END AS option_group_name,
                CASE WHEN l_partkey % 59 = 0 THEN NULL ELSE 'discount' END AS option_name,
-               CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE
-                   CAST(-({PRICE} * CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(10,2)) END AS option_price,
+               CASE WHEN l_partkey % 61 = 0 THEN NULL WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
+                    THEN CAST(-({PRICE} * CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(10,2)) ELSE CAST(0 AS DECIMAL(10,2)) END AS option_price,
                1 AS option_quantity, l_shipdate AS ingestion_ts, l_partkey AS tie
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_discount > 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH')
         UNION ALL
         SELECT CASE WHEN l_partkey % 500 = 13 THEN NULL ELSE l_orderkey END,
                CASE WHEN l_partkey % 500 = 7 THEN NULL ELSE l_orderkey * 10 + l_linenumber END,
                'SIDE', 'extra', CAST(CAST(l_tax AS DECIMAL(3,2)) * 100 AS DECIMAL(10,2)),
                1, l_shipdate, l_partkey
-        FROM lineitem WHERE l_tax > 0""",
+        FROM lineitem""",
     "typed_items": """
         SELECT *, CAST(creation_time_utc AS DATE) AS order_date,
                CAST(item_price * item_quantity AS DECIMAL(12,2)) AS revenue,
@@ -144,7 +149,7 @@ CTES = {
                (month(d) * 100 + day(d)) IN (101, 704, 1225) AS is_holiday,
                CASE month(d) * 100 + day(d) WHEN 101 THEN 'New Year' WHEN 704 THEN 'Independence Day'
                     WHEN 1225 THEN 'Christmas' END AS holiday_name
-        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE year(o_orderdate) < 2001) x""",
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) x""",
     "option_sums": """
         SELECT order_id, lineitem_id, CAST(SUM(option_price) AS DECIMAL(12,2)) AS total_option_price,
                CAST(SUM(CASE WHEN is_discount THEN option_price ELSE 0 END) AS DECIMAL(12,2))
@@ -401,12 +406,8 @@ CTES = {
         SELECT item_category, is_loyalty, loyalty_label, total_revenue, total_orders, unique_customers
         FROM gold_loyalty_category ORDER BY total_revenue DESC NULLS LAST, item_category, is_loyalty NULLS FIRST
         LIMIT 30""",
-    "discount_top": """
-        SELECT item_category, discount_label, total_gross_revenue AS total_revenue,
-               total_discount_given AS total_discount,
-               CAST(sign(avg_discount_depth_pct) * ((CAST(abs(avg_discount_depth_pct) * 100 AS HUGEINT) + 5) // 10) / 1e1
-                    AS DECIMAL(16,1)) AS avg_discount_pct, total_orders
-        FROM gold_discount_category
+    "discount_top": f"""
+        {DISCOUNT_ROWS} FROM gold_discount_category
         ORDER BY total_gross_revenue DESC NULLS LAST, item_category, has_discount LIMIT 30""",
 }
 
@@ -438,7 +439,16 @@ def _stamped(table: str) -> str:
     return f"SELECT *, '2001-12-31' AS snapshot_date FROM {table}"
 
 
+CTES["raw_corrections"] = """
+        SELECT * REPLACE (CAST(item_price + 1 AS DECIMAL(10,2)) AS item_price,
+                          creation_time_utc + INTERVAL 3 DAY AS creation_time_utc)
+        FROM raw_items WHERE lineitem_id % 10 = 1"""
+CTES["typed_corrections"] = CTES["typed_items"].replace("FROM raw_items", "FROM raw_corrections")
+CTES["corrected_items"] = CTES["items"].replace("FROM typed_items", "FROM typed_corrections")
+
 QUERIES = {
+    "silver_after_correction": """SELECT * FROM corrected_items UNION ALL
+        SELECT i.* FROM items i ANTI JOIN corrected_items c USING (lineitem_id)""",
     "silver_order_items": "SELECT * FROM items",
     "silver_order_item_options": "SELECT * FROM options",
     "silver_date_dim": "SELECT * FROM calendar",
@@ -540,15 +550,16 @@ QUERIES = {
     "report_loyalty_categories": """SELECT item_category, loyalty_label, total_revenue, total_orders, unique_customers
         FROM loyalty_top""",
     "report_leading_loyalty_categories": """SELECT item_category, loyalty_label, total_revenue, total_orders,
-        unique_customers FROM loyalty_top WHERE item_category IN (SELECT item_category FROM loyalty_top
-        GROUP BY item_category ORDER BY SUM(total_revenue) DESC NULLS LAST, item_category LIMIT 8)""",
+        unique_customers FROM gold_loyalty_category WHERE item_category IN (SELECT item_category
+        FROM gold_loyalty_category WHERE item_category IS NOT NULL GROUP BY item_category ORDER BY SUM(total_revenue) DESC NULLS LAST, item_category LIMIT 8)""",
     "report_loyalty_trend": f"""SELECT year, month, loyalty_label, total_revenue, total_orders, unique_customers,
         {PERIOD} FROM gold_loyalty_monthly""",
     "report_discount_overview": """SELECT discount_label, total_orders, avg_gross_order_value, avg_net_order_value,
         avg_items_per_order, avg_discount_amount, unique_customers FROM gold_discount_orders""",
     "report_discount_categories": "SELECT * FROM discount_top",
-    "report_most_discounted_categories": """SELECT * FROM discount_top WHERE discount_label = 'Discounted'
-        ORDER BY total_discount DESC NULLS LAST, item_category LIMIT 10""",
+    "report_most_discounted_categories": f"""{DISCOUNT_ROWS}
+        FROM gold_discount_category WHERE has_discount AND item_category IS NOT NULL
+        ORDER BY total_discount_given DESC NULLS LAST, item_category LIMIT 10""",
     "report_discount_segments": f"""SELECT discount_seeker_segment, {CUSTOMERS},
         {mean_money("total_net_spend")} AS avg_spend, {mean_money("discount_usage_rate", 1)} AS avg_discount_rate,
         {mean_money("total_discounts_received")} AS avg_discounts_received
@@ -575,7 +586,17 @@ QUERIES = {
         (SELECT COUNT(*) FROM gold_churn WHERE overall_risk_tag = 'CHURNED') AS churned_customers FROM gold_clv""",
     "report_customer_kpis": """SELECT COUNT(*) FILTER (WHERE clv_band = 'HIGH') AS high_customers,
         COUNT(*) FILTER (WHERE clv_band = 'MEDIUM') AS medium_customers,
-        COUNT(*) FILTER (WHERE clv_band = 'LOW') AS low_customers, COUNT(*) AS total_customers FROM gold_clv""",
+        COUNT(*) FILTER (WHERE clv_band = 'LOW') AS low_customers, COUNT(*) AS total_customers,
+        """
+    + ", ".join(
+        mean_money(f"CASE WHEN clv_band = '{band}' THEN total_net_revenue END") + f" AS {band.lower()}_avg_revenue"
+        for band in ("HIGH", "MEDIUM", "LOW")
+    )
+    + " FROM gold_clv",
+    "report_churn_kpis": f"""SELECT t.tag AS overall_risk_tag, COUNT(g.user_id) AS customers,
+        {mean_money("g.total_revenue")} AS avg_revenue
+        FROM (VALUES ('ACTIVE'), ('MONITOR'), ('AT_RISK'), ('CHURNED')) t(tag)
+        LEFT JOIN gold_churn g ON g.overall_risk_tag = t.tag GROUP BY t.tag""",
     "report_sales_kpis": f"""SELECT {total("gross_revenue")} AS total_revenue,
         CAST(SUM(total_orders) AS BIGINT) AS total_orders,
         (SELECT COUNT(*) FROM (SELECT DISTINCT year, month FROM gold_monthly) x) AS months FROM gold_monthly""",

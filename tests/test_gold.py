@@ -354,3 +354,36 @@ def test_conform_refuses_a_wrong_type(spark):
     df = spark.createDataFrame([], struct(SILVER["order_facts"])).withColumn("gross", F.lit(1))
     with pytest.raises(SchemaMismatch, match="gross"):
         conform(df, SILVER["order_facts"])
+
+
+def test_leaders_are_ranked_over_all_categories(spark):
+    """Over 30 categories; the largest discount has the smallest revenue."""
+    from orderloom.plans import reports
+
+    rows = [
+        (f"c{k:02d}", flag, f"{'D' if flag else 'R'}", 1000 - k, 50 + k if flag else 0, 1.0, 3)
+        for k in range(40)
+        for flag in (True, False)
+    ]
+    table = spark.createDataFrame(
+        rows,
+        "item_category string, has_discount boolean, discount_label string, total_gross_revenue int, "
+        "total_discount_given int, avg_discount_depth_pct double, total_orders int",
+    )
+    top = [r["item_category"] for r in reports.most_discounted_categories(table).collect()]
+    assert top == [f"c{k:02d}" for k in range(39, 29, -1)]
+    loyal = spark.createDataFrame(
+        [(f"c{k:02d}", label, 10 * (label == "L") * k + k, 1, 1) for k in range(40) for label in ("L", "N")],
+        "item_category string, loyalty_label string, total_revenue int, total_orders int, unique_customers int",
+    ).withColumn("total_revenue", F.col("total_revenue").cast("decimal(12,2)"))
+    leading = reports.leading_loyalty_categories(loyal).collect()
+    assert sorted((r["item_category"], r["loyalty_label"]) for r in leading) == [
+        (f"c{k:02d}", label) for k in range(32, 40) for label in ("L", "N")
+    ]
+
+
+def test_inexact_types_are_not_ranked(spark):
+    from orderloom.operators.ranking import By, global_rank
+
+    with pytest.raises(ValueError):
+        global_rank(spark.sql("SELECT CAST(1.234 AS DECIMAL(10,3)) AS x"), {"r": By("x")})

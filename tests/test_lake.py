@@ -224,3 +224,85 @@ def test_command_line_runs_the_day(spark, lake, marks, tmp_path):
     main(["daily", "--lake", lake.root, "--source", str(folder)])
     main(["register", "--lake", lake.root, "--database", "cli_test"])
     assert spark.table("cli_test_gold.rfm").count() == lake.latest("rfm").count() > 0
+
+
+def bronze_items(spark, run, *changes):
+    """Bronze line items of one run: changes to a literal item."""
+    from tests.test_silver import items
+
+    rows = items(spark, *changes).withColumn("creation_time_utc", F.to_timestamp("creation_time_utc"))
+    day = F.col("creation_time_utc")
+    days = {"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)}
+    return run.stamp_bronze(rows).withColumns(days)
+
+
+def merge(lake, spark, day, *changes):
+    run = run_on(day)
+    lake.append_days(bronze_items(spark, run, *changes), "order_items")
+    daily.silver_items_step(lake, run)
+
+
+def lines(lake):
+    return sorted((r["lineitem_id"], str(r["order_date"]), str(r["item_price"])) for r in lake.silver("order_items").collect())
+
+
+def test_a_moved_line_item_appears_once(spark, lake):
+    moved = {"lineitem_id": 11, "creation_time_utc": "2024-01-05 00:00:00"}
+    merge(lake, spark, "2024-01-06", {}, moved, {"lineitem_id": None})
+    merge(lake, spark, "2024-01-10", moved | {"creation_time_utc": "2024-01-09 00:00:00", "item_price": "7"})
+    expected = [(10, "2024-01-02", "2.50"), (11, "2024-01-09", "7.00")]
+    assert lines(lake) == expected
+    daily.silver_items_step(lake, run_on("2024-01-10"))  # again: nothing changes
+    assert lines(lake) == expected
+    files, place = lake._place(f"{lake.path('silver', 'order_items')}/year=2024/month=1/day=5")
+    assert not files.exists(place)
+    rejected = lake.rejected("order_items").collect()
+    assert [(r["run_date"].isoformat(), r["dq_flag"]) for r in rejected] == [("2024-01-06", "NULL_LINEITEM_ID")]
+
+
+def test_incremental_merges_equal_a_full_rebuild(spark, lake):
+    import random
+
+    rng = random.Random(3)
+    for day in ("2024-03-01", "2024-03-02", "2024-03-03"):
+        keys = rng.sample(range(20), 8)
+        stamps = [f"2024-02-{rng.randint(1, 4):02d} 00:00:00" for _ in keys]
+        merge(lake, spark, day, *({"lineitem_id": k, "creation_time_utc": t, "item_price": str(k + rng.random())} for k, t in zip(keys, stamps)))
+    merged = lines(lake)
+    from orderloom.plans import silver
+
+    rebuilt = silver.order_items(lake.bronze("order_items")).select("lineitem_id", "order_date", "item_price").collect()
+    assert merged == sorted((r[0], str(r[1]), str(r[2])) for r in rebuilt)
+
+
+def test_a_retry_with_the_same_clock_passes(spark, lake, marks, monkeypatch):
+    load(lake, marks, orders(spark, (1, "2024-01-01 10:00:00")), "2024-01-02")
+    more = orders(spark, (1, "2024-01-01 10:00:00"), (2, "2024-01-02 10:00:00"))
+    with monkeypatch.context() as patched:
+        patched.setattr(Lake, "count_run_rows", lambda *_: 0)
+        with pytest.raises(bronze.WriteValidationError):
+            load(lake, marks, more, "2024-01-03")
+    assert load(lake, marks, more, "2024-01-03").rows == 1
+    assert marks.get("order_items") == at(2024, 1, 2, 10)
+
+
+def test_a_text_mark_is_refused(spark, lake, marks):
+    text = orders(spark, (1, "2024-01-01 10:00:00")).withColumn("Creation_Time_UTC", F.lit("2024-01-01T10:00:00"))
+    with pytest.raises(TypeError):
+        load(lake, marks, text, "2024-01-02")
+
+
+def test_the_password_is_not_shown_and_bounds_are_asked_for():
+    assert "secret" not in repr(JdbcSource("jdbc:example:db", "example.Driver", "user", "secret"))
+    assert Split.bounds_query("dbo.t", "id") == "(SELECT MIN(id) AS lower_bound, MAX(id) AS upper_bound FROM dbo.t) bounds"
+
+
+def test_the_newest_snapshot_is_read_by_its_partition(spark, lake):
+    for day in ("2024-01-02", "2024-01-10", "2024-01-03"):
+        spark.range(1).selectExpr(f"'{day}' AS snapshot_date", "id AS user_id").write.partitionBy("snapshot_date").mode(
+            "append"
+        ).parquet(lake.path("gold", "clv"))
+    latest = lake.latest("clv")
+    assert [str(r["snapshot_date"]) for r in latest.select("snapshot_date").collect()] == ["2024-01-10"]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: []" not in plan
