@@ -43,10 +43,11 @@ GIVEN_NAMES = frozenset(
     "Anna Ben Carlos Charlotte Claire Daniel David Elena Emily Emma Felix Hans Jack James Jan Jean John Jose Juan "
     "Julia Karl Laura Lena Lucas Luis Maria Marie Mary Max Michael Paul Peter Pierre Robert Sarah Sofia Thomas".split()
 )
+TITLES = frozenset("mr mrs ms dr herr frau señor señora madame monsieur dear".split())
 NAME_CUES = re.compile(r"(?i)\b(?:mr|mrs|ms|dr|herr|frau|señor|señora|madame|monsieur|name|contact|dear|author)\b[.:]?\s*$")
 SECRET_CUES = re.compile(r"(?i)(?:password|passwort|passwd|pwd|token|secret|api[_-]?key|key|contraseña)\s*[=:]\s*[\"']?$")
 LICENCE = re.compile(r"(?i)licen[sc]e|copyright|version|revision|checksum|commit")
-_NAME = re.compile(r"\b[A-ZÀ-Ý][a-zà-ÿ]+ [A-ZÀ-Ý][a-zà-ÿ]+\b")
+_NAMES = re.compile(r"\b[A-ZÀ-Ý][a-zà-ÿ]+(?: [A-ZÀ-Ý][a-zà-ÿ]+)+\b")
 _SECRET = re.compile(r"(?<![0-9A-Za-z_])[0-9A-Za-z_+/-]{12,}(?![0-9A-Za-z_])")
 _KEY_SHAPE = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
@@ -126,13 +127,21 @@ def candidates(text: str) -> Iterator[tuple[Span, tuple[int, ...], str]]:
         )
         features = f"key={key} hex={hexa} cue={cue} length={min(len(value) // 8, 8)} entropy={int(entropy)}"
         yield ("secret", *m.span()), votes, features
-    for m in _NAME.finditer(text):
-        first = m.group().split(" ")[0]
-        known, cue = first in GIVEN_NAMES, bool(NAME_CUES.search(text[max(0, m.start() - 20) : m.start()]))
-        if not known and not cue:  # no labeler for it
+    for m in _NAMES.finditer(text):  # a run of capitalised words: a name is two of them, after titles
+        words, start = m.group().split(" "), m.start()
+        cue = bool(NAME_CUES.search(text[max(0, start - 20) : start]))
+        at = 0
+        while at < len(words) and words[at].lower() in TITLES:
+            at, cue = at + 1, True
+        if not cue:
+            at = next((k for k, word in enumerate(words) if word in GIVEN_NAMES), len(words))
+        if at + 2 > len(words):  # nothing left, or no labeler for it
             continue
+        first, length = words[at], len(words[at]) + 1 + len(words[at + 1])
+        start += sum(len(word) + 1 for word in words[:at])
+        known = first in GIVEN_NAMES
         votes = (SILENT, FOR if known else AGAINST, FOR if cue else SILENT, SILENT, AGAINST if len(first) < 3 else SILENT)
-        yield ("name", *m.span()), votes, f"known={known} cue={cue} length={min(len(m.group()) // 8, 4)}"
+        yield ("name", start, start + length), votes, f"known={known} cue={cue} length={min(length // 8, 4)}"
 
 
 # --- label model and classifier -------------------------------------------------------------
