@@ -61,6 +61,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.stage == "daily":
         daily.run_daily(lake, marks, _sources(spark, args), run)
     else:
+        for table in SOURCE_TABLES:
+            register(lake, "bronze", table, f"{args.database}_bronze")
         for table in daily.SILVER_TABLES:
             register(lake, "silver", table, f"{args.database}_silver")
         for table in daily.gold_tables(lake, run):

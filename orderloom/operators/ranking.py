@@ -88,6 +88,28 @@ def running_total(
     )
 
 
+def row_positions(df: DataFrame, order: Sequence[str], into: str, within: Sequence[str]) -> DataFrame:
+    """Add ``into``: how many rows of the group sort strictly before this one.
+
+    As ``running_total`` with the weight 1, but rows are numbered where they lie in the sorted ranges, so
+    nothing is shuffled after the range partitioning.
+    """
+    ranged = df.repartitionByRange(*within, *order).sortWithinPartitions(*within, *order)
+    stored = cut_lineage(ranged.withColumn("_range", F.spark_partition_id()))
+    # The low bits count the rows of a partition in stored order; groups are adjacent in it.
+    numbered = stored.withColumn("_row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        numbered.groupBy("_range", *within)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first"))
+        .drop("_rows", "_first")
+    )
+    # One row per range and group: bounded by the number of shuffle partitions.
+    placed = numbered.join(F.broadcast(offsets), ["_range", *within])
+    return placed.withColumn(into, F.col("_row") + F.col("_offset")).drop("_range", "_row", "_offset")
+
+
 def _value_counts(df: DataFrame, orders: Mapping[str, By]) -> DataFrame:
     """Rows (name, nulls, value, n) for several orderings, reading ``df`` once."""
     for by in orders.values():
@@ -162,10 +184,8 @@ def global_ntile(df: DataFrame, n: int, orders: Mapping[str, By], tie_break: str
                 )
             )
         ).alias("item"),
-    ).select("item.*", "tie", F.lit(1).alias("one"))
-    numbered = running_total(
-        stacked, order=["nulls", "value", "tie"], weight="one", into="before", within=["name"]
-    )
+    ).select("item.*", "tie")
+    numbered = row_positions(stacked, order=["nulls", "value", "tie"], into="before", within=["name"])
     size = df.agg(F.count(F.lit(1)).alias("size")).scalar()
     position = F.col("before") + 1
     is_edge = reduce(

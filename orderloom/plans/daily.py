@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.context import RunContext
+from orderloom.operators import quality
 from orderloom.operators.order_facts import order_facts, priced_items
 from orderloom.plans import churn, clv, discount, location, loyalty, rfm, sales, silver
 from orderloom.sources.bronze import full_load, incremental_load
@@ -111,10 +113,21 @@ def run_silver(lake: Lake, run: RunContext) -> None:
             "date_dim": lambda: silver_calendar_step(lake, run),
         },
     )
+    quality_step(lake, run)
     pricing_step(lake)
     order_facts_step(lake)
 
 
+def quality_step(lake: Lake, run: RunContext) -> None:
+    """Null counts by column and rows by flag of the flagged Silver tables, kept for each run."""
+    tables = {name: lake.silver(name) for name in ("order_items", "order_item_options")}
+    named = lambda df, name: df.select(F.lit(name).alias("table_name"), "*")
+    profiles = [named(quality.null_profile(df), name) for name, df in tables.items()]
+    flags = [named(quality.flag_distribution(df), name) for name, df in tables.items()]
+    lake.write_quality(reduce(DataFrame.unionByName, profiles), "dq_profile", run)
+    lake.write_quality(reduce(DataFrame.unionByName, flags), "dq_flag_distribution", run)
+
+
 def pricing_step(lake: Lake) -> None:
     priced = priced_items(lake.silver("order_items"), lake.silver("order_item_options"))
     lake.write_silver(priced, "priced_items")

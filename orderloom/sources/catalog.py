@@ -6,9 +6,12 @@ from orderloom import schemas
 from orderloom.sources.lake import DAY, Lake, gold_partitions
 
 
-def _declared(layer: str, table: str) -> tuple[tuple[tuple[str, str], ...], tuple[str, ...]]:
+def _declared(lake: Lake, layer: str, table: str) -> tuple[tuple[tuple[str, str], ...], tuple[str, ...]]:
     if layer == "gold":
         return schemas.GOLD[table], gold_partitions(table)
+    if layer == "bronze":  # typed by the source
+        columns = lake.bronze(table).dtypes
+        return tuple(columns), DAY if {*DAY} <= {name for name, _ in columns} and table == "order_items" else ()
     return schemas.SILVER[table], DAY if table == "order_items" else ()
 
 
@@ -17,7 +20,7 @@ def register(lake: Lake, layer: str, table: str, database: str) -> str:
 
     Running it again after a load adds the partitions written since.
     """
-    columns, partitions = _declared(layer, table)
+    columns, partitions = _declared(lake, layer, table)
     name = f"`{database}`.`{table}`"
     fields = ", ".join(
         f"`{column}` {lake.id_type if kind == schemas.ID else kind}" for column, kind in columns

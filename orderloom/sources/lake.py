@@ -147,6 +147,15 @@ class Lake:
     def rejected(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path("dlq", table))
 
+    def write_quality(self, df: DataFrame, name: str, run: RunContext) -> None:
+        """A quality table of one run, in place of what an earlier attempt of it wrote."""
+        rows = df.withColumn("run_date", F.lit(run.snapshot_date))
+        writer = rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")  # a few rows
+        writer.partitionBy("run_date").parquet(self.path("quality", name))
+
+    def quality(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path("quality", name))
+
     # Gold
 
     def write_gold(self, df: DataFrame, table: str, run: RunContext) -> None:

@@ -224,6 +224,12 @@ def test_command_line_runs_the_day(spark, lake, marks, tmp_path):
     main(["daily", "--lake", lake.root, "--source", str(folder)])
     main(["register", "--lake", lake.root, "--database", "cli_test"])
     assert spark.table("cli_test_gold.rfm").count() == lake.latest("rfm").count() > 0
+    assert spark.table("cli_test_bronze.order_items").count() == lake.bronze("order_items").count() > 0
+    profile = {(r["table_name"], r["column_name"]): r for r in lake.quality("dq_profile").collect()}
+    items = lake.silver("order_items")
+    assert profile["order_items", "user_id"]["null_count"] == items.filter("user_id IS NULL").count()
+    flags = lake.quality("dq_flag_distribution").filter("table_name = 'order_items'")
+    assert sum(r["rows"] for r in flags.collect()) == items.count()
 
 
 def bronze_items(spark, run, *changes):

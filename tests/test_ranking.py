@@ -118,3 +118,14 @@ def test_no_user_row_goes_through_a_single_partition(spark):
         plan = result._jdf.queryExecution().optimizedPlan().toString()
         windows = [line for line in plan.splitlines() if "Window" in line]
         assert windows and all("_range" in line for line in windows)
+
+
+def test_positions_need_no_shuffle_after_the_ranges(spark):
+    from orderloom.operators.ranking import row_positions
+
+    rows = spark.range(1000).selectExpr("id % 3 AS name", "id AS value")
+    placed = row_positions(rows, order=["value"], into="before", within=["name"])
+    found = {(r["name"], r["value"]): r["before"] for r in placed.collect()}
+    assert all(before == value // 3 for (_, value), before in found.items())
+    plan = placed._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 2  # of the counts by range only: all in the small side
