@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -227,8 +228,13 @@ def expected_counts(sequences: list[np.ndarray], firsts: np.ndarray, model, inne
 
 
 def baum_welch_step(coded: DataFrame, model, inner: np.ndarray, n_symbols: int, parts: int = 16):
-    """Counts over all training documents: each task's tables, cut into parts, are summed part by part."""
+    """Counts over all training documents: each task's tables, cut into parts, are summed part by part.
+
+    First over slots of about as many tasks as there are slots, then over the slots, so no sum reads a table
+    of every task.
+    """
     k = len(inner)
+    slots = max(1, math.isqrt(coded.rdd.getNumPartitions()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [np.zeros(k), np.zeros((k, k)), np.zeros((n_symbols, k))]
@@ -254,25 +260,36 @@ def baum_welch_step(coded: DataFrame, model, inner: np.ndarray, n_symbols: int,
                     flush()
         flush()
         flat = np.concatenate([x.ravel() for x in total]).astype(np.float32)
-        pieces = np.array_split(flat, parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(parts), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())], ["part", "counts"]
+            [
+                pa.array(range(parts), pa.int32()),
+                pa.array([TaskContext.get().partitionId() % slots] * parts, pa.int32()),
+                pa.array([p.tobytes() for p in np.array_split(flat, parts)], pa.binary()),
+            ],
+            ["part", "slot", "counts"],
         )
 
-    def add(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, total = None, 0
-        for t in tables:
-            part = t.column("part")[0].as_py()
-            for x in t.column("counts").to_pylist():
-                total = total + np.frombuffer(x, np.float32).astype(np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "counts"])
+    def adding(kind):
+        def add(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part, total = None, 0
+            for t in tables:
+                part = t.column("part")[0].as_py()
+                for x in t.column("counts").to_pylist():
+                    total = total + np.frombuffer(x, kind).astype(np.float64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "counts"]
+            )
+
+        return add
 
     summed = (
         coded.filter("NOT held_out")
         .select("symbols")
-        .mapInArrow(count, "part int, counts binary")
+        .mapInArrow(count, "part int, slot int, counts binary")
+        .groupBy("part", "slot")
+        .applyInArrow(adding(np.float32), "part int, counts binary")
         .groupBy("part")
-        .applyInArrow(add, "part int, counts binary")
+        .applyInArrow(adding(np.float64), "part int, counts binary")
         .collect()
     )
     flat = np.concatenate([np.frombuffer(r["counts"]) for r in sorted(summed)]) if summed else np.zeros(k + k * k + n_symbols * k)
