@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, powers, prefix_hashes, slices, stored
 
 LENGTH, GRAM, WIDTH = 50, 24, 5
+#: Text bytes worked on at once.
+SLICE = 1 << 18
 #: Anchors of a run, and about how many bytes of text one bucket of the exchanges serves.
 RUN, BUCKET_BYTES = 400_000, 4_000_000
 
@@ -148,7 +150,7 @@ def fingerprint_runs(docs: DataFrame, buckets: int) -> DataFrame:
         found, size = [], 0
         for batch in batches:
             texts, ids = as_bytes(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-            for part in slices(texts):
+            for part in slices(texts, SLICE):
                 text, _, _, _, anchor, piece, _ = pieces(texts[part])
                 found.append((anchor >> np.uint64(24), piece >> np.uint64(24), ids[part][text]))
                 size += len(text)
@@ -335,7 +337,7 @@ def marked(told: DataFrame, buckets: int) -> DataFrame:
             texts, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
             keys = [[np.frombuffer(b"".join(x or []), np.uint64) for x in batch.column(c).to_pylist()] for c in (2, 3)]
             done = []
-            for part in slices(texts):
+            for part in slices(texts, SLICE):
                 text, first, last, anchor, a, p, begins = pieces(texts[part])
                 key = _key(a >> np.uint64(24), p >> np.uint64(24))
                 place = _place(a >> np.uint64(24), buckets)
