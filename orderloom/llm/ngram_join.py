@@ -7,6 +7,11 @@ one trie for each section, rooted there, and only sets that share a whole sectio
 on their path meet below the same node. Section counts depend on the set size; sizes are dealt into
 levels so that two similar sets always share a level.
 
+Shingles that very many sets hold (passages, licence lines) would bring unrelated sets together, where a section
+holds nothing else. They are counted over all sets in a table of counters, and the sections are cut from the other
+shingles; these differ in no more places than the whole sets do, so the argument holds. A set without enough
+sections of them is also stored by the sections of all its shingles.
+
 1. Equal sets are one class, its member the smallest id.
 2. Nodes of the tries are found by exchanging packed sorted runs of node keys: within a run and
    then over runs, each node hangs its sets on its smallest one. What comes out is a star for each node,
@@ -62,24 +67,34 @@ class Similarity:
         """(sections, most differing shingles) of a level: its largest sets differ the most."""
         most = math.ceil(self.ratio ** (level + 1))
         apart = 2 * most * (100 - self.percent) // (100 + self.percent)
-        return int((apart + 1) * 1.06) + 2, apart
+        return int((apart + 1) * 1.35) + 3, apart
 
-    def node_keys(self, ordered: np.ndarray) -> np.ndarray:
+    def node_keys(self, ordered: np.ndarray, popular: np.ndarray | None = None) -> np.ndarray:
         """Keys of the nodes at which the set is stored: its sections in the level of its size, and in the next
-        one where a similar larger set can be there."""
+        one where a similar larger set can be there. popular: by the leading bits of a shingle, whether very
+        many sets hold it; a wrong mark costs work, not results."""
         size, out = len(ordered), []
         own = self.level(size)
         levels = [own, own + 1] if self.level(size * 100 // self.percent + 1) > own else [own]
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(ordered), dtype=np.uint64)))
+        rare = ordered if popular is None else ordered[~popular[ordered >> np.uint64(65 - len(popular).bit_length())]]
         for level in levels:
             m, apart = self.sections(level)
-            edges = np.searchsorted((ordered >> np.uint64(32)) * np.uint64(m) >> np.uint64(32), np.arange(m + 1))
-            count = np.diff(edges)
-            filled = np.flatnonzero(count) if np.count_nonzero(count) > apart else np.arange(m)
-            key = (total[edges[1:]] - total[edges[:-1]])[filled]
-            out.append(mix(mix(key + count[filled].astype(np.uint64)) + np.uint64(level << 32) + filled.astype(np.uint64)))
+            keys, filled = self._section_keys(rare, level, m)
+            out.append(keys[filled])
+            if np.count_nonzero(filled) <= apart:
+                keys, filled = self._section_keys(ordered, level | 1 << 20, m)
+                out.append(keys[filled] if np.count_nonzero(filled) > apart else keys)
         return np.concatenate(out)
 
+    @staticmethod
+    def _section_keys(ordered: np.ndarray, tag: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """Key of each of m sections, and which of them hold shingles."""
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(ordered), dtype=np.uint64)))
+        edges = np.searchsorted((ordered >> np.uint64(32)) * np.uint64(m) >> np.uint64(32), np.arange(m + 1))
+        count = np.diff(edges)
+        key = total[edges[1:]] - total[edges[:-1]]
+        return mix(mix(key + count.astype(np.uint64)) + np.uint64(tag << 32) + np.arange(m, dtype=np.uint64)), count > 0
+
 
 def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
     """doc_id, size, print (128 bits of the set), and the set itself if asked for (``extra``)."""
@@ -102,7 +117,46 @@ def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int) -> DataFrame:
+def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np.ndarray:
+    """By leading bits of a shingle's hash, whether its counter stands far above the mean.
+
+    The table has about an eighth as many counters as there are shingles, 2**24 at most: bounded, and the same for any
+    order of rows. Counters of a task are summed part by part.
+    """
+    bits = int(min(24, max(12, math.log2(max(total, 1) / 8))))
+    least = max(32, 4 * total // (1 << bits))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            texts = as_bytes(batch.column(0))
+            for part in slices(texts):
+                hashes, begins = word_hashes(texts[part])
+                for i, j in zip(begins, begins[1:]):
+                    np.add.at(counters, (shingles(hashes[i:j], n) >> np.uint64(64 - bits)).astype(np.int64), 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(parts), pa.int32()), pa.array([p.tobytes() for p in np.array_split(counters, parts)], pa.binary())],
+            ["part", "counts"],
+        )
+
+    def add(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, sums = None, 0
+        for t in tables:
+            part = t.column("part")[0].as_py()
+            for x in t.column("counts").to_pylist():
+                sums = sums + np.frombuffer(x, np.uint32).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([np.packbits(sums >= least).tobytes()], pa.binary())], ["part", "counts"]
+        )
+
+    schema = "part int, counts binary"
+    rows = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+    if not rows:
+        return np.zeros(1 << bits, bool)
+    return np.unpackbits(np.frombuffer(b"".join(r["counts"] for r in sorted(rows)), np.uint8)).astype(bool)
+
+
+def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int, popular: np.ndarray | None = None) -> DataFrame:
     """a, b: sets that meet at a node, as stars."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +178,7 @@ def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int) -> Data
                 hashes, begins = word_hashes(texts[part])
                 for doc, i, j in zip(numbers[part], begins, begins[1:]):
                     if i < j:
-                        found = similarity.node_keys(shingles(hashes[i:j], n))
+                        found = similarity.node_keys(shingles(hashes[i:j], n), popular)
                         keys.append(found)
                         ids.append(np.full(len(found), doc, np.int64))
                         pending += len(found)
@@ -315,7 +369,8 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     few = total[0] <= BROADCAST_ROWS
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     own = texts.join(F.broadcast(reps) if few else reps, "doc_id", "left_semi")
-    edges = stored(stars(own, similarity, n, buckets))
+    popular = popular_shingles(own, n, total[1] or 0)
+    edges = stored(stars(own, similarity, n, buckets, popular))
     blocks = stored(components(edges).withColumnsRenamed({"id": "doc_id", "component": "block"}))
     met = blocks.count()
 

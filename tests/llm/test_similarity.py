@@ -86,6 +86,9 @@ def test_similar_sets_share_a_node():
             y = x[drop:]
             if 100 * len(y) >= percent * len(x) and len(y):
                 assert np.intersect1d(similarity.node_keys(x), similarity.node_keys(y)).size
+                for share in (0.1, 0.5, 0.95):
+                    popular = rng.random(1 << 12) < share
+                    assert np.intersect1d(similarity.node_keys(x, popular), similarity.node_keys(y, popular)).size
 
 
 def test_components_of_chains_stars_and_loops(spark):
