@@ -112,16 +112,18 @@ def _owners(anchor, piece, doc):
     return (anchor[first], piece[first], doc[first]), (anchor[repeat], piece[repeat], doc[repeat])
 
 
-def _told(doc: np.ndarray, keys: np.ndarray, kind: int) -> list[tuple[int, int, bytes]]:
-    order = np.argsort(doc, kind="stable")
-    doc, keys = doc[order], keys[order]
-    edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))[: len(doc)], len(doc))
-    return [(int(doc[i]), kind, keys[i:j].tobytes()) for i, j in zip(edges, edges[1:])]
+def _told(doc: np.ndarray, keys: np.ndarray, kind: int, parts: int) -> list[tuple[int, int, bytes, bytes]]:
+    """Keys told to documents, packed by slices of documents: (slice, kind, documents, keys)."""
+    place = (mix(doc.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(place, kind="stable")
+    doc, keys, place = doc[order], keys[order], place[order]
+    edges = np.append(np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))[: len(doc)], len(doc))
+    return [(int(place[i]), kind, doc[i:j].tobytes(), keys[i:j].tobytes()) for i, j in zip(edges, edges[1:])]
 
 
-RUNS = "bucket int, shared binary, rest binary, pieces binary, doc_at binary, docs binary, doc_id long, kind int, keys binary"
+RUNS = "bucket int, shared binary, rest binary, pieces binary, doc_at binary, docs binary, slice int, kind int, owners binary, keys binary"
 _RUN_FIELDS = [("bucket", pa.int32())] + [(c, pa.binary()) for c in ("shared", "rest", "pieces", "doc_at", "docs")]
-_TOLD_FIELDS = [("doc_id", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary())]
+_TOLD_FIELDS = [("slice", pa.int32()), ("kind", pa.int32()), ("owners", pa.binary()), ("keys", pa.binary())]
 
 
 def _rows(rows: list[tuple], told: list[tuple]) -> pa.RecordBatch:
@@ -144,7 +146,7 @@ def fingerprint_runs(docs: DataFrame, buckets: int) -> DataFrame:
             wide = piece[part].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WIDTH :]
             kind = np.uint16 if len(ids) < 65536 else np.uint32
             rows.append((int(k), *front_coded(anchor[part]), wide.tobytes(), at.astype(kind).tobytes(), ids.tobytes()))
-        return _rows(rows, _told(d, _key(a, p), 0))
+        return _rows(rows, _told(d, _key(a, p), 0, buckets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
@@ -163,8 +165,8 @@ def fingerprint_runs(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, RUNS)
 
 
-def replies(runs: DataFrame) -> DataFrame:
-    """doc_id, kind (0: the piece is a repeat, 1: its anchor has other pieces too), keys of pieces."""
+def replies(runs: DataFrame, buckets: int) -> DataFrame:
+    """slice, kind (0: the piece is a repeat, 1: its anchor has other pieces too), documents and keys of pieces."""
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -180,10 +182,36 @@ def replies(runs: DataFrame) -> DataFrame:
         group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
         # Unequal pieces of one anchor matter only between documents.
         several = (np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts))[group]
-        told = _told(d, _key(a, p), 0) + _told(doc[several], _key(anchor[several], piece[several]), 1)
+        told = _told(d, _key(a, p), 0, buckets)
+        told += _told(doc[several], _key(anchor[several], piece[several]), 1, buckets)
         yield _rows([], told).select([c for c, _ in _TOLD_FIELDS])
 
-    return runs.filter("bucket IS NOT NULL").groupBy("bucket").applyInArrow(run, "doc_id long, kind int, keys binary")
+    return runs.filter("bucket IS NOT NULL").groupBy("bucket").applyInArrow(run, "slice int, kind int, owners binary, keys binary")
+
+
+def by_document(told: DataFrame) -> DataFrame:
+    """doc_id, covered, open (lists of binary keys), one row for each document that is told anything."""
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, key, kind = [], [], []
+        for t in tables:
+            for r in t.select(["kind", "owners", "keys"]).to_pylist():
+                doc.append(np.frombuffer(r["owners"], np.int64))
+                key.append(np.frombuffer(r["keys"], np.uint64))
+                kind.append(np.full(len(doc[-1]), r["kind"], np.int8))
+        doc, key, kind = (np.concatenate(x) for x in (doc, key, kind))
+        order = np.lexsort((kind, doc))
+        doc, key, kind = doc[order], key[order], kind[order]
+        first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+        edges = np.append(first, len(doc))
+        middle = edges[:-1] + np.add.reduceat(kind == 0, first)
+        columns = [
+            pa.array([[key[i:j].tobytes()] for i, j in pairs], pa.list_(pa.binary()))
+            for pairs in (zip(edges[:-1], middle), zip(middle, edges[1:]))
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(doc[first]), *columns], ["doc_id", "covered", "open"])
+
+    return told.groupBy("slice").applyInArrow(run, "doc_id long, covered array<binary>, open array<binary>")
 
 
 # --- suffix runs ------------------------------------------------------------------------------
@@ -430,13 +458,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4, -(-size // BUCKET_BYTES))
     runs = stored(fingerprint_runs(texts, buckets))
-    told = runs.filter("doc_id IS NOT NULL").select("doc_id", "kind", "keys").union(replies(runs))
-    told = stored(
-        told.groupBy("doc_id").agg(
-            F.collect_list(F.when(F.col("kind") == 0, F.col("keys"))).alias("covered"),
-            F.collect_list(F.when(F.col("kind") == 1, F.col("keys"))).alias("open"),
-        )
-    )
+    told = runs.filter("slice IS NOT NULL").select("slice", "kind", "owners", "keys").union(replies(runs, buckets))
+    told = stored(by_document(told))
     ids = told.select("doc_id")
     asked = texts.join(F.broadcast(ids), "doc_id", "left_semi") if told.count() <= BROADCAST_ROWS else texts
     sent = stored(marked(asked.join(told, "doc_id").select("doc_id", "text", "covered", "open"), buckets))
