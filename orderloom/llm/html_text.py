@@ -3,7 +3,7 @@
 A page is cut into flat text blocks at block-level tags. A block is described by its words and
 link density, those of its neighbours, and whether it lies under an element that marks page
 furniture or article content. A decision tree, grown on the small labelled table below,
-keeps or drops each block. Script, style and other non-text elements are never blocks.
+keeps or drops each block: furniture goes, content stays whatever stands beside it, and elsewhere link lists go. Script, style and other non-text elements are never blocks.
 
 Null and empty pages, and pages without kept blocks, have the empty text. Repeated pages are
 extracted each on its own. Tags left open end with the page; stray end tags are ignored.
@@ -128,13 +128,31 @@ LABELLED = (
     (45, 0.0, 80, 0.0, 50, 0.0, 1, 1, 0), (25, 0.0, 90, 0.0, 5, 0.0, 1, 1, 0), (6, 0.0, 70, 0.0, 20, 0.0, 1, 1, 0),
     (15, 0.2, 1, 1.0, 30, 0.0, 1, 0, 0), (60, 0.0, 8, 0.0, 3, 0.0, 1, 0, 0), (5, 0.0, 2, 0.0, 1, 1.0, 1, 0, 0),
     (4, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0), (3, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0), (7, 0.6, 60, 0.0, 4, 0.9, 0, 0, 0),
-    (10, 0.9, 30, 0.0, 50, 0.0, 0, 0, 0), (5, 0.0, 4, 0.0, 6, 0.0, 0, 0, 0), (2, 0.0, 0, 0.0, 3, 0.5, 0, 0, 0),
+    (10, 0.9, 30, 0.0, 50, 0.0, 0, 0, 0), (5, 0.0, 4, 0.0, 6, 0.0, 0, 0, 1), (2, 0.0, 0, 0.0, 3, 0.5, 0, 0, 0),
     (11, 0.0, 8, 0.0, 70, 0.0, 0, 1, 1), (9, 0.0, 1, 1.0, 45, 0.0, 0, 1, 1), (70, 0.0, 11, 0.0, 120, 0.0, 0, 1, 1),
     (120, 0.05, 70, 0.0, 1, 0.0, 0, 1, 1), (1, 0.0, 120, 0.0, 8, 0.0, 0, 1, 1), (2, 0.0, 1, 0.0, 12, 0.0, 0, 1, 1),
     (8, 0.0, 2, 0.0, 60, 0.0, 0, 1, 1), (3, 0.0, 9, 0.0, 12, 0.1, 0, 1, 1), (20, 0.5, 60, 0.0, 80, 0.0, 0, 1, 1),
     (6, 1.0, 40, 0.0, 90, 0.0, 0, 1, 1), (4, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1), (15, 0.3, 5, 0.0, 12, 0.0, 0, 1, 1),
     (40, 0.0, 3, 0.0, 60, 0.0, 0, 0, 1), (90, 0.1, 40, 0.0, 2, 0.0, 0, 0, 1), (60, 0.0, 90, 0.0, 12, 0.0, 0, 0, 1),
     (14, 0.0, 60, 0.0, 50, 0.0, 0, 0, 1), (25, 0.0, 1, 1.0, 30, 0.0, 0, 0, 1), (35, 0.2, 20, 0.0, 6, 0.0, 0, 0, 1),
+    # content before, between and after link-dense blocks
+    (80, 0.0, 60, 0.0, 1, 1.0, 0, 1, 1), (4, 0.0, 70, 0.0, 1, 1.0, 0, 1, 1), (12, 0.0, 1, 1.0, 2, 1.0, 0, 1, 1),
+    (40, 0.1, 50, 0.0, 6, 0.8, 0, 1, 1), (3, 0.0, 0, 0.0, 5, 0.9, 0, 1, 1), (30, 0.0, 4, 1.0, 3, 0.5, 0, 1, 1),
+    (3, 1.0, 40, 0.0, 2, 1.0, 0, 1, 1), (2, 1.0, 3, 1.0, 2, 1.0, 0, 1, 1), (7, 0.6, 1, 1.0, 0, 0.0, 0, 1, 1),
+    (3, 0.0, 1, 1.0, 2, 1.0, 0, 1, 1), (4, 0.0, 2, 1.0, 1, 1.0, 0, 1, 1), (2, 0.0, 3, 1.0, 0, 0.0, 0, 1, 1),
+    # pages without article or main: headings, list items and paragraphs, short and long, also beside links
+    (6, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1), (2, 0.0, 1, 1.0, 8, 0.0, 0, 0, 1), (3, 0.0, 0, 0.0, 50, 0.0, 0, 0, 1),
+    (1, 0.0, 0, 0.0, 4, 0.0, 0, 0, 1), (4, 0.0, 50, 0.0, 30, 0.0, 0, 0, 1), (1, 0.0, 3, 0.0, 2, 0.0, 0, 0, 1),
+    (2, 0.0, 1, 0.0, 3, 0.0, 0, 0, 1), (9, 0.0, 40, 0.0, 0, 0.0, 0, 0, 1), (12, 0.1, 12, 0.0, 12, 0.0, 0, 0, 1),
+    (3, 0.0, 40, 0.0, 1, 1.0, 0, 0, 1), (2, 0.0, 6, 0.0, 3, 1.0, 0, 0, 1), (60, 0.0, 40, 0.0, 1, 1.0, 0, 0, 1),
+    (14, 0.0, 1, 1.0, 1, 1.0, 0, 0, 1), (45, 0.0, 2, 1.0, 3, 1.0, 0, 0, 1), (20, 0.0, 1, 1.0, 0, 0.0, 0, 0, 1),
+    (1, 0.0, 1, 1.0, 2, 0.0, 0, 0, 1), (3, 0.0, 2, 1.0, 1, 0.0, 0, 0, 1), (4, 0.0, 1, 1.0, 5, 0.1, 0, 0, 1),
+    (1, 0.0, 1, 0.0, 1, 0.0, 0, 0, 1), (2, 0.0, 2, 0.0, 2, 0.0, 0, 0, 1), (3, 0.0, 1, 0.0, 2, 0.0, 0, 0, 1),
+    (1, 0.0, 2, 0.0, 3, 0.0, 0, 0, 1), (2, 0.0, 1, 0.0, 0, 0.0, 0, 0, 1), (1, 0.0, 2, 0.0, 1, 1.0, 0, 0, 1),
+    (16, 0.0, 0, 0.0, 2, 1.0, 0, 0, 1), (30, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1),
+    # and what is none of these there: link lists, and a word or two among them
+    (1, 1.0, 5, 0.0, 1, 1.0, 0, 0, 0), (2, 1.0, 60, 0.0, 0, 0.0, 0, 0, 0), (1, 1.0, 0, 0.0, 40, 0.0, 0, 0, 0),
+    (15, 0.9, 20, 0.9, 18, 1.0, 0, 0, 0), (30, 0.7, 40, 0.0, 60, 0.0, 0, 0, 0), (1, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0),
 )
 
 

@@ -102,6 +102,36 @@ def test_main_text():
         html_text.main_text(page, tree)
 
 
+def test_content_stays_beside_link_lists():
+    tree = html_text.grow(html_text.LABELLED)
+    links = "".join(f'<li><a href="/{k}">Other page {k}</a></li>' for k in range(4))
+    long = "The last paragraph of this article has well over twelve words in it, so that it is long."
+    article = f"<article><h1>Title</h1><p>{long}</p><p>The end.</p></article>"
+    for after in (f"<nav><ul>{links}</ul></nav>", f"<ul>{links}</ul>", '<div><a href="/2">Next page</a></div>'):
+        text = html_text.main_text(f"<body>{article}{after}</body>", tree)
+        assert text == f"Title\n{long}\nThe end."
+    inside = html_text.main_text(f"<main><h2>Head</h2><p>Short one:</p><ul>{links}</ul><p>{long}</p><ol>{links}</ol></main>", tree)
+    assert [t for t in inside.split("\n") if "page" not in t] == ["Head", "Short one:", long]
+    assert inside.count("Other page") == 8
+    beside = [(0, 0.0), (1, 0.0), (9, 0.0), (60, 0.0), (1, 1.0), (3, 1.0), (20, 0.8), (5, 0.5)]
+    for words in (1, 2, 4, 5, 9, 12, 13, 60, 300):
+        for density in (0.0, 0.1, 0.25):
+            for before in beside:
+                for after in beside:
+                    assert html_text.decide(tree, (words, density, *before, *after, 0, 1)) == 1
+                    assert html_text.decide(tree, (words, density, *before, *after, 1, 0)) == 0
+
+
+def test_pages_without_article_keep_short_blocks():
+    tree = html_text.grow(html_text.LABELLED)
+    nav = "<nav><ul>" + "".join(f'<li><a href="/{k}">Page {k}</a></li>' for k in range(4)) + "</ul></nav>"
+    plain = nav.replace("nav>", "div>")
+    body = "<h1>Bread</h1><p>You need:</p><ul><li>flour</li><li>warm water</li><li>salt</li></ul><h2>How</h2><p>Mix it all, wait for an hour and bake it for as long as it takes.</p><p>Enjoy!</p>"
+    expected = "Bread\nYou need:\nflour\nwarm water\nsalt\nHow\nMix it all, wait for an hour and bake it for as long as it takes.\nEnjoy!"
+    for page in (body, nav + body, body + nav, nav + body + nav, plain + body + plain):
+        assert html_text.main_text(f"<body>{page}</body>", tree) == expected
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (3, "u", "", "x"), (1, "u", PAGE, "x")]
     result = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
