@@ -13,6 +13,9 @@ partial sequence at powers of two, which need no padding.
 The histogram has fewer rows than a sequence has tokens, whatever the input; ranks and the
 chain are counted in slices by hash, so no length, however common, lands in one task.
 
+Ids are those of ``tokenizers`` on the published vocabulary, added tokens such as <|endoftext|> included.
+Texts without added tokens and very long blank runs have the same ids by ``tiktoken``, which is faster.
+
 Null and empty texts are the closing id alone. Repeated rows are packed each on its own. Empty
 input gives no pieces. Other columns are not read. The same input gives the same pieces; their
 sequence ids depend on how rows were dealt to tasks.
@@ -20,8 +23,9 @@ sequence ids depend on how rows were dealt to tasks.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -33,6 +37,8 @@ from orderloom.llm._shared import BROADCAST_ROWS, stored
 
 SIZE, SLACK, CLOSING = 1024, 8, 0
 SLICES = 128
+#: White space characters in a row from which on a text is not given to tiktoken.
+BLANKS = 1000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -44,7 +50,7 @@ def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 
 def tokenizer(path: str | None = None):
-    """text -> ids, without special tokens."""
+    """text -> ids, added tokens read as plain text."""
     import base64
 
     import public_tokenizers
@@ -55,6 +61,22 @@ def tokenizer(path: str | None = None):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+def encoder(path: str | None = None) -> Callable[[str], list[int]]:
+    """text -> ids as ``tokenizers`` gives them on the JSON file beside the ranks, without special tokens put around."""
+    from tokenizers import Tokenizer
+
+    published = Tokenizer.from_file((path or vocabulary()).removesuffix(".tiktoken") + ".json")
+    added = [re.escape(token.content) for token in published.get_added_tokens_decoder().values()]
+    # tiktoken reads added tokens as text, and its pattern overflows the stack on very long blank runs.
+    slow = re.compile("|".join([*added, rf"\s{{{BLANKS}}}"]))
+    fast = tokenizer(path)
+
+    def ids(text: str) -> list[int]:
+        return published.encode(text, add_special_tokens=False).ids if slow.search(text) else fast(text)
+
+    return ids
+
+
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -69,7 +91,7 @@ def tokenized(docs: DataFrame, size: int = SIZE, path: str | None = None) -> Dat
     """Pieces of all documents: whole sequences, and the rest with its ids."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = tokenizer(path)
+        to_ids = encoder(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -60,6 +60,29 @@ def test_tokenizer_has_the_ids_of_the_published_one(corpus):
         assert own(text) == published.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_are_those_of_the_unaltered_tokenizer(frame, corpus):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    published = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    blank = " " * 1_000_000
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext|", blank + "a", "x" + "\t\n" * 2000 + "é", " " * 999 + "a", "b" * 3000]
+    to_ids = packing.encoder()
+    for text in [*texts, *(t for _, t in corpus if t)]:
+        assert to_ids(text) == published.encode(text, add_special_tokens=False).ids
+    assert 50256 in to_ids(texts[0])
+    pieces = defaultdict(list)
+    for r in packing.pack(frame(list(enumerate(texts)))).collect():
+        pieces[r["doc_id"]].append(r)
+    assert len(pieces) == len(texts)
+    for doc, parts in pieces.items():
+        ids = np.array([*published.encode(texts[doc], add_special_tokens=False).ids, 0], "<u4")
+        assert sum(r["length"] for r in parts) == len(ids)
+        for r in parts:
+            part = ids[r["start"] : r["start"] + r["length"]]
+            assert (r["ids_crc32"], r["doc_tokens"]) == (zlib.crc32(part.tobytes()), len(ids))
+
+
 def test_column_generation_reaches_the_bound_and_the_demand_holds():
     rng = random.Random(2)
     histogram = Counter(rng.randint(1, 99) for _ in range(5000))
