@@ -13,6 +13,8 @@ whose anchors are equal, so only suffixes that begin at anchors have to be broug
    keeps the common prefix of each run's head with the last winner, and compares characters only
    beyond it. In the sorted order, common prefixes give how far two suffixes agree to the right;
    the bytes before the anchor give how far they agree to the left.
+   The windows of an anchor with very many unequal pieces are compared by their bytes instead: each task
+   sends the smallest document of each window only, and buckets of windows decide among those.
 3. The covered stretches are merged for each document and cut out.
 
 Equal (anchor, piece) pairs are reduced to their smallest document in each task before they are sent, so
@@ -24,6 +26,7 @@ not read. Fingerprints are 80 bits wide (anchor and piece).
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -39,6 +42,11 @@ LENGTH, GRAM, WIDTH = 50, 24, 5
 SLICE = 1 << 18
 #: Anchors of a run, and about how many bytes of text one bucket of the exchanges serves.
 RUN, BUCKET_BYTES = 400_000, 4_000_000
+#: Unequal pieces from which on an anchor is hot: its pieces and windows are spread over buckets. Runs report anchors
+#: with SEEN pieces or more, so an anchor that is not hot has at most HOT + SEEN * runs of them.
+HOT, SEEN = 20_000, 8
+#: Windows sent at once, and how many pieces' windows one bucket of windows serves.
+WINDOWS, BUCKET_PIECES = 300_000, 10_000
 
 
 def pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
@@ -121,6 +129,8 @@ def _told(doc: np.ndarray, keys: np.ndarray, kind: int, parts: int) -> list[tupl
     return [(int(place[i]), kind, doc[i:j].tobytes(), keys[i:j].tobytes()) for i, j in zip(edges, edges[1:])]
 
 
+#: Kind of the rows that report how many unequal pieces anchors have in a run.
+COUNTS = 2
 RUNS = "bucket int, shared binary, rest binary, pieces binary, doc_at binary, docs binary, slice int, kind int, owners binary, keys binary"
 _RUN_FIELDS = [("bucket", pa.int32())] + [(c, pa.binary()) for c in ("shared", "rest", "pieces", "doc_at", "docs")]
 _TOLD_FIELDS = [("slice", pa.int32()), ("kind", pa.int32()), ("owners", pa.binary()), ("keys", pa.binary())]
@@ -142,11 +152,14 @@ def fingerprint_runs(docs: DataFrame, buckets: int) -> DataFrame:
         rows = []
         for k in np.flatnonzero(np.diff(edges)):
             part = slice(edges[k], edges[k + 1])
-            ids, at = np.unique(doc[part], return_inverse=True)
-            wide = piece[part].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WIDTH :]
-            kind = np.uint16 if len(ids) < 65536 else np.uint32
-            rows.append((int(k), *front_coded(anchor[part]), wide.tobytes(), at.astype(kind).tobytes(), ids.tobytes()))
-        return _rows(rows, _told(d, _key(a, p), 0, buckets))
+            rows.append(_run_row(int(k), anchor[part], piece[part], doc[part]))
+        starts = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+        number = np.diff(np.append(starts, len(anchor)))
+        many = number >= seen
+        reported = [(None, COUNTS, anchor[starts][many].tobytes(), number[many].astype(np.int64).tobytes())] if many.any() else []
+        return _rows(rows, _told(d, _key(a, p), 0, buckets) + reported)
+
+    seen = SEEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
@@ -165,28 +178,79 @@ def fingerprint_runs(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, RUNS)
 
 
-def replies(runs: DataFrame, buckets: int) -> DataFrame:
+def hot_anchors(runs: DataFrame, most: int) -> tuple[np.ndarray, int]:
+    """Sorted anchors with more than ``most`` unequal pieces, as summed over runs, and the number of their pieces."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64)
+            number = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
+            anchor, at = np.unique(anchor, return_inverse=True)
+            total = np.bincount(at, number, len(anchor)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(total)], ["anchor", "n"])
+
+    counts = runs.filter(F.col("kind") == COUNTS).select("owners", "keys").mapInArrow(summed, "anchor long, n long")
+    # At most one row for each ``most`` pieces of the input.
+    rows = counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > most).orderBy("anchor").collect()
+    return np.array([r["anchor"] for r in rows], np.uint64), sum(r["n"] for r in rows)
+
+
+def _run_arrays(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors, pieces and documents of a run's row."""
+    n = len(r["shared"])
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, 8 - WIDTH :] = np.frombuffer(r["pieces"], np.uint8).reshape(n, WIDTH)
+    at = np.frombuffer(r["doc_at"], np.uint16 if len(r["doc_at"]) == 2 * n else np.uint32)
+    return front_decoded(r["shared"], r["rest"]), wide.view(">u8").ravel().astype(np.uint64), np.frombuffer(r["docs"], np.int64)[at]
+
+
+def _run_row(bucket: int, anchor: np.ndarray, piece: np.ndarray, doc: np.ndarray) -> tuple:
+    ids, at = np.unique(doc, return_inverse=True)
+    wide = piece.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WIDTH :]
+    kind = np.uint16 if len(ids) < 65536 else np.uint32
+    return (bucket, *front_coded(anchor), wide.tobytes(), at.astype(kind).tobytes(), ids.tobytes())
+
+
+def spread(runs: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
+    """The runs, with the pieces of hot anchors dealt by anchor and piece, no longer by anchor."""
+    columns = ["bucket", *(c for c, _ in _RUN_FIELDS[1:])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                anchor, piece, doc = _run_arrays(r)
+                moved = np.isin(anchor, hot)
+                if not moved.any():
+                    yield _rows([tuple(r[c] for c in columns)], []).select(columns)
+                    continue
+                place = np.where(moved, (_key(anchor, piece) % np.uint64(buckets)).astype(np.int64), r["bucket"])
+                rows = [_run_row(int(b), *(x[place == b] for x in (anchor, piece, doc))) for b in np.unique(place)]
+                yield _rows(rows, []).select(columns)
+
+    return runs.select(columns).mapInArrow(run, RUNS.split(", slice")[0])
+
+
+def replies(runs: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     """slice, kind (0: the piece is a repeat, 1: its anchor has other pieces too), documents and keys of pieces."""
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for t in tables:
             for r in t.select(["shared", "rest", "pieces", "doc_at", "docs"]).to_pylist():
-                n = len(r["shared"])
-                wide = np.zeros((n, 8), np.uint8)
-                wide[:, 8 - WIDTH :] = np.frombuffer(r["pieces"], np.uint8).reshape(n, WIDTH)
-                at = np.frombuffer(r["doc_at"], np.uint16 if len(r["doc_at"]) == 2 * n else np.uint32)
-                found.append((front_decoded(r["shared"], r["rest"]), wide.view(">u8").ravel().astype(np.uint64), np.frombuffer(r["docs"], np.int64)[at]))
+                found.append(_run_arrays(r))
         (anchor, piece, doc), (a, p, d) = _owners(*(np.concatenate(x) for x in zip(*found)))
         new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
         group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
         # Unequal pieces of one anchor matter only between documents.
         several = (np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts))[group]
+        several |= np.isin(anchor, hot)  # other pieces are in other buckets
         told = _told(d, _key(a, p), 0, buckets)
         told += _told(doc[several], _key(anchor[several], piece[several]), 1, buckets)
         yield _rows([], told).select([c for c, _ in _TOLD_FIELDS])
 
-    return runs.filter("bucket IS NOT NULL").groupBy("bucket").applyInArrow(run, "slice int, kind int, owners binary, keys binary")
+    runs = runs.filter("bucket IS NOT NULL")
+    runs = spread(runs, buckets, hot) if len(hot) else runs
+    return runs.groupBy("bucket").applyInArrow(run, "slice int, kind int, owners binary, keys binary")
 
 
 def by_document(told: DataFrame) -> DataFrame:
@@ -330,15 +394,33 @@ def _packed(spans: dict[int, list[tuple[int, int]]]) -> pa.RecordBatch:
     )
 
 
-SENT = "doc_id long, spans binary, bucket int, shared binary, texts array<binary>, docs binary, places binary, lefts array<binary>"
+SENT = (
+    "doc_id long, spans binary, bucket int, shared binary, texts array<binary>, docs binary, places binary, lefts array<binary>, "
+    "part int, windows binary"
+)
+
+
+def _least(windows: dict[bytes, tuple[int, list[int]]], spans: dict[int, list[tuple[int, int]]], window: bytes, doc: int, at: list[int]) -> None:
+    """Keeps the smallest document of a window with its places; any other loses the window there."""
+    kept = windows.get(window)
+    if kept is None:
+        windows[window] = doc, at
+    elif kept[0] == doc:
+        kept[1].extend(at)
+    else:
+        lost, places = (doc, at) if kept[0] < doc else kept
+        if doc < kept[0]:
+            windows[window] = doc, at
+        spans[lost] += [(a, a + LENGTH) for a in places]
 
 
-def marked(told: DataFrame, buckets: int) -> DataFrame:
-    """Removed stretches of documents, and sorted runs of the suffixes of their undecided pieces.
+def marked(told: DataFrame, buckets: int, hot: np.ndarray, parts: int) -> DataFrame:
+    """Removed stretches of documents, sorted runs of the suffixes of their undecided pieces, and, for those of hot anchors,
+    the smallest document of each window by part.
 
     told: doc_id, text, covered and open (lists of binary keys)."""
-    names = ["doc_id", "spans", "bucket", "shared", "texts", "docs", "places", "lefts"]
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.binary(), pa.list_(pa.binary())]
+    names = ["doc_id", "spans", "bucket", "shared", "texts", "docs", "places", "lefts", "part", "windows"]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.int32(), pa.binary()]
 
     def sent(undecided: dict[int, list]) -> pa.RecordBatch:
         rows = []
@@ -355,12 +437,25 @@ def marked(told: DataFrame, buckets: int) -> DataFrame:
                     np.array([r[2][0] for r in run], np.int64).tobytes(),
                     np.array([r[2][1] for r in run], np.int64).tobytes(),
                     [r[2][2] for r in run],
+                    None,
+                    None,
                 )
             )
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(8)], names)
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(10)], names)
+
+    def sent_windows(windows: dict, lost: dict) -> pa.RecordBatch:
+        dealt = defaultdict(list)
+        for window, (doc, at) in windows.items():
+            dealt[zlib.crc32(window) % parts] += [(window, doc, a) for a in at]
+        rows = [(d, np.array(x, np.int64).tobytes(), *[None] * 8) for d, x in lost.items()]
+        for part, x in dealt.items():
+            docs, places = (np.array([w[k] for w in x], np.int64).tobytes() for k in (1, 2))
+            rows.append((*[None] * 5, docs, places, None, part, b"".join(w[0] for w in x)))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(10)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         undecided, size = defaultdict(list), 0
+        windows, lost, looked = {}, defaultdict(list), 0
         for batch in batches:
             texts, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
             keys = [[np.frombuffer(b"".join(x or []), np.uint64) for x in batch.column(c).to_pylist()] for c in (2, 3)]
@@ -369,6 +464,7 @@ def marked(told: DataFrame, buckets: int) -> DataFrame:
                 text, first, last, anchor, a, p, begins = pieces(texts[part])
                 key = _key(a >> np.uint64(24), p >> np.uint64(24))
                 place = _place(a >> np.uint64(24), buckets)
+                spread_out = np.isin(a >> np.uint64(24), hot)
                 edges = np.searchsorted(text, np.arange(len(begins)))
                 for k, (i, j) in enumerate(zip(edges, edges[1:])):
                     at = part.start + k
@@ -378,6 +474,14 @@ def marked(told: DataFrame, buckets: int) -> DataFrame:
                     for n in i + np.flatnonzero(np.isin(key[i:j], keys[1][at]) & ~covered):
                         b, own = begins[k], texts[at]
                         f, q, e = first[n] - b, anchor[n] - b, last[n] - b + LENGTH
+                        if spread_out[n]:
+                            for w in range(int(f), int(e) - LENGTH + 1):
+                                _least(windows, lost, own[w : w + LENGTH], ids[at], [w])
+                            looked += int(e - f) - LENGTH + 1
+                            if looked > most:
+                                yield sent_windows(windows, lost)
+                                windows, lost, looked = {}, defaultdict(list), 0
+                            continue
                         undecided[int(place[n])].append((own[q:e], (ids[at], int(q), own[f:q])))
                         size += 1
             done = [d for d in done if d]
@@ -387,10 +491,27 @@ def marked(told: DataFrame, buckets: int) -> DataFrame:
                 yield sent(undecided)
                 undecided, size = defaultdict(list), 0
         yield sent(undecided)
+        yield sent_windows(windows, lost)
 
+    most = WINDOWS
     return told.mapInArrow(run, SENT)
 
 
+def shared_windows(sent: DataFrame) -> DataFrame:
+    """doc_id, spans: windows of hot anchors that a smaller document of another task has too."""
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, spans = {}, defaultdict(list)
+        for t in tables:
+            for r in t.select(["windows", "docs", "places"]).to_pylist():
+                places = zip(np.frombuffer(r["docs"], np.int64).tolist(), np.frombuffer(r["places"], np.int64).tolist())
+                for k, (doc, at) in enumerate(places):
+                    _least(least, spans, r["windows"][k * LENGTH : (k + 1) * LENGTH], doc, [at])
+        yield _packed(spans)
+
+    return sent.filter("part IS NOT NULL").select("part", "windows", "docs", "places").groupBy("part").applyInArrow(run, "doc_id long, spans binary")
+
+
 def shared_edges(sent: DataFrame) -> DataFrame:
     """doc_id, spans: stretches that undecided pieces share with smaller documents."""
 
@@ -458,12 +579,14 @@ def dedup(docs: DataFrame) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4, -(-size // BUCKET_BYTES))
     runs = stored(fingerprint_runs(texts, buckets))
-    told = runs.filter("slice IS NOT NULL").select("slice", "kind", "owners", "keys").union(replies(runs, buckets))
+    hot, hot_pieces = hot_anchors(runs, HOT)
+    told = runs.filter("slice IS NOT NULL").select("slice", "kind", "owners", "keys").union(replies(runs, buckets, hot))
     told = stored(by_document(told))
     ids = told.select("doc_id")
     asked = texts.join(F.broadcast(ids), "doc_id", "left_semi") if told.count() <= BROADCAST_ROWS else texts
-    sent = stored(marked(asked.join(told, "doc_id").select("doc_id", "text", "covered", "open"), buckets))
+    sent = stored(marked(asked.join(told, "doc_id").select("doc_id", "text", "covered", "open"), buckets, hot, max(1, -(-hot_pieces // BUCKET_PIECES))))
     spans = sent.filter("spans IS NOT NULL").select("doc_id", "spans").union(shared_edges(sent))
+    spans = spans.union(shared_windows(sent)) if len(hot) else spans
     spans = stored(spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans")))
     if spans.count() <= BROADCAST_ROWS:  # documents that lose nothing don't move
         touched = F.broadcast(spans.select("doc_id"))

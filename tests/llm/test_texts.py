@@ -161,6 +161,29 @@ def test_suffix_dedup_equals_brute_force(frame, corpus):
     assert suffix_dedup.dedup(frame([])).count() == 0
 
 
+@pytest.mark.parametrize("windows", [40, 300_000])
+def test_hot_anchors_are_split_exactly(frame, corpus, windows, monkeypatch):
+    rng = random.Random(8)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrase, tails = "the phrase that many documents carry", [say(60) for _ in range(9)]
+    rows = [(2000 + k, say(80) + phrase + rng.choice(tails)[: rng.randint(5, 60)] + say(80)) for k in range(150)]
+    rows += [(3000 + k, (say(70) + phrase + tails[k % 9]) * 2) for k in range(20)] + corpus
+    monkeypatch.setattr(suffix_dedup, "HOT", 6)
+    monkeypatch.setattr(suffix_dedup, "SEEN", 2)
+    monkeypatch.setattr(suffix_dedup, "WINDOWS", windows)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_PIECES", 50)
+    largest, hot = [], suffix_dedup.hot_anchors
+
+    def spied(runs, most):
+        largest.append(hot(runs, most))
+        return largest[-1]
+
+    monkeypatch.setattr(suffix_dedup, "hot_anchors", spied)
+    found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup(frame(rows)).collect()}
+    assert len(largest[0][0]) and largest[0][1] > 150
+    assert found == brute_removed(rows)
+
+
 def test_loser_tree_merges_with_exact_common_prefixes():
     rng = random.Random(4)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 12))).encode() for _ in range(400)]
