@@ -6,8 +6,8 @@ the passages, and a logistic unit scores the weighted representation. Labels bel
 documents only; attention learns which passages carry them.
 
 Trained by Adam on at most ``SAMPLE`` labelled documents, those with the smallest hash of
-their id among rows whose crc32(doc_id as text) mod 5 is not 0, and on at most ``BAG`` passages
-of each. Scoring reads every passage of every document and never sees lang, source, labels or ids.
+their id among rows whose crc32(doc_id as text) mod 5 is not 0, and on every passage of each. Together they have
+at most ``BAGS`` passages: a document that would go beyond is left out of the sample as a whole. Scoring reads every passage of every document and never sees lang, source, labels or ids.
 
 Null and empty texts are one empty passage, and get its score. Repeated rows score alike. Of
 several labels of a document the largest counts. Without labels of both classes every score is
@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm._shared import as_bytes, slices, word_hashes
+from orderloom.llm._shared import as_bytes, slices, stored, word_hashes
 
-SAMPLE, BAG, PASSAGE = 4000, 64, 64
+SAMPLE, BAGS, PASSAGE = 4000, 256_000, 64
 THRESHOLD = 0.3
 CLASSES, BUCKETS = 16, 128
 WIDTH = CLASSES * CLASSES + BUCKETS + 4
@@ -124,6 +124,15 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: int
     return model
 
 
+def fitting(sizes: list[tuple[int, int]], most: int) -> tuple[list[int], list[int]]:
+    """Ids taken in order as long as their sizes add up to at most ``most``, and ids left out. sizes: (id, size)."""
+    taken, out, total = [], [], 0
+    for id_, size in sizes:
+        (taken if total + size <= most else out).append(id_)
+        total += size if total + size <= most else 0
+    return taken, out
+
+
 def train(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | None:
     """Model from the bounded sample; None without labels of both classes."""
     sample = (
@@ -141,17 +150,19 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | None:
             bags = []
             for part in slices(texts):
                 x, first = passages(texts[part])
-                bags += [x[i : min(j, i + BAG)].astype(np.float16).tobytes() for i, j in zip(first, first[1:])]
+                bags += [x[i:j].astype(np.float16).tobytes() for i, j in zip(first, first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], ["id", "y", "bag"])
 
-    rows = (
+    encoded = stored(
         docs.select("doc_id", "text")
         .join(F.broadcast(sample), "doc_id")  # SAMPLE rows at most
         .select(F.col("doc_id").cast("long"), F.col("_quality").cast("int"), "text")
         .mapInArrow(encode, "id long, y int, bag binary")
-        .toArrow()
-        .sort_by("id")
     )
+    size = F.sum(F.expr(f"octet_length(bag) div {2 * WIDTH}")).alias("n")
+    sizes = encoded.groupBy("id").agg(size).orderBy(F.xxhash64("id"), "id").collect()  # SAMPLE rows at most
+    _, out = fitting([(r["id"], r["n"]) for r in sizes], BAGS)
+    rows = (encoded.filter(~F.col("id").isin(out)) if out else encoded).toArrow().sort_by("id")
     y = rows.column("y").to_numpy().astype(np.float32)
     if len(set(y)) < 2:
         return None

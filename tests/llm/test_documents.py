@@ -46,6 +46,25 @@ def test_attention_gradient_learns_which_passage_counts():
     assert np.mean((p > 0.5) == y) > 0.97
 
 
+def test_training_reads_every_passage_of_whole_documents(spark, frame, monkeypatch):
+    long, short = " ".join(["word"] * 64 * 70 + ["LAST!"] * 64), " ".join(["word"] * 64 * 3)
+    docs = frame([(k, long if k % 2 else short) for k in range(40)])
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, y: seen.append((bags, y)))
+    quality.train(docs, labels)
+    whole = {n: quality.passages([t])[0].astype(np.float16) for n, t in ((71, long.encode()), (3, short.encode()))}
+    bags, y = seen[0]
+    assert {len(b) for b in bags} == {3, 71} and all(len(b) == (71 if k else 3) for b, k in zip(bags, y))
+    words = slice(quality.CLASSES**2, -4)  # byte pairs of a last passage reach into the text that follows it in a batch
+    assert all((b[:-1] == whole[len(b)][:-1]).all() and (b[-1, words] == whole[len(b)][-1, words]).all() for b in bags)
+    monkeypatch.setattr(quality, "BAGS", 300)
+    quality.train(docs, labels)
+    sizes = [len(b) for b in seen[1][0]]
+    assert sum(sizes) <= 300 and set(sizes) == {3, 71} and len(sizes) < len(bags)
+    assert quality.fitting([(1, 5), (2, 9), (3, 4)], 9) == ([1, 3], [2])
+
+
 TEXTS = [
     "", "a@b", "x.y+z@mail.example.com, a@b.c@d.e", "@a.b @@ c@@d.e f@-.g.", "1.2.3.4 1.2.3.4.5.6.7.8 256.1.1.1 1.1.1.1111 0001.02.3.4",
     "4799134681044206 4799-1346 8104 4206 4799134681044207 12345678901234567890", "+1 (319) 555-5132 +1 +12 +1234567 +(12) +1-2345678)", "é@x.y ü1.2.3.4", "9" * 500,
