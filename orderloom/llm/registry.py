@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orderloom.llm import decontamination, embedding_join, hidden_markov, html_text, ngram_join, packing, pii, quality, sharding, suffix_dedup
+from orderloom.llm import decontamination, embedding_join, hidden_markov, html_text, ngram_join, packing, pii, prefix_trie, quality, sharding, suffix_dedup, topk_search, whitening
 from orderloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,9 @@ def queries() -> dict[str, Query]:
         "op7_pii": lambda s, d: pii.find(table(s, d, "documents")),
         "op8_html_text": lambda s, d: html_text.extract(table(s, d, "pages")),
         "op10_embedding_join": lambda s, d: embedding_join.join(table(s, d, "embeddings")),
+        "op11_prefix_trie": lambda s, d: prefix_trie.trie(table(s, d, "conversations")),
+        "op12_whitening": lambda s, d: whitening.whiten(table(s, d, "embeddings")),
+        "op13_topk_search": lambda s, d: _searched(table(s, d, "embeddings")),
         "pipeline": corpus_pipeline.run,
         "op9_decontamination": lambda s, d: decontamination.contained_items(
             table(s, d, "documents"), table(s, d, "benchmark")
@@ -32,4 +35,12 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontamination": decontamination.ORACLE_SQL}
+    return {
+        "op9_decontamination": decontamination.ORACLE_SQL,
+        "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+        "op13_topk_search": topk_search.ORACLE_SQL,
+    }
+
+
+def _searched(vectors: DataFrame) -> DataFrame:
+    return topk_search.search(vectors, vectors.filter("vec_id % 50 = 0"))
