@@ -42,8 +42,13 @@ def priced_items(items: DataFrame, options: DataFrame) -> DataFrame:
     return conform(priced, SILVER["priced_items"])
 
 
+def priced_columns(items: DataFrame) -> DataFrame:
+    """The columns of line items that prices are made of or stored with."""
+    return items.select(*("order_id", "lineitem_id", "user_id", "restaurant_id", "item_name", "item_category"), *("item_quantity", "is_loyalty", "order_date", "revenue"))
+
+
 def order_facts(priced: DataFrame) -> DataFrame:
-    """Sums and counts per order, customer, restaurant, day and loyalty flag.
+    """Sums and counts per order, customer, restaurant, day and loyalty flag, and whether any line of the order had a discount.
 
     The keys hold everything the Gold plans count distinctly at order level, and
     every measure can be added up further, so the plans read this smaller table
@@ -59,7 +64,7 @@ def order_facts(priced: DataFrame) -> DataFrame:
         total(F.abs("total_discount_amount")).alias("discount_given"),
         F.bool_or("has_discount").alias("has_discount"),
     )
-    return conform(facts, SILVER["order_facts"])
+    return conform(with_order_discount(facts, facts), SILVER["order_facts"])
 
 
 def customers_only(df: DataFrame) -> DataFrame:

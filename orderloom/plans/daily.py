@@ -14,16 +14,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.context import RunContext
+from orderloom import schemas
+from orderloom.context import RunContext, cut_lineage
 from orderloom.operators import quality
-from orderloom.operators.order_facts import order_facts, priced_items
+from orderloom.operators.changes import differing, newest_generation
+from orderloom.operators.order_facts import option_totals, order_facts, priced_items, priced_columns
 from orderloom.plans import churn, clv, discount, location, loyalty, rfm, sales, silver
 from orderloom.sources.bronze import full_load, incremental_load
-from orderloom.sources.lake import Lake
+from orderloom.sources.lake import DELETED, Lake, day_part
+from orderloom.sources.published import VERSION, State
 from orderloom.sources.watermarks import Watermarks
 
 Step = Callable[[], object]
 
+#: What pricing reads: Silver table -> the part of it that a price depends on.
+PRICED_FROM: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "order_items": priced_columns,
+    "order_item_options": option_totals,
+}
 SILVER_TABLES = ("order_items", "order_item_options", "date_dim", "priced_items", "order_facts")
 
 
@@ -68,24 +76,31 @@ def run_bronze(lake: Lake, marks: Watermarks, sources: Mapping[str, DataFrame],
 
 
 def silver_items_step(lake: Lake, run: RunContext) -> None:
-    """Merges what Bronze has received since the last merge; the first time, all of it.
+    """Merges the Bronze loads that are not in Silver yet; the first time, all of them.
 
-    A record of a later load is newer. Only the days that the arrived line items had or have are rewritten.
+    Which loads are in, and how many rows each had, is published with the table, so a load that commits late, or
+    grows by a retry, is merged by the next run whatever its clock reading. A record of a later load is newer: where a
+    load arrives behind a later one, its line items are judged by their records of all loads. Only the days that
+    the arrived line items had or have are rewritten.
     """
     raw = lake.bronze("order_items")
-    first = not lake.exists("silver", "order_items")
-    last = None if first else lake.silver("order_items").agg(F.max("pipeline_run_ts"), F.max("pipeline_run_date")).first()
-    if last and last[0]:
-        raw = raw.filter((F.col("pipeline_run_ts") > last[0]) | (F.col("pipeline_run_ts") == run.run_stamp))
-        days = lake.bronze("order_items").filter(F.col("pipeline_run_date") >= min(last[1], run.snapshot_date))
+    state = lake.published("silver", "order_items").state()
+    merged = state.notes.get("loads", {}) if state else {}
+    found = raw.groupBy("pipeline_run_ts", "pipeline_run_date").agg(F.count(F.lit(1)).alias("rows")).collect()  # one a load
+    pending = {r["pipeline_run_ts"]: r["pipeline_run_date"] for r in found if merged.get(r["pipeline_run_ts"]) != r["rows"]}
+    notes = {"loads": {r["pipeline_run_ts"]: r["rows"] for r in found}}
+    if state and not pending:
+        return
+    dated = raw.filter(F.col("pipeline_run_date").isin({*pending.values()}))
+    lake.write_rejected(silver.rejected_order_items(dated), "order_items")
+    arrived = raw.filter(F.col("pipeline_run_ts").isin([*pending]))
+    if any(stamp > min(pending) for stamp in merged):
+        arrived = raw.join(arrived.select("lineitem_id").distinct(), "lineitem_id", "left_semi")
+    items = run.stamp_silver(silver.order_items(arrived))
+    if state is None:
+        lake.write_silver_days(items, "order_items", notes=notes)
     else:
-        days = raw
-    lake.write_rejected(silver.rejected_order_items(days), "order_items")
-    items = run.stamp_silver(silver.order_items(raw))
-    if first:
-        lake.write_silver_days(items, "order_items")
-    else:
-        lake.merge_silver_days(items, "order_items", "lineitem_id")
+        lake.merge_silver_days(items, "order_items", "lineitem_id", notes)
 
 
 def silver_options_step(lake: Lake, run: RunContext) -> None:
@@ -103,7 +118,7 @@ def run_silver(lake: Lake, run: RunContext) -> None:
     """The three Silver tables, then the two tables built from them.
 
     Pricing joins the two largest tables; storing its result means no Gold table
-    has to join them again.
+    has to join them again. Both are kept up by orders: only those that changed are computed and written.
     """
     _run_stage(
         "silver",
@@ -128,13 +143,79 @@ def quality_step(lake: Lake, run: RunContext) -> None:
     lake.write_quality(reduce(DataFrame.unionByName, flags), "dq_flag_distribution", run)
 
 
-def pricing_step(lake: Lake) -> None:
-    priced = priced_items(lake.silver("order_items"), lake.silver("order_item_options"))
-    lake.write_silver(priced, "priced_items")
-
+def pricing_step(lake: Lake, rebuild: bool = False) -> None:
+    """Prices the lines of orders whose line items or options have changed since the last pricing.
 
-def order_facts_step(lake: Lake) -> None:
-    lake.write_silver(order_facts(lake.silver("priced_items")), "order_facts")
+    What the stored table was built from is published with it. Where that state is no longer kept, or with
+    ``rebuild``, all lines are priced.
+    """
+    now = {table: lake.published("silver", table).state() for table in PRICED_FROM}
+    built_from = {table: state.version for table, state in now.items()}
+    notes = {"from": built_from}
+    stored = lake.published("silver", "priced_items").state()
+    touched = None if rebuild or stored is None else changed_orders(lake, stored.notes["from"], now)
+    items, options = (lake.silver(table, now[table]) for table in PRICED_FROM)
+    if touched is None:
+        lake.write_silver(priced_items(items, options), "priced_items", notes)
+        return
+    touched = cut_lineage(touched)
+    if touched.isEmpty():
+        if stored.notes["from"] != built_from:
+            lake.note("priced_items", notes)
+        return
+    items = items_of_orders(lake, touched, stored.notes["from"]["order_items"], now["order_items"])
+    options = options.join(touched, "order_id", "left_semi")
+    lake.write_changed(priced_items(items, options), touched, "priced_items", notes)
+
+
+def changed_orders(lake: Lake, since: Mapping[str, int], now: Mapping[str, State]) -> DataFrame | None:
+    """Ids of orders whose priced columns differ between two states of the Silver tables; None if the older is gone.
+
+    Of the line items, only the days written since are compared. Options are loaded in full every day, so their totals are.
+    """
+    parts = []
+    for table, view in PRICED_FROM.items():
+        target, old = lake.published("silver", table), lake.published("silver", table).state(since[table])
+        if old is None:
+            return None
+        if old.version != now[table].version:
+            schema = schemas.struct(schemas.SILVER[table], lake.id_type)
+            sides = (set(old.folders) - set(now[table].folders), set(now[table].folders) - set(old.folders))
+            parts.append(differing(*(view(target.read(schema, sorted(side))) for side in sides), "order_id"))
+    if not parts:
+        return lake.silver("order_items", now["order_items"]).select("order_id").limit(0)
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def items_of_orders(lake: Lake, touched: DataFrame, since: int, now: State) -> DataFrame:
+    """All line items of the touched orders, read from the days written since and those the orders had lines on before."""
+    known = lake.silver("priced_items").join(touched, "order_id", "left_semi").select("order_date").distinct()
+    days = known.select(F.year("order_date"), F.month("order_date"), F.dayofmonth("order_date")).collect()  # bounded by the calendar
+    target = lake.published("silver", "order_items")
+    folders = set(now.folders) - set(target.state(since).folders)
+    folders |= {folder for folder in (now.parts().get(day_part(*day)) for day in days) if folder}
+    schema = schemas.struct(schemas.SILVER["order_items"], lake.id_type)
+    return target.read(schema, sorted(folders)).join(touched, "order_id", "left_semi")
+
+
+def order_facts_step(lake: Lake, rebuild: bool = False) -> None:
+    """Sums up the orders that pricing has written since the last time; all of them where it wrote a new base."""
+    priced, facts = lake.published("silver", "priced_items"), lake.published("silver", "order_facts").state()
+    now = priced.state()
+    notes = {"from": {"priced_items": now.version}}
+    old = priced.state(facts.notes["from"]["priced_items"]) if facts and not rebuild else None
+    if old is None or not set(old.folders) <= set(now.folders):
+        lake.write_silver(order_facts(lake.silver("priced_items", now)), "order_facts", notes)
+        return
+    since = sorted(set(now.folders) - set(old.folders))
+    if not since:
+        if old.version != now.version:
+            lake.note("order_facts", notes)
+        return
+    schema = schemas.struct(schemas.SILVER["priced_items"], lake.id_type).add(DELETED, "boolean")
+    rows = priced.read(schema, since, versions=True)
+    live = newest_generation(rows, "order_id", VERSION, 0, DELETED)
+    lake.write_changed(order_facts(live), rows.select("order_id").distinct(), "order_facts", notes)
 
 
 def gold_tables(lake: Lake, run: RunContext) -> dict[str, Callable[[], DataFrame]]:

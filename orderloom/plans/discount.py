@@ -12,7 +12,7 @@ from orderloom.functions.rules import (
     discount_label,
     first_match,
 )
-from orderloom.operators.order_facts import customers_only, with_order_discount
+from orderloom.operators.order_facts import customers_only
 from orderloom.schemas import GOLD_BUSINESS, conform
 
 
@@ -27,10 +27,10 @@ def discount_order_summary(facts: DataFrame) -> DataFrame:
         total(F.col("discount")).alias("order_discount"),
         F.sum("line_items").alias("items_in_order"),
         F.min("user_id").alias("user_id"),
+        F.bool_or("order_has_discount").alias("order_has_discount"),  # one value in an order
     )
-    flagged = with_order_discount(orders, facts)
     summary = (
-        flagged.groupBy("order_has_discount")
+        orders.groupBy("order_has_discount")
         .agg(
             F.count("order_id").alias("total_orders"),
             mean(F.col("order_gross"), WIDE_AVERAGE).alias("avg_gross_order_value"),
@@ -69,8 +69,7 @@ def discount_by_category(priced: DataFrame) -> DataFrame:
 
 def discount_customer_behaviour(facts: DataFrame) -> DataFrame:
     """An order counts as discounted if any of its lines was, whoever the line belongs to."""
-    flagged = with_order_discount(customers_only(facts), facts)
-    per_customer = flagged.groupBy("user_id").agg(
+    per_customer = customers_only(facts).groupBy("user_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         distinct_where("order_id", "order_has_discount").alias("discounted_orders"),
         total(F.col("gross")).alias("total_gross_spend"),

@@ -53,7 +53,7 @@ SILVER = {
         """order_id id, user_id id, restaurant_id id, order_date date, is_loyalty boolean,
         line_items bigint, gross decimal(22,2), gross_lines bigint, net decimal(22,2),
         net_lines bigint, discount decimal(22,2), discount_given decimal(22,2),
-        has_discount boolean"""
+        has_discount boolean, order_has_discount boolean"""
     ),
 }
 

@@ -11,9 +11,17 @@ from pyspark.sql import functions as F
 
 from orderloom import schemas
 from orderloom.context import RunContext, cut_lineage
+from orderloom.operators.changes import newest_generation
+from orderloom.sources.published import VERSION, Published, State
 
 DAY = ("year", "month", "day")
 
+#: Tables kept as a base and generations of changed keys, and their keys.
+GENERATIONS = {"priced_items": "order_id", "order_facts": "order_id"}
+DELETED = "_deleted"
+#: Generations, and rows in them as a share of the base, beyond which the next write is a new base.
+MOST_GENERATIONS, LARGEST_SHARE = 16, 0.25
+
 # How each Gold table is partitioned.
 PERIOD_TABLES = {
     "sales_trends_daily": ("year", "month"),
@@ -38,6 +46,17 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *map(F.col, columns))
 
 
+def day_part(year: int | None, month: int | None, day: int | None) -> str:
+    """A day as a partition folder."""
+    values = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in (year, month, day))
+    return "/".join(f"{name}={value}" for name, value in zip(DAY, values, strict=True))
+
+
+def _base(state: State) -> int:
+    """The first of a table's generations."""
+    return min(int(folder.partition("=")[2]) for folder in state.folders)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Table paths under one root; ``id_type`` is the type of the source's keys."""
@@ -58,6 +77,15 @@ class Lake:
         files, place = self._place(self.path(layer, table))
         return files.exists(place)
 
+    def published(self, layer: str, table: str) -> Published:
+        """A table that is published as a whole: all but Bronze, which is appended to, and the calendar."""
+        days = {"order_items": DAY} if layer == "silver" else {}
+        by = {"gold": gold_partitions(table), "dlq": ("run_date",), "quality": ("run_date",)}.get(layer, days.get(table, ()))
+        return Published(self.spark, self.path(layer, table), by)
+
+    def _schema(self, table: str):
+        return schemas.struct(schemas.SILVER[table], self.id_type)
+
     # Bronze
 
     def append_days(
@@ -74,6 +102,12 @@ class Lake:
     def bronze(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path("bronze", table))
 
+    def day_folders(self, layer: str, table: str) -> set[str]:
+        """Names of the day partitions of a table that is appended to, from one listing of folders."""
+        root = self.path(layer, table)
+        files, place = self._place("/".join([root, *("*=*" for _ in DAY)]))
+        return {"/".join(f.getPath().toString().split("/")[-len(DAY) :]) for f in files.globStatus(place)}
+
     def count_run_rows(self, table: str, run: RunContext, first: date, last: date) -> int:
         """Rows of one run, read only from the day partitions it can have written."""
         day = F.make_date("year", "month", "day")
@@ -86,75 +120,119 @@ class Lake:
 
     # Silver
 
-    def write_silver_days(self, df: DataFrame, table: str, rebuild: bool = False) -> None:
+    def write_silver_days(self, df: DataFrame, table: str, rebuild: bool = False, notes: dict | None = None) -> None:
         """Replace the days present in ``df``; with ``rebuild``, the whole table.
 
         Replacing days only never removes a day that has vanished from the input.
         """
-        rows = schemas.conform(df, schemas.SILVER[table])
-        writer = balanced(rows, *DAY).write.mode("overwrite").partitionBy(*DAY)
-        mode = "static" if rebuild else "dynamic"
-        writer.option("partitionOverwriteMode", mode).parquet(self.path("silver", table))
-
-    def merge_silver_days(self, arriving: DataFrame, table: str, key: str) -> None:
+        rows = balanced(schemas.conform(df, schemas.SILVER[table]), *DAY)
+        target = self.published("silver", table)
+        if rebuild:
+            target.replace(rows, notes)
+        else:
+            target.replace_partitions(rows, notes)
+
+    def merge_silver_days(self, arriving: DataFrame, table: str, key: str, notes: dict | None = None) -> None:
         """Put arriving rows, one for each key, in place of what the table holds for these keys.
 
         Only the days are rewritten on which the keys' rows were or now are; a day that is left without
-        rows is dropped. Repeating it changes nothing. The days are bounded by the calendar.
+        rows ends with the same publication. Repeating it changes nothing. The days are bounded by the calendar.
         """
-        current = self.silver(table)
+        target = self.published("silver", table)
+        state = target.state() or State()
+        schema = self._schema(table)
         rows = cut_lineage(schemas.conform(arriving, schemas.SILVER[table]))
         keys = rows.select(key)
-        before = current.join(keys, key, "left_semi").select(*DAY)
-        touched = {tuple(r) for r in before.union(rows.select(*DAY)).distinct().collect()}
-        if not touched:
-            return
-        dated = [date(*d) for d in touched if None not in d]
-        on_touched = F.make_date(*DAY).isin(dated) if dated else F.lit(False)
-        if len(dated) < len(touched):
-            on_touched |= F.make_date(*DAY).isNull()
-        kept = current.filter(on_touched).join(keys, key, "left_anti")
-        merged = cut_lineage(kept.unionByName(rows.select(current.columns)))
-        self.write_silver_days(merged, table)
-        left = {tuple(r) for r in merged.select(*DAY).distinct().collect()}
-        for year, month, day in touched - left:
-            values = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in (year, month, day))
-            parts = "/".join(f"{name}={value}" for name, value in zip(DAY, values, strict=True))
-            files, place = self._place(f"{self.path('silver', table)}/{parts}")
-            files.delete(place, True)
-
-    def write_silver(self, df: DataFrame, table: str) -> None:
+        before = target.read(schema, state.folders).join(keys, key, "left_semi").select(*DAY)
+        touched = {day_part(*r) for r in before.union(rows.select(*DAY)).distinct().collect()}
+        held = [folder for part, folder in state.parts().items() if part in touched]
+        kept = target.read(schema, held).join(keys, key, "left_anti")
+        merged = balanced(kept.unionByName(rows.select(kept.columns)), *DAY)
+        version, folders = target.stage(merged)
+        parts = {part: folder for part, folder in state.parts().items() if part not in touched}
+        target.publish(version, [*parts.values(), *folders], state.notes if notes is None else notes)
+
+    def write_silver(self, df: DataFrame, table: str, notes: dict | None = None) -> None:
         """Replace a table that comes out of a shuffle: its partitions are the files, merged by adaptive execution."""
+        target = self.published("silver", table)
+        version, folders = target.stage(schemas.conform(df, schemas.SILVER[table]))
+        rows = self.spark.read.parquet(f"{target.root}/{folders[0]}").count()  # from the file footers
+        target.publish(version, folders, (notes or {}) | {"rows": {str(version): rows}})
+
+    def write_changed(self, df: DataFrame, touched: DataFrame, table: str, notes: dict) -> None:
+        """Replace the rows of the touched keys by ``df``, writing only them: the next generation of the table.
+
+        Where there are many generations, or they hold a good part of the rows, the whole table is written as
+        a new base instead, so that readers never have much to set aside.
+        """
+        key, target = GENERATIONS[table], self.published("silver", table)
+        state = target.state()
         rows = schemas.conform(df, schemas.SILVER[table])
-        rows.write.mode("overwrite").parquet(self.path("silver", table))
+        gone = touched.select(key).distinct().join(rows.select(key).distinct(), key, "left_anti")
+        marked = rows.withColumn(DELETED, F.lit(False)).unionByName(
+            gone.withColumn(DELETED, F.lit(True)), allowMissingColumns=True
+        )
+        version, folders = target.stage(marked)
+        counts = state.notes["rows"] | {str(version): self.spark.read.parquet(f"{target.root}/{folders[0]}").count()}
+        changed = sum(counts.values()) - counts[str(_base(state))]
+        if len(counts) <= MOST_GENERATIONS and changed <= LARGEST_SHARE * counts[str(_base(state))]:
+            target.publish(version, [*state.folders, *folders], notes | {"rows": counts})
+        else:
+            self.write_silver(self._generations(table, [*state.folders, *folders]), table, notes)
+
+    def note(self, table: str, notes: dict) -> None:
+        """Publish the same rows with new notes."""
+        target = self.published("silver", table)
+        state = target.state()
+        target.publish(state.version + 1, state.folders, notes | {"rows": state.notes["rows"]})
+
+    def _generations(self, table: str, folders) -> DataFrame:
+        schema = self._schema(table)
+        if len(folders) == 1:
+            return self.published("silver", table).read(schema, folders)
+        rows = self.published("silver", table).read(schema.add(DELETED, "boolean"), folders, versions=True)
+        live = newest_generation(rows, GENERATIONS[table], VERSION, _base(State(folders=tuple(folders))), DELETED)
+        return live.select(*(name for name, _ in schemas.SILVER[table]))
 
     def write_silver_single_file(self, df: DataFrame, table: str) -> None:
         """For a calendar-sized dimension only: everything goes through one task."""
         rows = schemas.conform(df, schemas.SILVER[table])
         rows.coalesce(1).write.mode("overwrite").parquet(self.path("silver", table))
 
-    def silver(self, table: str) -> DataFrame:
-        schema = schemas.struct(schemas.SILVER[table], self.id_type)
-        return self.spark.read.schema(schema).parquet(self.path("silver", table))
+    def silver(self, table: str, state: State | None = None) -> DataFrame:
+        """Rows of a table as it is now, or as it was in a state that is still kept."""
+        target = self.published("silver", table)
+        state = state or target.state()
+        if state is None:  # the calendar is a plain folder; a table never written fails as one
+            return self.spark.read.schema(self._schema(table)).parquet(target.root)
+        if table in GENERATIONS:
+            return self._generations(table, state.folders)
+        return target.read(self._schema(table), state.folders)
 
     def write_rejected(self, df: DataFrame, table: str) -> None:
         """Dead-letter rows under the date of the run that loaded them, in place of those it had."""
         rows = df.withColumn("run_date", F.col("pipeline_run_date"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(
-            self.path("dlq", table)
-        )
+        self.published("dlq", table).replace_partitions(rows)
 
     def rejected(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("dlq", table))
+        return self._dated("dlq", table)
 
     def write_quality(self, df: DataFrame, name: str, run: RunContext) -> None:
         """A quality table of one run, in place of what an earlier attempt of it wrote."""
-        rows = df.withColumn("run_date", F.lit(run.snapshot_date))
-        writer = rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")  # a few rows
-        writer.partitionBy("run_date").parquet(self.path("quality", name))
+        rows = df.withColumn("run_date", F.lit(run.snapshot_date)).coalesce(1)  # a few rows
+        self.published("quality", name).replace_partitions(rows)
 
     def quality(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("quality", name))
+        return self._dated("quality", name)
+
+    def _dated(self, layer: str, table: str) -> DataFrame:
+        """A table by date of run whose columns are those of its files."""
+        target = self.published(layer, table)
+        folders = (target.state() or State()).folders
+        if not folders:
+            return self.spark.createDataFrame([], "run_date date")
+        paths = [f"{target.root}/{folder}" for folder in folders]
+        return self.spark.read.option("basePath", target.root).option("mergeSchema", "true").parquet(*paths).drop(VERSION)
 
     # Gold
 
@@ -163,25 +241,23 @@ class Lake:
         rows = schemas.conform(run.stamp_gold(df), schemas.GOLD[table])
         partitions = gold_partitions(table)
         spread = balanced(rows) if partitions == (SNAPSHOT,) else balanced(rows, *partitions)
-        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *partitions
-        ).parquet(self.path("gold", table))
+        self.published("gold", table).replace_partitions(spread)
 
     def gold(self, table: str) -> DataFrame:
         """All snapshots or periods of a table."""
         schema = schemas.struct(schemas.GOLD[table], self.id_type)
-        return self.spark.read.schema(schema).parquet(self.path("gold", table))
+        return self.published("gold", table).read(schema)
 
     def latest(self, table: str, snapshot: str | None = None) -> DataFrame:
         """The rows reports read: the newest (or named) snapshot, or all periods.
 
-        The newest is found by the names of the partition folders, so no other snapshot's files are opened.
+        The newest is found by the names of the published folders, so no other snapshot's files are opened.
         """
-        rows = self.gold(table)
         if gold_partitions(table) != (SNAPSHOT,):
-            return rows
-        if snapshot is None:
-            files, place = self._place(self.path("gold", table))
-            names = [f.getPath().getName() for f in files.listStatus(place)]
-            snapshot = max((n.partition("=")[2] for n in names if n.startswith(f"{SNAPSHOT}=")), default="")
-        return rows.filter(F.col(SNAPSHOT) == F.lit(snapshot))
+            return self.gold(table)
+        target = self.published("gold", table)
+        parts = (target.state() or State()).parts()
+        wanted = f"{SNAPSHOT}={snapshot}" if snapshot else max(parts, default="")
+        schema = schemas.struct(schemas.GOLD[table], self.id_type)
+        rows = target.read(schema, [parts[wanted]] if wanted in parts else [])
+        return rows.filter(F.col(SNAPSHOT) == F.lit(wanted.partition("=")[2]))

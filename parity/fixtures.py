@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.context import cut_lineage
-from orderloom.operators.order_facts import order_facts, priced_items
+from orderloom.operators.changes import differing, replaced
+from orderloom.operators.order_facts import order_facts, priced_columns, priced_items
 from orderloom.plans import silver
 
 ITEM_TIES = ("tie", "item_price", "item_quantity")
@@ -114,16 +115,25 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def correction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A later load: every first line of an order again, three days on and a unit dearer."""
-    first = raw_order_items(spark, sf_dir).filter("lineitem_id % 10 = 1")
-    return first.withColumns(
+    """A later load: every line again, those of large quantities three days on and a unit dearer, all others as they were."""
+    large = F.expr("COALESCE(item_quantity > 40, FALSE)")
+    return raw_order_items(spark, sf_dir).withColumns(
         {
-            "item_price": F.expr("CAST(item_price + 1 AS DECIMAL(10,2))"),
-            "creation_time_utc": F.expr("creation_time_utc + INTERVAL '3' DAY"),
+            "item_price": F.when(large, F.expr("CAST(item_price + 1 AS DECIMAL(10,2))")).otherwise(F.col("item_price")),
+            "creation_time_utc": F.when(large, F.expr("creation_time_utc + INTERVAL '3' DAY")).otherwise(F.col("creation_time_utc")),
         }
     )
 
 
+def facts_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order facts kept up after the correction: only the orders it changed are priced and summed up again."""
+    before, bought = cut_lineage(items(spark, sf_dir)), cut_lineage(options(spark, sf_dir))
+    after = silver.corrected(before, silver.order_items(correction(spark, sf_dir), ITEM_TIES))
+    touched = cut_lineage(differing(priced_columns(before), priced_columns(after), "order_id"))
+    of_touched = priced_items(*(df.join(touched, "order_id", "left_semi") for df in (after, bought)))
+    return replaced(order_facts(priced_items(before, bought)), order_facts(of_touched), touched, "order_id")
+
+
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.order_item_options(raw_options(spark, sf_dir), OPTION_TIES)
 

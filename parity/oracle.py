@@ -440,13 +440,26 @@ def _stamped(table: str) -> str:
 
 
 CTES["raw_corrections"] = """
-        SELECT * REPLACE (CAST(item_price + 1 AS DECIMAL(10,2)) AS item_price,
-                          creation_time_utc + INTERVAL 3 DAY AS creation_time_utc)
-        FROM raw_items WHERE lineitem_id % 10 = 1"""
+        SELECT * REPLACE (
+            CASE WHEN item_quantity > 40 THEN CAST(item_price + 1 AS DECIMAL(10,2)) ELSE item_price END AS item_price,
+            CASE WHEN item_quantity > 40 THEN creation_time_utc + INTERVAL 3 DAY ELSE creation_time_utc END AS creation_time_utc)
+        FROM raw_items"""
 CTES["typed_corrections"] = CTES["typed_items"].replace("FROM raw_items", "FROM raw_corrections")
 CTES["corrected_items"] = CTES["items"].replace("FROM typed_items", "FROM typed_corrections")
 
+CTES["items_now"] = """SELECT * FROM corrected_items UNION ALL
+        SELECT i.* FROM items i ANTI JOIN corrected_items c USING (lineitem_id)"""
+CTES["priced_now"] = CTES["priced"].replace("FROM items", "FROM items_now")
+CTES["facts_now"] = f"""
+        SELECT order_id, user_id, restaurant_id, order_date, is_loyalty, COUNT(lineitem_id) AS line_items,
+               {total("revenue")} AS gross, COUNT(revenue) AS gross_lines, {total("net_revenue")} AS net,
+               COUNT(net_revenue) AS net_lines, {total("total_discount_amount")} AS discount,
+               {total("abs(total_discount_amount)")} AS discount_given, bool_or(has_discount) AS has_discount
+        FROM priced_now GROUP BY order_id, user_id, restaurant_id, order_date, is_loyalty"""
+
 QUERIES = {
+    "order_facts_after_correction": """SELECT *, bool_or(has_discount) OVER (PARTITION BY order_id) AS order_has_discount
+        FROM facts_now""",
     "silver_after_correction": """SELECT * FROM corrected_items UNION ALL
         SELECT i.* FROM items i ANTI JOIN corrected_items c USING (lineitem_id)""",
     "silver_order_items": "SELECT * FROM items",
