@@ -19,8 +19,8 @@ sections of them is also stored by the sections of all its shingles.
 3. Sets connected by stars form a block, which holds every similar partner of its sets. Blocks are
    joined by a path-compressed trie: a traversal carries the overlap with a whole subtree, and leaves it
    when the remaining lengths can no longer reach the threshold, or all its sets are linked already.
-4. Large blocks are first linked along their stars, exactly and by joins; what that leaves apart is joined
-   by tries over pairs of chunks, so a task never holds more than two chunks.
+4. Large blocks are first linked along their stars, each hub by the tries of its partners, in chunks; what that leaves
+   apart is joined by tries over pairs of chunks, so a task never holds more than two chunks.
 
 Links carry components, not all pairs: every pair of similar sets ends up in one component, which is the
 same as if all links were listed. Documents without words, and null or empty texts, are linked with nothing.
@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,10 @@ from orderloom.llm.links import components
 
 #: Sets that one trie task holds at most of each of its two chunks.
 CHUNK = 1000
-#: Node keys that one bucket of the exchange holds about.
-BUCKET_KEYS = 1_000_000
+#: Node keys that one bucket of the exchange holds about, and that a task sorts at once before it sends them.
+BUCKET_KEYS = RUN_KEYS = 400_000
+#: Counters of popular shingles at most, as a power of two.
+COUNTER_BITS = 22
 
 
 class Similarity:
@@ -120,11 +123,14 @@ def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
 def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np.ndarray:
     """By leading bits of a shingle's hash, whether its counter stands far above the mean.
 
-    The table has about an eighth as many counters as there are shingles, 2**24 at most: bounded, and the same for any
-    order of rows. Counters of a task are summed part by part.
+    The table has about an eighth as many counters as there are shingles, 2**22 at most: 16 MB in a task, and the same for
+    any order of rows. Counters are summed part by part, first over groups of tasks and then over these. Beyond some
+    30 million shingles a mark asks for more copies, in proportion; marks decide how much work is done, not what is found.
     """
-    bits = int(min(24, max(12, math.log2(max(total, 1) / 8))))
+    bits = int(min(COUNTER_BITS, max(12, math.log2(max(total, 1) / 8))))
     least = max(32, 4 * total // (1 << bits))
+    spark = docs.sparkSession
+    groups = max(1, math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions")) // parts))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << bits, np.uint32)
@@ -134,23 +140,30 @@ def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np
                 hashes, begins = word_hashes(texts[part])
                 for i, j in zip(begins, begins[1:]):
                     np.add.at(counters, (shingles(hashes[i:j], n) >> np.uint64(64 - bits)).astype(np.int64), 1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(parts), pa.int32()), pa.array([p.tobytes() for p in np.array_split(counters, parts)], pa.binary())],
-            ["part", "counts"],
-        )
+        task = TaskContext.get().partitionId() % groups
+        yield from (sums(k, task, part) for k, part in enumerate(np.array_split(counters, parts)))
+
+    def sums(part: int, group: int, counters: np.ndarray) -> pa.RecordBatch:
+        arrays = [pa.array([part], pa.int32()), pa.array([group], pa.int32()), pa.array([counters.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["part", "group", "counts"])
 
     def add(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, sums = None, 0
+        total, part = 0, 0
         for t in tables:
             part = t.column("part")[0].as_py()
-            for x in t.column("counts").to_pylist():
-                sums = sums + np.frombuffer(x, np.uint32).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([np.packbits(sums >= least).tobytes()], pa.binary())], ["part", "counts"]
-        )
-
-    schema = "part int, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+            for x in t.column("counts"):
+                total = total + np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64)
+        yield sums(part, -1, np.minimum(total, 2**32 - 1).astype(np.uint32))
+
+    def mark(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in add(tables):
+            counts = np.frombuffer(t.column("counts")[0].as_buffer(), np.uint32)
+            packed = pa.array([np.packbits(counts >= least).tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([t.column("part"), t.column("group"), packed], t.schema.names)
+
+    schema = "part int, group int, counts binary"
+    first = docs.select("text").mapInArrow(count, schema).groupBy("part", "group").applyInArrow(add, schema)
+    rows = first.groupBy("part").applyInArrow(mark, schema).collect()  # half a megabyte of marks
     if not rows:
         return np.zeros(1 << bits, bool)
     return np.unpackbits(np.frombuffer(b"".join(r["counts"] for r in sorted(rows)), np.uint8)).astype(bool)
@@ -182,7 +195,7 @@ def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int, popular
                         keys.append(found)
                         ids.append(np.full(len(found), doc, np.int64))
                         pending += len(found)
-                if pending > 2_000_000:
+                if pending > RUN_KEYS:
                     yield from packed()
                     pending = 0
         yield from packed()
@@ -381,20 +394,16 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
         _sets(met_texts, n, "shingles").dropDuplicates(["doc_id"]).select("doc_id", F.array_sort("shingles").alias("shingles"))
     )
 
-    # Large blocks: links along the stars, by joins.
+    # Large blocks: links along the stars. A hub goes once to each chunk of its partners, and probes their trie.
     counted = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("members"))
     large = stored(counted.filter(F.col("members") > chunk).select("block"))
-    size = F.size
     in_large = blocks.join(large, "block", "left_semi").select("doc_id")
     candidates = edges.join(in_large.withColumnRenamed("doc_id", "a"), "a", "left_semi")
-    pairs = (
-        candidates.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-        .withColumn("both", size(F.array_intersect("x", "y")))
-        .filter(F.col("both") * (100 + percent) >= (size("x") + size("y")) * percent)
-        .select("a", "b")
-    )
-    along = stored(pairs)
+    partners = candidates.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
+    star = candidates.join(partners, "b").withColumn("i", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int"))
+    roles = [star.select("b", "i", F.col("a").alias("doc_id"), F.lit(1).alias("side")), star.select("b", "i", F.col("b").alias("doc_id"), F.lit(0).alias("side")).distinct()]
+    met_there = roles[0].union(roles[1]).withColumn("component", F.col("doc_id")).join(sets, "doc_id")
+    along = stored(met_there.groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))
     reached = components(along).withColumnsRenamed({"id": "doc_id", "component": "reached"})
     members = blocks.join(reached, "doc_id", "left").select("doc_id", "block", F.coalesce("reached", "doc_id").alias("component"))
     members = stored(members)
