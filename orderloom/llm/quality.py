@@ -9,7 +9,8 @@ Trained by Adam on at most ``SAMPLE`` labelled documents, those with the smalles
 their id among rows whose crc32(doc_id as text) mod 5 is not 0, and on every passage of each. Together they have
 at most ``BAGS`` passages: a document that would go beyond is left out of the sample as a whole. Scoring reads every passage of every document and never sees lang, source, labels or ids.
 
-Null and empty texts are one empty passage, and get its score. Repeated rows score alike. Of
+Null and empty texts are one empty passage, and get its score. A score depends on the text alone, whatever stands beside
+it, and is rounded to five digits, so that repeated rows score alike. Texts of any length are read whole; an empty table gives an empty one. Of
 several labels of a document the largest counts. Without labels of both classes every score is
 0.5. Other columns are kept by ``keep`` and not read otherwise.
 """
@@ -49,29 +50,36 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = int(first[-1])
     doc_of_word = np.repeat(np.arange(len(texts)), np.diff(begins))
     passage = first[doc_of_word] + (np.arange(len(hashes)) - begins[doc_of_word]) // PASSAGE
-    # A byte belongs to the passage of the last word that began before it.
+    # A byte belongs to the passage of its text's last word that began before it, or to the first one; pairs lie within a text.
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     kind = _CLASS[data].astype(np.int64)
     inner = kind > 1
-    word_start = np.flatnonzero(inner & ~np.concatenate(([False], inner[:-1])))
-    owner = np.repeat(passage, np.diff(np.append(word_start, len(data)))) if len(word_start) == len(hashes) else None
+    word = np.cumsum(inner & ~np.concatenate(([False], inner[:-1]))) - 1
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    own = word >= begins[text]
+    owner = np.where(own, passage[np.where(own, word, 0)] if len(passage) else 0, first[text])
+    last = np.cumsum(sizes) - 1  # the spaces between the texts
+    paired = np.ones(len(data), bool)
+    paired[last] = False
+    paired[np.maximum(last - 1, 0)] = False  # the last byte of a text; of an empty one, the space before it
+    at = np.flatnonzero(paired[:-1]) if len(data) else np.zeros(0, np.int64)
     out = np.zeros((n, WIDTH), np.float32)
-    if owner is not None and len(owner):
-        kind = kind[word_start[0] :]
-        pair = owner[:-1] * CLASSES**2 + kind[:-1] * CLASSES + kind[1:]
-        pairs = np.bincount(pair, minlength=n * CLASSES**2).reshape(n, -1)
-        size = np.maximum(1, pairs.sum(1, keepdims=True))
-        out[:, : CLASSES**2] = 4 * np.sqrt(pairs / size)
-        bucket = np.bincount(passage * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=n * BUCKETS)
-        number = np.bincount(passage, minlength=n)
-        words = np.maximum(1, number)[:, None]
-        out[:, CLASSES**2 : -4] = np.sqrt(bucket.reshape(n, -1) / words)
-        order = np.lexsort((hashes, passage))
-        p, h = passage[order], hashes[order]
-        new = np.concatenate(([True], (p[1:] != p[:-1]) | (h[1:] != h[:-1])))
-        out[:, -4] = np.bincount(p[new], minlength=n) / words[:, 0]
-        out[:, -3] = np.minimum(4, size[:, 0] / words[:, 0] / 6)
-        out[:, -2] = number / PASSAGE
+    pair = owner[at] * CLASSES**2 + kind[at] * CLASSES + kind[at + 1]
+    pairs = np.bincount(pair, minlength=n * CLASSES**2).reshape(n, -1)
+    size = np.maximum(1, pairs.sum(1, keepdims=True))
+    out[:, : CLASSES**2] = 4 * np.sqrt(pairs / size)
+    bucket = np.bincount(passage * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=n * BUCKETS)
+    number = np.bincount(passage, minlength=n)
+    words = np.maximum(1, number)[:, None]
+    out[:, CLASSES**2 : -4] = np.sqrt(bucket.reshape(n, -1) / words)
+    order = np.lexsort((hashes, passage))
+    p, h = passage[order], hashes[order]
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1]) | (h[1:] != h[:-1])
+    out[:, -4] = np.bincount(p[new], minlength=n) / words[:, 0]
+    out[:, -3] = np.minimum(4, size[:, 0] / words[:, 0] / 6)
+    out[:, -2] = number / PASSAGE
     out[:, -1] = 1
     return out, first
 
@@ -170,8 +178,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | None:
     return fit(bags, (y > 0).astype(np.float32))
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with a column score."""
+def scored(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``, which must not be one of theirs."""
     model = train(docs, labels)
     names = docs.columns
     at = names.index("text")
@@ -181,10 +189,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
             texts = as_bytes(batch.column(at))
             scores = np.full(len(texts), 0.5)
             for part in slices(texts) if model else ():
-                scores[part] = attend(model, *passages(texts[part]))[0]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, "_score"])
+                scores[part] = np.round(attend(model, *passages(texts[part]))[0].astype(float), 5)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, name])
 
-    return docs.mapInArrow(score, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_score double"]))
+    return docs.mapInArrow(score, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` double"]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -192,11 +200,14 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels).select(
         "doc_id",
         (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, all columns kept."""
-    return scored(docs, labels).filter(F.col("_score") >= THRESHOLD).drop("_score")
+    name = "score"
+    while name in map(str.lower, docs.columns):
+        name = f"_{name}"
+    return scored(docs, labels, name).filter(F.col(name) >= THRESHOLD).drop(name)
