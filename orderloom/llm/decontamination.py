@@ -8,9 +8,9 @@ ask for more hits, which keeps chance hits out) and the least size of a document
 The sketch search loses no contained item. What it finds is verified exactly on the words
 themselves.
 
-Null or empty texts, and items of fewer than five words, have no shingles and match
-nothing. A repeated document or item row counts once per id: the union of its texts' shingles.
-Columns besides the id and the text are not read.
+An item of fewer than five words is one shingle of all its words, and is contained where they stand in a row.
+Null, empty and wordless texts have no shingles and match nothing; empty tables give no rows. A repeated document or item row
+counts once per id: the union of its texts' shingles. Texts of any length are read whole. Columns besides the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -23,14 +23,25 @@ from orderloom.llm._shared import BROADCAST_ROWS, small, stored, words
 WORDS, PERCENT = 5, 80
 
 
-def _windows(rows: DataFrame, key: str, tokens: Column, join, n: int) -> DataFrame:
-    """key, shingles: distinct ``n``-word shingles; none where the words are fewer.
+def _windows(rows: DataFrame, key: str, tokens: Column, join, n: int, shorter: list[int] | None = None) -> DataFrame:
+    """key, shingles: distinct ``n``-word shingles, and those of the shorter lengths; where these are None, of fewer
+    words the whole sequence.
 
     The tokens are a column of their own, so they are made once and not at each place.
     """
-    token, places = F.col("_tokens"), F.sequence(F.lit(0), F.size("_tokens") - n)
-    shingle = lambda i: join(*(F.get(token, i + k) for k in range(n)))
-    found = F.when(F.size("_tokens") >= n, F.array_distinct(F.transform(places, shingle))).otherwise(F.array())
+    token, none = F.col("_tokens"), F.array()
+    shingle = lambda i, n: join(*(F.get(token, i + k) for k in range(n)))
+
+    def windows(n: int) -> Column:
+        places = F.sequence(F.lit(0), F.size("_tokens") - n)
+        return F.when(F.size("_tokens") >= n, F.array_distinct(F.transform(places, lambda i: shingle(i, n)))).otherwise(none)
+
+    found = windows(n)
+    if shorter is None:
+        for k in range(1, n):
+            found = F.when(F.size("_tokens") == k, F.array(shingle(F.lit(0), k))).otherwise(found)
+    elif shorter:
+        found = F.concat(found, *map(windows, shorter))
     return rows.select(key, tokens.alias("_tokens")).select(key, found.alias("shingles"))
 
 
@@ -41,13 +52,19 @@ def _each(array: str) -> Column:
     return F.explode_outer(array)
 
 
-def hashed_shingles(rows: DataFrame, key: str, n: int = WORDS) -> DataFrame:
+def hashed_shingles(rows: DataFrame, key: str, n: int = WORDS, shorter: list[int] | None = None) -> DataFrame:
     hashed = F.transform(words(F.col("text")), lambda word: F.xxhash64(word))
-    return _windows(rows, key, hashed, F.xxhash64, n)
+    return _windows(rows, key, hashed, F.xxhash64, n, shorter)
 
 
-def exact_shingles(rows: DataFrame, key: str, n: int = WORDS) -> DataFrame:
-    return _windows(rows, key, words(F.col("text")), lambda *parts: F.concat_ws(" ", *parts), n)
+def exact_shingles(rows: DataFrame, key: str, n: int = WORDS, shorter: list[int] | None = None) -> DataFrame:
+    return _windows(rows, key, words(F.col("text")), lambda *parts: F.concat_ws(" ", *parts), n, shorter)
+
+
+def short_lengths(items: DataFrame, n: int) -> list[int]:
+    """Numbers of words below ``n`` that items have: documents are cut into shingles of these lengths too."""
+    count = F.size(words(F.col("text"))).alias("count")
+    return sorted(r["count"] for r in items.select(count).filter(F.col("count").between(1, n - 1)).distinct().collect())
 
 
 def sketches(items: DataFrame, percent: int, n: int) -> DataFrame:
@@ -70,8 +87,8 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT, n
     """doc_id, item_id, n_item_shingles, n_shared: every item of which a document holds ``percent`` or more."""
     items = items.select("item_id", "text")
     docs = docs.select("doc_id", "text")
-    sketch = stored(sketches(items, percent, n))
-    hashed = hashed_shingles(docs, "doc_id", n).select(
+    sketch, shorter = stored(sketches(items, percent, n)), short_lengths(items, n)
+    hashed = hashed_shingles(docs, "doc_id", n, shorter).select(
         "doc_id", F.size("shingles").alias("size"), _each("shingles").alias("hash")
     )
     found = stored(
@@ -87,7 +104,7 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT, n
     known = exact_shingles(items, "item_id", n).select("item_id", _each("shingles").alias("shingle")).dropna().distinct()
     wanted = found.select("doc_id").distinct()
     texts = docs.join(F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted, "doc_id", "left_semi")
-    own = exact_shingles(texts, "doc_id", n)
+    own = exact_shingles(texts, "doc_id", n, shorter)
     asked = found.join(known.groupBy("item_id").agg(F.collect_list("shingle").alias("item_shingles")), "item_id")
     shared = (
         own.join(asked, "doc_id")
@@ -121,12 +138,13 @@ item_words AS (
   SELECT item_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM item_words WHERE len(w) > 0 UNION SELECT 5),
 doc_shingles AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s
-  FROM doc_words WHERE len(w) >= 5),
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS s
+  FROM doc_words, lengths WHERE len(w) >= k),
 item_shingles AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s
-  FROM item_words WHERE len(w) >= 5),
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) AS s
+  FROM item_words WHERE len(w) > 0),
 sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id)
 SELECT doc_id, item_id, n AS n_item_shingles, count(*) AS n_shared
 FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
