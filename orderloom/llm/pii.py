@@ -9,7 +9,7 @@ classifier over coarse span features is trained on the counts weighted by those
 candidate is a span if the classifier says so; one that overlaps a base span is dropped.
 
 Null and empty texts have no spans. Repeated rows are searched each on its own. Positions are
-code points, ends exclusive. Matching is linear in the length of a text.
+code points, ends exclusive. Matching is linear in the length of a text, however long; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ GIVEN_NAMES = frozenset(
     "Anna Ben Carlos Charlotte Claire Daniel David Elena Emily Emma Felix Hans Jack James Jan Jean John Jose Juan "
     "Julia Karl Laura Lena Lucas Luis Maria Marie Mary Max Michael Paul Peter Pierre Robert Sarah Sofia Thomas".split()
 )
-TITLES = frozenset("mr mrs ms dr herr frau señor señora madame monsieur dear".split())
+TITLES = frozenset("mr mrs ms dr herr frau señor señora madame monsieur dear name contact author".split())
 NAME_CUES = re.compile(r"(?i)\b(?:mr|mrs|ms|dr|herr|frau|señor|señora|madame|monsieur|name|contact|dear|author)\b[.:]?\s*$")
 SECRET_CUES = re.compile(r"(?i)(?:password|passwort|passwd|pwd|token|secret|api[_-]?key|key|contraseña)\s*[=:]\s*[\"']?$")
 LICENCE = re.compile(r"(?i)licen[sc]e|copyright|version|revision|checksum|commit")
@@ -127,21 +127,35 @@ def candidates(text: str) -> Iterator[tuple[Span, tuple[int, ...], str]]:
         )
         features = f"key={key} hex={hexa} cue={cue} length={min(len(value) // 8, 8)} entropy={int(entropy)}"
         yield ("secret", *m.span()), votes, features
-    for m in _NAMES.finditer(text):  # a run of capitalised words: a name is two of them, after titles
-        words, start = m.group().split(" "), m.start()
-        cue = bool(NAME_CUES.search(text[max(0, start - 20) : start]))
-        at = 0
-        while at < len(words) and words[at].lower() in TITLES:
-            at, cue = at + 1, True
-        if not cue:
-            at = next((k for k, word in enumerate(words) if word in GIVEN_NAMES), len(words))
-        if at + 2 > len(words):  # nothing left, or no labeler for it
-            continue
-        first, length = words[at], len(words[at]) + 1 + len(words[at + 1])
-        start += sum(len(word) + 1 for word in words[:at])
-        known = first in GIVEN_NAMES
-        votes = (SILENT, FOR if known else AGAINST, FOR if cue else SILENT, SILENT, AGAINST if len(first) < 3 else SILENT)
-        yield ("name", start, start + length), votes, f"known={known} cue={cue} length={min(length // 8, 4)}"
+    for m in _NAMES.finditer(text):
+        for first, start, end, n, cue in names_in(m.group().split(" "), m.start(), bool(NAME_CUES.search(text[max(0, m.start() - 20) : m.start()]))):
+            known = first in GIVEN_NAMES
+            votes = (SILENT, FOR if known else AGAINST, FOR if cue else SILENT, SILENT, AGAINST if len(first) < 3 else SILENT)
+            yield ("name", start, end), votes, f"known={known} cue={cue} length={min((end - start) // 8, 4)} words={min(n, 4)}"
+
+
+def names_in(words: list[str], start: int, cue: bool) -> Iterator[tuple[str, int, int, int, bool]]:
+    """(first word, start, end, words, announced) of the names in a run of capitalised words that starts at ``start``.
+
+    A name begins after a title, at the run's beginning where the words before announce one, or at a given name; it goes on
+    to the next such place or the run's end. Given names in a row are of one name. Words before the first such place are no name.
+    """
+    at, begun = start, None  # begun: first word, start, end so far, words, announced, only given names so far
+    for word in words:
+        end = at + len(word)
+        if word.lower() in TITLES:
+            if begun:
+                yield begun[:5]
+            begun, cue = None, True
+        elif begun and not (word in GIVEN_NAMES and not begun[5]):
+            begun = (begun[0], begun[1], end, begun[3] + 1, begun[4], begun[5] and word in GIVEN_NAMES)
+        elif cue or word in GIVEN_NAMES:
+            if begun:
+                yield begun[:5]
+            begun, cue = (word, at, end, 1, cue, word in GIVEN_NAMES), False
+        at = end + 1
+    if begun:
+        yield begun[:5]
 
 
 # --- label model and classifier -------------------------------------------------------------

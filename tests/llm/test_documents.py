@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import html_text, pii, quality, registry
 from tests.conftest import SF_DIR
@@ -56,8 +57,7 @@ def test_training_reads_every_passage_of_whole_documents(spark, frame, monkeypat
     whole = {n: quality.passages([t])[0].astype(np.float16) for n, t in ((71, long.encode()), (3, short.encode()))}
     bags, y = seen[0]
     assert {len(b) for b in bags} == {3, 71} and all(len(b) == (71 if k else 3) for b, k in zip(bags, y))
-    words = slice(quality.CLASSES**2, -4)  # byte pairs of a last passage reach into the text that follows it in a batch
-    assert all((b[:-1] == whole[len(b)][:-1]).all() and (b[-1, words] == whole[len(b)][-1, words]).all() for b in bags)
+    assert all((b == whole[len(b)]).all() for b in bags)
     monkeypatch.setattr(quality, "BAGS", 300)
     quality.train(docs, labels)
     sizes = [len(b) for b in seen[1][0]]
@@ -65,6 +65,45 @@ def test_training_reads_every_passage_of_whole_documents(spark, frame, monkeypat
     assert quality.fitting([(1, 5), (2, 9), (3, 4)], 9) == ([1, 3], [2])
 
 
+def test_a_score_depends_on_the_text_alone(spark, frame, corpus):
+    texts = [(t or "").encode() for _, t in corpus] + [b"Alpha beta gamma delta.", b"\n\n  Next text", b"a", b" a ", b"\n", b"ends with newline\n"]
+    alone = [quality.passages([t])[0] for t in texts]
+    rng = np.random.default_rng(0)
+    for order in (range(len(texts)), range(len(texts))[::-1], rng.permutation(len(texts)).tolist()):
+        x, first = quality.passages([texts[k] for k in order])
+        for place, k in enumerate(order):
+            assert (x[first[place] : first[place + 1]] == alone[k]).all()
+    labels = spark.createDataFrame([(i, k % 2, 0) for k, (i, _) in enumerate(corpus)], "doc_id long, quality int, toxic int")
+    docs = frame(corpus)
+    once = {r["doc_id"]: r["score"] for r in quality.classify(docs, labels).collect()}
+    again = {r["doc_id"]: r["score"] for r in quality.classify(docs.coalesce(1).orderBy(F.desc("doc_id")), labels).collect()}
+    assert all(abs(once[i] - again[i]) < 2e-5 for i in once) and once.keys() == again.keys()
+    extra = docs.withColumn("SCORE", F.lit("x")).withColumn("_score", F.lit(1))
+    assert quality.keep(extra, labels).columns == extra.columns
+
+
+NAMES = {
+    "Contact Anna Smith Peter Jones": ["Anna Smith", "Peter Jones"],
+    "said Herr Juan Carlos Garcia today": ["Juan Carlos Garcia"],
+    "Mr Xu Li Anna Smith": ["Xu Li", "Anna Smith"],
+    "Dear Maria Jose Garcia Lopez Dr Karl Weber": ["Maria Jose Garcia Lopez", "Karl Weber"],
+    "The Big House": [],
+    "name: Wei Zhang": ["Wei Zhang"],
+    "Old Friend Emma Stone Wins": ["Emma Stone Wins"],
+}
+
+
+@pytest.mark.parametrize("text", NAMES)
+def test_every_name_of_a_run_is_a_candidate(text):
+    assert [text[a:b] for (kind, a, b), *_ in pii.candidates(text) if kind == "name"] == NAMES[text]
+
+
+def test_names_of_long_runs_are_found(frame):
+    rows = [(k, f"Herr Juan Carlos Garcia met Anna Smith Peter Jones on day {k}") for k in range(30)]
+    spans = {r["spans"] for r in pii.find(frame(rows)).collect()}
+    assert spans == {"name:5:23,name:28:38,name:39:50"}
+
+
 TEXTS = [
     "", "a@b", "x.y+z@mail.example.com, a@b.c@d.e", "@a.b @@ c@@d.e f@-.g.", "1.2.3.4 1.2.3.4.5.6.7.8 256.1.1.1 1.1.1.1111 0001.02.3.4",
     "4799134681044206 4799-1346 8104 4206 4799134681044207 12345678901234567890", "+1 (319) 555-5132 +1 +12 +1234567 +(12) +1-2345678)", "é@x.y ü1.2.3.4", "9" * 500,

@@ -104,17 +104,19 @@ def test_contained_items_equal_brute_force(spark, frame, corpus):
     long = max((t or "" for _, t in corpus), key=len).split()
     items = [(1, " ".join(long[50:70])), (2, " ".join(long[5:9])), (3, None), (4, ""), (5, " ".join([*long[100:130], "zzz", *long[131:150]]))]
     items += [(6, " ".join(long[300:420])), (6, " ".join(long[300:420])), (7, "never seen words at all in any text here")]
-    known = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, hits string")
+    items += [(8, " ".join(long[40:43])), (9, long[7].upper()), (10, "never seen"), (11, " \t"), (12, "One two"), (13, " ".join(long[60:64]))]
     expected = set()
     for item, text in {i: t for i, t in items}.items():
-        want = shingles(text, 5) if len((text or "").split()) >= 5 else set()
+        want = shingles(text, 5)
+        n = min(5, len((text or "").split()))
         for doc, body in corpus:
-            have = shingles(body, 5) & want
+            have = shingles(body, n) & want if n else set()
             if want and 100 * len(have) >= 80 * len(want):
                 expected.add((doc, item, len(want), len(have)))
     docs = frame(corpus)
+    known = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, hits string")
     found = {tuple(r) for r in decontamination.contained_items(docs, known).collect()}
-    assert found == expected and {i for _, i, _, _ in found} == {1, 5, 6}
+    assert found == expected and {i for _, i, _, _ in found} == {1, 2, 5, 6, 8, 9, 12, 13}
     clean = decontamination.decontaminate(docs, known)
     assert clean.columns == docs.columns
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in corpus} - {d for d, *_ in expected}
