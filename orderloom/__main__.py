@@ -28,7 +28,12 @@ def parser() -> argparse.ArgumentParser:
     return options
 
 
-def _sources(spark, args):
+def _above(mark: datetime | None) -> str | None:
+    """What the order items that a run reads have in common, for the database: the same rows as the mark's predicate."""
+    return None if mark is None else f"creation_time_utc > '{mark.astimezone(UTC):%Y-%m-%d %H:%M:%S.%f}'"
+
+
+def _sources(spark, args, marks):
     if args.source:
         return {table: spark.read.parquet(f"{args.source}/{table}") for table in SOURCE_TABLES}
     if not args.jdbc:
@@ -41,7 +46,10 @@ def _sources(spark, args):
     def read(table: str):
         name = f"{prefix}.{table}"
         wanted = splits.get(table)
-        return database.table(spark, name, database.split(spark, name, **wanted) if wanted else None)
+        if not wanted:
+            return database.table(spark, name)
+        above = _above(marks.get(table)) if table == "order_items" else None
+        return database.read_ranges(spark, name, database.ranges(spark, name, above=above, **wanted), above)
 
     return {table: read(table) for table in SOURCE_TABLES}
 
@@ -53,13 +61,13 @@ def main(argv: list[str] | None = None) -> None:
     marks = Watermarks(spark, f"{args.lake}/state/watermarks")
     run = RunContext.at(datetime.now(UTC))
     if args.stage == "bronze":
-        daily.run_bronze(lake, marks, _sources(spark, args), run)
+        daily.run_bronze(lake, marks, _sources(spark, args, marks), run)
     elif args.stage == "silver":
         daily.run_silver(lake, run)
     elif args.stage == "gold":
         daily.run_gold(lake, run)
     elif args.stage == "daily":
-        daily.run_daily(lake, marks, _sources(spark, args), run)
+        daily.run_daily(lake, marks, _sources(spark, args, marks), run)
     else:
         for table in SOURCE_TABLES:
             register(lake, "bronze", table, f"{args.database}_bronze")

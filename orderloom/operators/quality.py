@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.rules import first_match
@@ -36,6 +37,7 @@ OPTION_RULES = (
     Rule("NULL_OPTION_PRICE", "option_price IS NULL"),
 )
 CLEAN = "CLEAN"
+RULES = {"order_items": ORDER_ITEM_RULES, "order_item_options": OPTION_RULES}
 
 
 def with_flags(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -78,3 +80,33 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def flag_distribution(df: DataFrame) -> DataFrame:
     return df.groupBy("dq_flag").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- the same counts, gathered while a table is written ---------------------------------------
+
+
+def tally(columns: Sequence[str], rules: tuple[Rule, ...]) -> list[Column]:
+    """Rows, nulls by column and rows by flag as plain sums, which can be observed on rows that are being written,
+    added up and taken off again."""
+    flags = [*(r.flag for r in rules if not r.drops), CLEAN]
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns),
+        *(F.count_if(F.col("dq_flag") == flag).alias(f"flag_{flag}") for flag in flags),
+    ]
+
+
+def combined(*signed: tuple[int, Mapping[str, int]]) -> dict[str, int]:
+    """Sum of tallies, each with its sign."""
+    names = signed[0][1].keys()
+    return {name: sum(sign * counts[name] for sign, counts in signed) for name in names}
+
+
+def tables_of(spark: SparkSession, counts: Mapping[str, int], columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """What ``null_profile`` and ``flag_distribution`` give for the rows that a tally has counted."""
+    nulls = [(c, counts[f"null_{c}"], counts["rows"]) for c in columns]
+    flags = [(name.removeprefix("flag_"), n) for name, n in counts.items() if name.startswith("flag_") and n]
+    return (
+        spark.createDataFrame(nulls, "column_name string, null_count bigint, total_rows bigint"),
+        spark.createDataFrame(flags, "dq_flag string, rows bigint"),
+    )

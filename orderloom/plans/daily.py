@@ -134,11 +134,19 @@ def run_silver(lake: Lake, run: RunContext) -> None:
 
 
 def quality_step(lake: Lake, run: RunContext) -> None:
-    """Null counts by column and rows by flag of the flagged Silver tables, kept for each run."""
-    tables = {name: lake.silver(name) for name in ("order_items", "order_item_options")}
-    named = lambda df, name: df.select(F.lit(name).alias("table_name"), "*")
-    profiles = [named(quality.null_profile(df), name) for name, df in tables.items()]
-    flags = [named(quality.flag_distribution(df), name) for name, df in tables.items()]
+    """Null counts by column and rows by flag of the flagged Silver tables, kept for each run.
+
+    The counts were gathered as the tables were written and are published with them; a table is scanned only where they are not.
+    """
+    profiles, flags = [], []
+    for name in quality.RULES:
+        counts = lake.published("silver", name).state().notes.get("quality")
+        table = lake.silver(name)
+        found = (quality.null_profile(table), quality.flag_distribution(table))
+        if counts:
+            found = quality.tables_of(lake.spark, counts, [column for column, _ in schemas.SILVER[name]])
+        for tables, df in zip((profiles, flags), found):
+            tables.append(df.select(F.lit(name).alias("table_name"), "*"))
     lake.write_quality(reduce(DataFrame.unionByName, profiles), "dq_profile", run)
     lake.write_quality(reduce(DataFrame.unionByName, flags), "dq_flag_distribution", run)
 

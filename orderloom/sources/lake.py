@@ -6,11 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas
 from orderloom.context import RunContext, cut_lineage
+from orderloom.operators import quality
 from orderloom.operators.changes import newest_generation
 from orderloom.sources.published import VERSION, Published, State
 
@@ -125,12 +126,29 @@ class Lake:
 
         Replacing days only never removes a day that has vanished from the input.
         """
-        rows = balanced(schemas.conform(df, schemas.SILVER[table]), *DAY)
+        rows, seen = self._tallied(balanced(schemas.conform(df, schemas.SILVER[table]), *DAY), table)
         target = self.published("silver", table)
-        if rebuild:
-            target.replace(rows, notes)
-        else:
-            target.replace_partitions(rows, notes)
+        state = target.state()
+        version, folders = target.stage(rows)
+        notes = (state.notes if state else {}) if notes is None else notes
+        if rebuild or state is None:
+            target.publish(version, folders, notes | {"quality": seen()})
+        else:  # what the replaced days had counted is not known
+            parts = state.parts() | State(folders=tuple(folders)).parts()
+            target.publish(version, parts.values(), {k: v for k, v in notes.items() if k != "quality"})
+
+    def _tallied(self, df: DataFrame, table: str) -> tuple[DataFrame, Callable[[], dict[str, int] | None]]:
+        """Rows on their way into a flagged table, and, after they are written, their quality counts.
+
+        They are observed in the writing stage, where a retried task is counted once.
+        """
+        if table not in quality.RULES:
+            return df, lambda: None
+        seen = Observation()
+        return df.observe(seen, *self._tally(table)), lambda: dict(seen.get)
+
+    def _tally(self, table: str):
+        return quality.tally([name for name, _ in schemas.SILVER[table]], quality.RULES[table])
 
     def merge_silver_days(self, arriving: DataFrame, table: str, key: str, notes: dict | None = None) -> None:
         """Put arriving rows, one for each key, in place of what the table holds for these keys.
@@ -147,17 +165,22 @@ class Lake:
         touched = {day_part(*r) for r in before.union(rows.select(*DAY)).distinct().collect()}
         held = [folder for part, folder in state.parts().items() if part in touched]
         kept = target.read(schema, held).join(keys, key, "left_anti")
-        merged = balanced(kept.unionByName(rows.select(kept.columns)), *DAY)
+        merged, seen = self._tallied(balanced(kept.unionByName(rows.select(kept.columns)), *DAY), table)
         version, folders = target.stage(merged)
         parts = {part: folder for part, folder in state.parts().items() if part not in touched}
-        target.publish(version, [*parts.values(), *folders], state.notes if notes is None else notes)
+        notes, before = state.notes if notes is None else notes, state.notes.get("quality")
+        if before:  # the days written anew are counted twice, before and after, and no others
+            out = target.read(schema, held).agg(*self._tally(table)).first().asDict()
+            notes = notes | {"quality": quality.combined((1, before), (-1, out), (1, seen()))}
+        target.publish(version, [*parts.values(), *folders], notes)
 
     def write_silver(self, df: DataFrame, table: str, notes: dict | None = None) -> None:
         """Replace a table that comes out of a shuffle: its partitions are the files, merged by adaptive execution."""
         target = self.published("silver", table)
-        version, folders = target.stage(schemas.conform(df, schemas.SILVER[table]))
+        counted, seen = self._tallied(schemas.conform(df, schemas.SILVER[table]), table)
+        version, folders = target.stage(counted)
         rows = self.spark.read.parquet(f"{target.root}/{folders[0]}").count()  # from the file footers
-        target.publish(version, folders, (notes or {}) | {"rows": {str(version): rows}})
+        target.publish(version, folders, (notes or {}) | {"rows": {str(version): rows}, "quality": seen()})
 
     def write_changed(self, df: DataFrame, touched: DataFrame, table: str, notes: dict) -> None:
         """Replace the rows of the touched keys by ``df``, writing only them: the next generation of the table.

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.operators import quality
 from orderloom.operators.changes import differing, newest_generation, replaced
 from orderloom.operators.order_facts import order_facts, priced_items
 from orderloom.plans import daily, discount, silver
 from orderloom.schemas import SILVER, struct
 from orderloom.sources import catalog
+from orderloom.sources.jdbc import Ranges
 from orderloom.sources import lake as lake_module
 from orderloom.sources.lake import Lake
 from orderloom.sources.published import ConcurrentWrite, Published, State
@@ -256,3 +259,53 @@ def test_a_new_day_takes_few_statements(spark, lake, monkeypatch):
     done = registered("silver")  # day 1 ends, day 2 is written again, day 7 is new, and the version is noted
     assert sorted(s.split("`")[4].split()[0] for s in done) == ["ADD", "DROP", "PARTITION", "SET"]
     assert State().parts() == {}
+
+
+# --- quality counts ----------------------------------------------------------------------------
+
+
+def test_quality_counts_of_the_writes_equal_those_of_a_scan(spark, lake, monkeypatch):
+    rng = random.Random(7)
+    for step, day in enumerate(("2024-03-01", "2024-03-02", "2024-03-03")):
+        changes = [
+            {"lineitem_id": k, "user_id": rng.choice([None, 1]), "item_price": rng.choice([None, "-1", "2"]), "creation_time_utc": rng.choice([None, f"2024-02-0{rng.randint(1, 4)} 00:00:00"])}
+            for k in rng.sample(range(20), 9)
+        ]
+        append(lake, spark, day, *changes)
+        daily.silver_items_step(lake, run_on(day))
+        load_options(lake, spark, day, *({"lineitem_id": k, "option_price": rng.choice([None, "1"])} for k in range(5 + step)))
+    scanned = {}
+    for name in quality.RULES:
+        table = lake.silver(name)
+        scanned[name] = [sorted(map(tuple, build(table).collect())) for build in (quality.null_profile, quality.flag_distribution)]
+    for build in ("null_profile", "flag_distribution"):
+        monkeypatch.setattr(quality, build, lambda _: None)  # no table may be scanned for them
+    daily.quality_step(lake, run_on("2024-03-03"))
+    for name in quality.RULES:
+        for table, expected in zip(("dq_profile", "dq_flag_distribution"), scanned[name]):
+            stored = lake.quality(table).filter(F.col("table_name") == name).drop("table_name", "run_date")
+            assert sorted(map(tuple, stored.collect())) == expected
+
+
+# --- database reads ----------------------------------------------------------------------------
+
+
+def test_ranges_hold_equal_shares_of_a_skewed_column(duck):
+    duck.execute("CREATE TABLE skewed AS SELECT CAST(pow(i, 4) AS BIGINT) AS id, i % 7 AS other FROM range(1, 5001) t(i)")
+    duck.execute("INSERT INTO skewed SELECT NULL, 1 FROM range(50)")
+    for above in (None, "other < 3"):
+        lows = duck.execute(f"SELECT low FROM {Ranges.edges_query('skewed', 'id', 16, above)}").fetchall()
+        ranges = Ranges.of("id", (r[0] for r in lows))
+        counts = [duck.execute(f"SELECT COUNT(*) FROM skewed WHERE {p}").fetchone()[0] for p in ranges.predicates(above)]
+        total = duck.execute(f"SELECT COUNT(*) FROM skewed WHERE {above or '1 = 1'}").fetchone()[0]
+        assert len(counts) == 16 and sum(counts) == total and max(counts) <= 2 * total / 16
+    assert Ranges.of("id", [3, 3, 3]).predicates() == ["1 = 1"] and Ranges.of("id", []).predicates("x > 1") == ["(1 = 1) AND (x > 1)"]
+    assert Ranges.of("d", [datetime.date(2024, 1, 1), datetime.date(2024, 2, 1)]).predicates() == ["d < '2024-02-01' OR d IS NULL", "d >= '2024-02-01'"]
+    assert Ranges.of("s", ["a", "o'b"]).predicates()[1] == "s >= 'o''b'"
+
+
+def test_the_database_is_asked_above_the_mark():
+    from orderloom.__main__ import _above
+
+    mark = datetime.datetime(2024, 1, 2, 3, 4, 5, tzinfo=datetime.UTC)
+    assert _above(mark) == "creation_time_utc > '2024-01-02 03:04:05.000000'" and _above(None) is None
