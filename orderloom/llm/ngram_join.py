@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, shingles, slices, stored, word_hashes
@@ -47,6 +47,10 @@ from orderloom.llm.links import components
 CHUNK = 1000
 #: Node keys that one bucket of the exchange holds about, and that a task sorts at once before it sends them.
 BUCKET_KEYS = RUN_KEYS = 400_000
+#: Bytes of text that a task works on at once.
+SLICE = 1 << 18
+#: Hubs that a set of a large block is held against before the tries over chunks.
+HUBS = 2
 #: Counters of popular shingles at most, as a power of two.
 COUNTER_BITS = 22
 
@@ -105,7 +109,7 @@ def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, sets = as_bytes(batch.column(1)), []
-            for part in slices(texts):
+            for part in slices(texts, SLICE):
                 hashes, begins = word_hashes(texts[part])
                 sets += [shingles(hashes[i:j], n) for i, j in zip(begins, begins[1:])]
             prints = [int(np.sum(mix(s))) << 64 | int(np.sum(mix(s ^ np.uint64(0x5851F42D4C957F2D)))) for s in sets]
@@ -136,7 +140,7 @@ def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np
         counters = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             texts = as_bytes(batch.column(0))
-            for part in slices(texts):
+            for part in slices(texts, SLICE):
                 hashes, begins = word_hashes(texts[part])
                 for i, j in zip(begins, begins[1:]):
                     np.add.at(counters, (shingles(hashes[i:j], n) >> np.uint64(64 - bits)).astype(np.int64), 1)
@@ -187,7 +191,7 @@ def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int, popular
         pending = 0
         for batch in batches:
             texts, numbers = as_bytes(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-            for part in slices(texts):
+            for part in slices(texts, SLICE):
                 hashes, begins = word_hashes(texts[part])
                 for doc, i, j in zip(numbers[part], begins, begins[1:]):
                     if i < j:
@@ -394,13 +398,18 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
         _sets(met_texts, n, "shingles").dropDuplicates(["doc_id"]).select("doc_id", F.array_sort("shingles").alias("shingles"))
     )
 
-    # Large blocks: links along the stars. A hub goes once to each chunk of its partners, and probes their trie.
+    # Large blocks: links along the stars. A set is held against the hubs with the most partners among its own, so it is sent
+    # as often as that and not once for each of its nodes; a hub goes once to each chunk of its partners, and probes
+    # their trie. This only saves work below: what it leaves apart meets there.
     counted = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("members"))
     large = stored(counted.filter(F.col("members") > chunk).select("block"))
     in_large = blocks.join(large, "block", "left_semi").select("doc_id")
     candidates = edges.join(in_large.withColumnRenamed("doc_id", "a"), "a", "left_semi")
-    partners = candidates.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
-    star = candidates.join(partners, "b").withColumn("i", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int"))
+    partners = candidates.groupBy("b").agg(F.count(F.lit(1)).alias("partners"))
+    nearest = Window.partitionBy("a").orderBy(F.desc("partners"), "b")
+    held = candidates.join(partners, "b").withColumn("nearest", F.row_number().over(nearest)).filter(F.col("nearest") <= HUBS)
+    chunks = F.ceil(F.col("partners") / chunk).cast("int")
+    star = stored(held.select("a", "b", F.pmod(F.xxhash64("a"), chunks).cast("int").alias("i")))
     roles = [star.select("b", "i", F.col("a").alias("doc_id"), F.lit(1).alias("side")), star.select("b", "i", F.col("b").alias("doc_id"), F.lit(0).alias("side")).distinct()]
     met_there = roles[0].union(roles[1]).withColumn("component", F.col("doc_id")).join(sets, "doc_id")
     along = stored(met_there.groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))

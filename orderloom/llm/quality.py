@@ -28,6 +28,8 @@ from orderloom.llm._shared import as_bytes, slices, stored, word_hashes
 
 SAMPLE, BAGS, PASSAGE = 4000, 256_000, 64
 THRESHOLD = 0.3
+#: Bytes of text that a task works on at once.
+SLICE = 1 << 18
 CLASSES, BUCKETS = 16, 128
 WIDTH = CLASSES * CLASSES + BUCKETS + 4
 
@@ -156,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | None:
         for batch in batches:
             texts = as_bytes(batch.column(2))
             bags = []
-            for part in slices(texts):
+            for part in slices(texts, SLICE):
                 x, first = passages(texts[part])
                 bags += [x[i:j].astype(np.float16).tobytes() for i, j in zip(first, first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], ["id", "y", "bag"])
@@ -188,7 +190,7 @@ def scored(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame
         for batch in batches:
             texts = as_bytes(batch.column(at))
             scores = np.full(len(texts), 0.5)
-            for part in slices(texts) if model else ():
+            for part in slices(texts, SLICE) if model else ():
                 scores[part] = np.round(attend(model, *passages(texts[part]))[0].astype(float), 5)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, name])
 
