@@ -10,11 +10,12 @@ class emits its words in proportion to their counts less a discount, and the dis
 the probability of words of that class that training never saw. Over known words and one
 unknown word for each class the probabilities sum to one.
 
-Baum-Welch counts of each task are summed over tasks by a shuffle for each iteration. For
-training, documents are cut into segments; the score of a document is exact, by the scaled forward
-recursion over its whole text.
+Baum-Welch counts of each task are summed over tasks by a shuffle for each iteration. Training reads whole documents:
+they are worked on in segments, whose states at the cuts follow from the segments around them. The score of a document is
+exact, by the scaled forward recursion over its whole text in double precision.
 
-Null and empty texts are the end token alone. Repeated rows count and are scored each on its own.
+Null and empty texts are the end token alone, texts of any length are read whole, an empty table gives an empty one. Repeated
+rows count and are scored each on its own.
 Without training documents every symbol is equally likely. Words are told apart by 64-bit hashes.
 Other columns are not read.
 """
@@ -33,9 +34,11 @@ from pyspark.sql import functions as F
 
 from orderloom.llm._shared import as_bytes, slices, span_hashes, stored, word_places
 
-STATES, ITERATIONS, FREQUENT, ENDINGS, DISCOUNT = 10, 6, 20_000, 2048, 0.7
+STATES, FREQUENT, ENDINGS, DISCOUNT = 10, 20_000, 2048, 0.7
+#: Baum-Welch ends when an iteration gains less than ``GAIN`` nats a token, and after ``ITERATIONS`` at the latest.
+ITERATIONS, GAIN = 8, 0.003
 #: Text bytes of a block, tokens of a training segment, tokens of a batch of segments.
-BLOCK_BYTES, SEGMENT, BATCH = 4_000_000, 256, 150_000
+BLOCK_BYTES, SEGMENT, BATCH = 4_000_000, 512, 150_000
 #: Hash of the end token, which no word is given.
 END = np.uint64(0)
 
@@ -166,7 +169,7 @@ def padded(sequences: list[np.ndarray], most: int) -> Iterator[tuple[list[int],
     order = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
     begin = 0
     while begin < len(order):
-        width = max(1, most // len(sequences[order[begin]]))
+        width = max(1, most // max(1, len(sequences[order[begin]])))
         chosen = order[begin : begin + width]
         begin += width
         lengths = np.array([len(sequences[k]) for k in chosen])
@@ -192,26 +195,71 @@ def log_likelihoods(sequences: list[np.ndarray], model, most: int = 2_000_000) -
     return out
 
 
-def expected_counts(sequences: list[np.ndarray], firsts: np.ndarray, model, inner: np.ndarray):
-    """Baum-Welch counts (start, transitions, emissions). firsts: which sequences begin a document; inner: state
-    distribution where a segment begins inside one."""
+def transfers(sequences: list[np.ndarray], model) -> np.ndarray:
+    """For each sequence the product over its symbols of (transitions x emissions of the symbol), scaled to sum to one."""
+    _, move, emit = model
+    k = len(move)
+    out = np.empty((len(sequences), k, k))
+    for chosen, steps, lengths in padded(sequences, BATCH // k):
+        product = np.tile(np.eye(k), (len(chosen), 1, 1))
+        for t in range(len(steps)):
+            live = int(np.count_nonzero(lengths > t))
+            part = (product[:live] @ move) * emit[steps[t, :live], None]
+            product[:live] = part / part.sum((1, 2), keepdims=True)
+        out[chosen] = product
+    return out
+
+
+def boundaries(segments: list[np.ndarray], firsts: np.ndarray, model) -> tuple[np.ndarray, np.ndarray]:
+    """For each segment, the state distribution at the end of the one before it in its document given all up to there, and
+    the weights of its last state by what follows it. Segments of a document stand one after another."""
+    start, _, emit = model
+    before, after = np.zeros((len(segments), len(start))), np.ones((len(segments), len(start)))
+    inner = np.flatnonzero(~firsts)
+    opening = inner[firsts[inner - 1]] - 1  # first segments that another follows
+    if not len(inner):
+        return before, after
+    known = dict(zip(inner.tolist(), transfers([segments[k] for k in inner], model)))
+    begun = dict(zip(opening.tolist(), transfers([segments[k][1:] for k in opening], model)))
+    for k in inner.tolist():
+        row = (start * emit[segments[k - 1][0]]) @ begun[k - 1] if k - 1 in begun else before[k - 1] @ known[k - 1]
+        before[k] = row / row.sum()
+    for k in inner[::-1].tolist():
+        column = known[k] @ after[k]
+        after[k - 1] = column / column.sum()
+    return before, after
+
+
+def expected_counts(documents: list[np.ndarray], model):
+    """Baum-Welch counts (start, transitions, emissions) of whole documents, and their log-likelihood.
+
+    Documents are worked on in segments side by side. What the states are at a cut follows from the segments before and
+    after it, by the products of their steps, so transitions over cuts count and the sums are those of the whole
+    documents, while memory stays that of a batch of segments.
+    """
     start, move, emit = model
     k = len(start)
-    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros(emit.shape)
-    for chosen, steps, lengths in padded(sequences, BATCH):
+    segments = [d[begin : begin + SEGMENT] for d in documents for begin in range(0, len(d), SEGMENT)]
+    firsts = np.array([begin == 0 for d in documents for begin in range(0, len(d), SEGMENT)])
+    before, after = boundaries(segments, firsts, model)
+    starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros(emit.shape), 0.0
+    for chosen, steps, lengths in padded(segments, BATCH):
         depth, width = steps.shape
         alpha, seen = np.zeros((depth, width, k), np.float32), emit[steps]
         alive = np.arange(depth)[:, None] < lengths
-        row = np.where(firsts[chosen][:, None], start, inner)
-        scales = np.ones((depth, width), np.float32)
+        first, last = firsts[chosen], np.zeros((width, k))
+        row = np.where(first[:, None], start, before[chosen] @ move)
+        scales = np.ones((depth, width))
         for t in range(depth):
             live = int(np.count_nonzero(alive[t]))
             row = (row[:live] if t == 0 else row[:live] @ move) * seen[t, :live]
             scales[t, :live] = row.sum(1)
             row = row / scales[t, :live, None]
             alpha[t, :live] = row
-        beta, carried = np.ones((width, k), np.float32), np.zeros_like(alpha)
-        gamma = np.zeros_like(alpha)
+            last[:live] = row
+        likelihood += float(np.log(scales[alive]).sum())
+        beta = after[chosen] / (last * after[chosen]).sum(1, keepdims=True)
+        carried, gamma = np.zeros_like(alpha), np.zeros_like(alpha)
         for t in range(depth - 1, -1, -1):
             live = int(np.count_nonzero(alive[t]))
             gamma[t, :live] = alpha[t, :live] * beta[:live]
@@ -220,46 +268,43 @@ def expected_counts(sequences: list[np.ndarray], firsts: np.ndarray, model, inne
             beta[:live] = message @ move.T
         if depth > 1:
             moves += alpha[:-1].reshape(-1, k).T @ carried[1:].reshape(-1, k) * move
-        starts += gamma[0][firsts[chosen]].sum(0)
+        moves += before[chosen][~first].T @ carried[0][~first] * move
+        starts += gamma[0][first].sum(0)
         flat = steps[alive].astype(np.int64)
         for state in range(k):
             emits[:, state] += np.bincount(flat, gamma[:, :, state][alive], len(emit))
-    return starts, moves, emits
+    return starts, moves, emits, np.array([likelihood])
 
 
-def baum_welch_step(coded: DataFrame, model, inner: np.ndarray, n_symbols: int, parts: int = 16):
-    """Counts over all training documents: each task's tables, cut into parts, are summed part by part.
+def baum_welch_step(coded: DataFrame, model, n_symbols: int, parts: int = 16):
+    """Counts over all training documents, and their log-likelihood: each task's tables, cut into parts, are summed part by part.
 
     First over slots of about as many tasks as there are slots, then over the slots, so no sum reads a table
     of every task.
     """
-    k = len(inner)
+    k = len(model[0])
     slots = max(1, math.isqrt(coded.rdd.getNumPartitions()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = [np.zeros(k), np.zeros((k, k)), np.zeros((n_symbols, k))]
-        pending, firsts, size = [], [], 0
+        total = [np.zeros(k), np.zeros((k, k)), np.zeros((n_symbols, k)), np.zeros(1)]
+        pending, size = [], 0
 
         def flush():
             nonlocal size
             if pending:
-                for into, more in zip(total, expected_counts(pending, np.array(firsts), model, inner)):
+                for into, more in zip(total, expected_counts(pending, model)):
                     into += more
             pending.clear()
-            firsts.clear()
             size = 0
 
         for batch in batches:
             for coded_text in batch.column(0).to_pylist():
-                s = np.frombuffer(coded_text, np.uint16)
-                for begin in range(0, len(s), SEGMENT):
-                    pending.append(s[begin : begin + SEGMENT])
-                    firsts.append(begin == 0)
-                size += len(s)
+                pending.append(np.frombuffer(coded_text, np.uint16))
+                size += len(pending[-1])
                 if size > 8 * BATCH:
                     flush()
         flush()
-        flat = np.concatenate([x.ravel() for x in total]).astype(np.float32)
+        flat = np.concatenate([x.ravel() for x in total])
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(parts), pa.int32()),
@@ -287,13 +332,13 @@ def baum_welch_step(coded: DataFrame, model, inner: np.ndarray, n_symbols: int,
         .select("symbols")
         .mapInArrow(count, "part int, slot int, counts binary")
         .groupBy("part", "slot")
-        .applyInArrow(adding(np.float32), "part int, counts binary")
+        .applyInArrow(adding(np.float64), "part int, counts binary")
         .groupBy("part")
         .applyInArrow(adding(np.float64), "part int, counts binary")
         .collect()
     )
-    flat = np.concatenate([np.frombuffer(r["counts"]) for r in sorted(summed)]) if summed else np.zeros(k + k * k + n_symbols * k)
-    return flat[:k], flat[k : k + k * k].reshape(k, k), flat[k + k * k :].reshape(n_symbols, k)
+    flat = np.concatenate([np.frombuffer(r["counts"]) for r in sorted(summed)]) if summed else np.zeros(k + k * k + n_symbols * k + 1)
+    return flat[:k], flat[k : k + k * k].reshape(k, k), flat[k + k * k : -1].reshape(n_symbols, k), float(flat[-1])
 
 
 def normalised(starts, moves, emits, prior: np.ndarray):
@@ -364,14 +409,16 @@ def score(docs: DataFrame, states: int = STATES, iterations: int = ITERATIONS) -
 
     coded = stored(symbols(dealt, replies.filter("block >= 0").select("block", "bucket", "counts"), frequent, n, vocabulary))
     wide = lambda emit: np.concatenate([emit, emit[f:]])
-    model, inner = first_model(prior, states), np.full(states, 1 / states, np.float32)
+    model, before = first_model(prior, states), -math.inf
     for _ in range(iterations if n else 0):
         start, move, emit = model
-        starts, moves, emits = baum_welch_step(coded, (start, move, wide(emit)), inner, n_symbols + ENDINGS)
-        emits = np.concatenate([emits[:f], emits[f:n_symbols] + emits[n_symbols:]])
-        inner = (emits.sum(0) / emits.sum()).astype(np.float32)
-        model = normalised(starts, moves, emits, prior)
-    final = (model[0], model[1], wide(model[2]))
+        starts, moves, emits, likelihood = baum_welch_step(coded, (start, move, wide(emit)), n_symbols + ENDINGS)
+        model = normalised(starts, moves, np.concatenate([emits[:f], emits[f:n_symbols] + emits[n_symbols:]]), prior)
+        if likelihood - before < GAIN * n:
+            break
+        before = likelihood
+    final = tuple(x.astype(np.float64) for x in (model[0], model[1], wide(model[2])))
+    final = (final[0] / final[0].sum(), final[1] / final[1].sum(1, keepdims=True), final[2])
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

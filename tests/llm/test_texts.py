@@ -215,7 +215,7 @@ def test_base_scores_and_counts_equal_brute_force(frame, corpus):
     assert hidden_markov.score(frame([])).count() == 0
 
 
-def test_forward_and_baum_welch_equal_sums_over_all_paths():
+def test_forward_and_baum_welch_equal_sums_over_all_paths(monkeypatch):
     from itertools import product
 
     rng = np.random.default_rng(0)
@@ -234,5 +234,30 @@ def test_forward_and_baum_welch_equal_sums_over_all_paths():
             for a, b in zip(q, q[1:]):
                 moves[a, b] += w
     assert np.allclose(hidden_markov.log_likelihoods(texts, model), likely, atol=1e-5)
-    counted = hidden_markov.expected_counts(texts, np.ones(3, bool), model, np.full(2, 0.5, np.float32))
-    assert np.allclose(counted[1], moves, atol=1e-4) and np.allclose(counted[2], emits, atol=1e-4)
+    for segment in (1, 2, 3, 256):
+        monkeypatch.setattr(hidden_markov, "SEGMENT", segment)
+        counted = hidden_markov.expected_counts(texts, model)
+        assert np.allclose(counted[1], moves, atol=1e-4) and np.allclose(counted[2], emits, atol=1e-4)
+        assert math.isclose(counted[3][0], sum(likely) * math.log(10), rel_tol=1e-5)
+
+
+def test_training_and_scores_read_long_documents_whole(monkeypatch):
+    rng = np.random.default_rng(3)
+    norm = lambda x: x / x.sum(-1, keepdims=True)
+    model = norm(rng.random(4)), norm(rng.random((4, 4)) ** 4), norm(rng.random((4, 30)) ** 3).T
+    documents = [rng.integers(0, 30, n).astype(np.uint16) for n in (1, 700, 5000, 2, 1300, 512, 513)]
+    whole, cut = [], []
+    for segment, into in ((100_000, whole), (97, cut)):
+        monkeypatch.setattr(hidden_markov, "SEGMENT", segment)
+        into.extend(hidden_markov.expected_counts(documents, model))
+    for a, b in zip(whole, cut):
+        assert np.allclose(a, b, rtol=1e-4, atol=1e-3)
+    assert math.isclose(cut[1].sum(), sum(len(d) - 1 for d in documents), rel_tol=1e-5)  # every transition counts, cuts included
+    scores = hidden_markov.log_likelihoods(documents, model)
+    for document, score in zip(documents, scores):
+        alpha, total = model[0], 0.0
+        for k, symbol in enumerate(document):  # one step at a time, in extended precision
+            row = ((alpha if k == 0 else alpha @ model[1]) * model[2][symbol]).astype(np.longdouble)
+            total += math.log10(float(row.sum()))
+            alpha = row / row.sum()
+        assert math.isclose(score, total, rel_tol=1e-12)
