@@ -150,3 +150,16 @@ def test_embedding_join_equals_brute_force(spark, chunk):
     assert {k: r["n_links"] for k, r in found.items()} == {k: sum(a == k for a, _ in linked) for k in expected}
     assert all(r["kept"] == (r["component_id"] == k) for k, r in found.items())
     assert embedding_join.join(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_embedding_join_compares_doubles(spark):
+    rows = [(1, [1e300, 2e300, 0.0]), (2, [1e300, 2e300, 0.0]), (3, [1e-300, 2e-300, 0.0]), (4, [1.0, 2.0, 1e-9]), (5, [-1.0, 0.0, 0.0]), (6, [0.0, 0.0, 5e-324])]
+    result = embedding_join.join(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in result} == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (0, 6)}
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=8)
+    rows = [(k, (centre + rng.normal(0, 0.2, 8)).tolist() if k % 3 else np.float32(centre + rng.normal(0, 0.2, 8)).tolist()) for k in range(60)]
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    found = embedding_join.join(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), chunk=9).collect()
+    assert {r["vec_id"]: r["n_links"] for r in found} == dict(enumerate(((x @ x.T >= 0.9).sum(1) - 1).tolist()))
