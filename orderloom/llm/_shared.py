@@ -26,14 +26,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: cuts the lineage, survives lost executors.
 
-    The files go when the driver's JVM ends.
+    The files go with ``release``, or else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def release(*frames: DataFrame) -> None:
+    """Removes the files of ``stored`` frames that nothing reads any more."""
+    for df in frames:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, shingles, slices, stored, word_hashes
+from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, release, shingles, slices, small, stored, word_hashes
 from orderloom.llm.links import components
 
 #: Sets that one trie task holds at most of each of its two chunks.
@@ -218,7 +218,9 @@ def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int, popular
     sent = stored(sent)
     within = sent.filter("a IS NOT NULL").select("a", "b")
     across = sent.filter("keys IS NOT NULL").groupBy("bucket").applyInArrow(merged, "a long, b long")
-    return within.union(across).distinct()
+    found = stored(within.union(across).distinct())
+    release(sent)
+    return found
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -387,16 +389,16 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     own = texts.join(F.broadcast(reps) if few else reps, "doc_id", "left_semi")
     popular = popular_shingles(own, n, total[1] or 0)
-    edges = stored(stars(own, similarity, n, buckets, popular))
+    edges = stars(own, similarity, n, buckets, popular)
     blocks = stored(components(edges).withColumnsRenamed({"id": "doc_id", "component": "block"}))
     met = blocks.count()
 
     ids = blocks.select("doc_id")
     met_texts = texts.join(F.broadcast(ids) if met <= BROADCAST_ROWS else ids, "doc_id", "left_semi")
     # The shingles come out of a Python task: signed, so ordered as signed numbers.
-    sets = stored(
-        _sets(met_texts, n, "shingles").dropDuplicates(["doc_id"]).select("doc_id", F.array_sort("shingles").alias("shingles"))
-    )
+    sets = _sets(met_texts, n, "shingles").select("doc_id", F.array_sort("shingles").alias("shingles"))
+    repeated = not sized.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    sets = stored(sets.dropDuplicates(["doc_id"]) if repeated else sets)
 
     # Large blocks: links along the stars. A set is held against the hubs with the most partners among its own, so it is sent
     # as often as that and not once for each of its nodes; a hub goes once to each chunk of its partners, and probes
@@ -411,8 +413,8 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     chunks = F.ceil(F.col("partners") / chunk).cast("int")
     star = stored(held.select("a", "b", F.pmod(F.xxhash64("a"), chunks).cast("int").alias("i")))
     roles = [star.select("b", "i", F.col("a").alias("doc_id"), F.lit(1).alias("side")), star.select("b", "i", F.col("b").alias("doc_id"), F.lit(0).alias("side")).distinct()]
-    met_there = roles[0].union(roles[1]).withColumn("component", F.col("doc_id")).join(sets, "doc_id")
-    along = stored(met_there.groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))
+    met_there = small(stored(roles[0].union(roles[1]).withColumn("component", F.col("doc_id"))))
+    along = stored(sets.join(met_there, "doc_id").groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))
     reached = components(along).withColumnsRenamed({"id": "doc_id", "component": "reached"})
     members = blocks.join(reached, "doc_id", "left").select("doc_id", "block", F.coalesce("reached", "doc_id").alias("component"))
     members = stored(members)
@@ -454,8 +456,10 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
         .select("doc_id", "block", "component", F.explode_outer("task").alias("task"))
         .select("doc_id", "block", "component", "task.i", "task.j", "task.side")
     )
-    found = dealt.join(sets, "doc_id").groupBy("block", "i", "j").applyInArrow(_chunk_task(similarity), "a long, b long")
-    joined = components(along.union(stored(found))).withColumnsRenamed({"id": "class_id", "component": "joined"})
+    dealt = small(stored(dealt))
+    found = stored(sets.join(dealt, "doc_id").groupBy("block", "i", "j").applyInArrow(_chunk_task(similarity), "a long, b long"))
+    release(sets)
+    joined = components(along.union(found)).withColumnsRenamed({"id": "class_id", "component": "joined"})
     of_class = stored(classes.join(joined, "class_id", "left").select("print", "class_id", F.coalesce("joined", "class_id").alias("component")))
     return (
         sized.join(F.broadcast(of_class) if few else of_class, "print", "left")
