@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,21 @@ def differing(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     return left.select(key).distinct()
 
 
+def differing_by(before: DataFrame, after: DataFrame, unique: Sequence[str], key: str) -> DataFrame:
+    """Keys with a row that only one of the two frames has, where ``unique`` columns, never null, name a row of each.
+
+    A full join on these columns: frames that are dealt out by them already are compared where they lie.
+    """
+    others = [c for c in before.columns if c not in unique]
+    sides = (
+        df.select(*unique, F.struct(F.lit(1).alias("there"), *others).alias(name))
+        for df, name in ((before, "_before"), (after, "_after"))
+    )
+    left, right = sides
+    both = left.join(right, [*unique], "full").filter(~F.col("_before").eqNullSafe(F.col("_after")))
+    return both.select(key).distinct()
+
+
 def replaced(current: DataFrame, rows: DataFrame, touched: DataFrame, key: str) -> DataFrame:
     """``current`` with the rows of the touched keys replaced by ``rows``."""
     return current.join(touched, key, "left_anti").unionByName(rows.select(current.columns))

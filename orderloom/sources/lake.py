@@ -13,13 +13,17 @@ from orderloom import schemas
 from orderloom.context import RunContext, cut_lineage
 from orderloom.operators import quality
 from orderloom.operators.changes import newest_generation
-from orderloom.sources.published import VERSION, Published, State
+from orderloom.sources.published import VERSION, Buckets, Published, State
 
 DAY = ("year", "month", "day")
 
 #: Tables kept as a base and generations of changed keys, and their keys.
 GENERATIONS = {"priced_items": "order_id", "order_facts": "order_id"}
 DELETED = "_deleted"
+#: Tables in buckets, and the columns that deal them out. An order may hold very many lines, so options are dealt by line.
+BUCKETED = {"order_item_options": ("order_id", "lineitem_id"), "order_facts": ("order_id",)}
+#: Rows of a bucket, where the table is larger than the session's shuffle partitions are meant for.
+BUCKET_ROWS = 5_000_000
 #: Generations, and rows in them as a share of the base, beyond which the next write is a new base.
 MOST_GENERATIONS, LARGEST_SHARE = 16, 0.25
 
@@ -177,10 +181,21 @@ class Lake:
     def write_silver(self, df: DataFrame, table: str, notes: dict | None = None) -> None:
         """Replace a table that comes out of a shuffle: its partitions are the files, merged by adaptive execution."""
         target = self.published("silver", table)
-        counted, seen = self._tallied(schemas.conform(df, schemas.SILVER[table]), table)
-        version, folders = target.stage(counted)
+        state = target.state() or State()
+        buckets = self._buckets(table, sum(state.notes.get("rows", {}).values()))
+        conformed = schemas.conform(df, schemas.SILVER[table])
+        counted, seen = self._tallied(buckets.dealt(conformed) if buckets else conformed, table)
+        version, folders = target.stage(counted, buckets)
         rows = self.spark.read.parquet(f"{target.root}/{folders[0]}").count()  # from the file footers
-        target.publish(version, folders, (notes or {}) | {"rows": {str(version): rows}, "quality": seen()})
+        notes = (notes or {}) | {"rows": {str(version): rows}, "quality": seen(), "buckets": buckets and buckets.number}
+        target.publish(version, folders, notes)
+
+    def _buckets(self, table: str, rows: int = 0, number: int | None = None) -> Buckets | None:
+        """How a table is dealt out: as it was (``number``), or as its last known size asks for."""
+        if table not in BUCKETED:
+            return None
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return Buckets(BUCKETED[table], number or max(least, -(-rows // BUCKET_ROWS)))
 
     def write_changed(self, df: DataFrame, touched: DataFrame, table: str, notes: dict) -> None:
         """Replace the rows of the touched keys by ``df``, writing only them: the next generation of the table.
@@ -195,27 +210,36 @@ class Lake:
         marked = rows.withColumn(DELETED, F.lit(False)).unionByName(
             gone.withColumn(DELETED, F.lit(True)), allowMissingColumns=True
         )
-        version, folders = target.stage(marked)
+        number = state.notes.get("buckets")
+        buckets = self._buckets(table, number=number) if number else None
+        version, folders = target.stage(buckets.dealt(marked) if buckets else marked, buckets)
         counts = state.notes["rows"] | {str(version): self.spark.read.parquet(f"{target.root}/{folders[0]}").count()}
         changed = sum(counts.values()) - counts[str(_base(state))]
         if len(counts) <= MOST_GENERATIONS and changed <= LARGEST_SHARE * counts[str(_base(state))]:
-            target.publish(version, [*state.folders, *folders], notes | {"rows": counts})
+            target.publish(version, [*state.folders, *folders], notes | {"rows": counts, "buckets": number})
         else:
-            self.write_silver(self._generations(table, [*state.folders, *folders]), table, notes)
+            self.write_silver(self._generations(table, State(version, (*state.folders, *folders), state.notes)), table, notes)
 
     def note(self, table: str, notes: dict) -> None:
         """Publish the same rows with new notes."""
         target = self.published("silver", table)
         state = target.state()
-        target.publish(state.version + 1, state.folders, notes | {"rows": state.notes["rows"]})
-
-    def _generations(self, table: str, folders) -> DataFrame:
-        schema = self._schema(table)
-        if len(folders) == 1:
-            return self.published("silver", table).read(schema, folders)
-        rows = self.published("silver", table).read(schema.add(DELETED, "boolean"), folders, versions=True)
-        live = newest_generation(rows, GENERATIONS[table], VERSION, _base(State(folders=tuple(folders))), DELETED)
-        return live.select(*(name for name, _ in schemas.SILVER[table]))
+        target.publish(state.version + 1, state.folders, state.notes | notes)
+
+    def _generations(self, table: str, state: State) -> DataFrame:
+        """Live rows; dealt as the buckets are, if the table is in buckets."""
+        schema, target = self._schema(table), self.published("silver", table)
+        if len(state.folders) > 1:
+            schema = schema.add(DELETED, "boolean")
+        number = state.notes.get("buckets")
+        rows = (
+            target.read_buckets(schema, state.folders, self._buckets(table, number=number))
+            if number
+            else target.read(schema, state.folders, versions=True)
+        )
+        if len(state.folders) > 1:
+            rows = newest_generation(rows, GENERATIONS[table], VERSION, _base(state), DELETED)
+        return rows.select(*(name for name, _ in schemas.SILVER[table]))
 
     def write_silver_single_file(self, df: DataFrame, table: str) -> None:
         """For a calendar-sized dimension only: everything goes through one task."""
@@ -228,8 +252,8 @@ class Lake:
         state = state or target.state()
         if state is None:  # the calendar is a plain folder; a table never written fails as one
             return self.spark.read.schema(self._schema(table)).parquet(target.root)
-        if table in GENERATIONS:
-            return self._generations(table, state.folders)
+        if table in GENERATIONS or table in BUCKETED:
+            return self._generations(table, state)
         return target.read(self._schema(table), state.folders)
 
     def write_rejected(self, df: DataFrame, table: str) -> None:

@@ -16,6 +16,7 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,41 @@ class State:
         return {folder.partition("/")[2] if _versioned(folder) else folder: folder for folder in self.folders}
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Files by hash of some columns, sorted by them: a join or aggregation on these columns reads them without a shuffle.
+
+    Spark keeps buckets of catalog tables only. The entry is needed while a frame is made and dropped at once: the files
+    are the table's own, and a frame that has been resolved no longer asks the catalog.
+    """
+
+    columns: tuple[str, ...]
+    number: int
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """Rows of a bucket in one task, so that it becomes one file."""
+        return df.repartition(self.number, *self.columns)
+
+    def write(self, df: DataFrame, path: str) -> None:
+        name = f"orderloom_{uuid.uuid4().hex}"
+        writer = df.write.format("parquet").bucketBy(self.number, *self.columns).sortBy(*self.columns)
+        try:
+            writer.option("path", path).saveAsTable(name)
+        finally:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def read(self, spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+        name, by = f"orderloom_{uuid.uuid4().hex}", ", ".join(self.columns)
+        fields = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+        spark.sql(
+            f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.number} BUCKETS LOCATION '{path}'"
+        )
+        try:
+            return spark.table(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 @dataclass(frozen=True)
 class Published:
     spark: SparkSession
@@ -100,13 +136,16 @@ class Published:
         levels = len(self.partitions) + bool(top)
         return sorted("/".join(f.getPath().toString().split("/")[-levels:]) for f in files.globStatus(place) or ())
 
-    def stage(self, df: DataFrame) -> tuple[int, list[str]]:
-        """Writes ``df`` as the next version, which nobody reads yet; the version and its folders."""
+    def stage(self, df: DataFrame, buckets: Buckets | None = None) -> tuple[int, list[str]]:
+        """Writes ``df``, dealt out already if into buckets, as the next version, which nobody reads yet; the version and its folders."""
         taken = [int(name.partition("=")[2]) for name in self._names("") if _versioned(name)]
         version = max([0, *taken, *self._pointers()]) + 1
         top = f"{VERSION}={version}"
         writer = df.write.partitionBy(*self.partitions) if self.partitions else df.write
-        writer.parquet(f"{self.root}/{top}")
+        if buckets:
+            buckets.write(df, f"{self.root}/{top}")
+        else:
+            writer.parquet(f"{self.root}/{top}")
         return version, self._folders(top)
 
     def publish(self, version: int, folders: Iterable[str], notes: dict) -> State:
@@ -155,6 +194,13 @@ class Published:
 
     # Reads
 
+    def read_buckets(self, schema: T.StructType, folders: Iterable[str], buckets: Buckets) -> DataFrame:
+        """Rows of versions written in buckets, and the version of each; still dealt by the bucket columns."""
+        parts = (
+            buckets.read(self.spark, schema, f"{self.root}/{f}").withColumn(VERSION, F.lit(int(f.partition("=")[2]))) for f in folders
+        )
+        return reduce(DataFrame.unionByName, parts)
+
     def read(self, schema: T.StructType, folders: Iterable[str] | None = None, versions: bool = False) -> DataFrame:
         """Rows of the newest state, or of the folders given; with ``versions``, the version that wrote each as well."""
         if folders is None:

@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators import quality
-from orderloom.operators.changes import differing, newest_generation, replaced
-from orderloom.operators.order_facts import order_facts, priced_items
+from orderloom.operators.changes import differing, differing_by, newest_generation, replaced
+from orderloom.operators.order_facts import option_totals, order_facts, priced_items
 from orderloom.plans import daily, discount, silver
 from orderloom.schemas import SILVER, struct
 from orderloom.sources import catalog
@@ -211,6 +211,8 @@ def test_keys_whose_rows_differ(spark):
     say = lambda *rows: spark.createDataFrame(rows, "k int, v string")
     before, after = say((1, "a"), (1, "a"), (2, None), (3, "c"), (None, "n")), say((1, "a"), (2, None), (4, "d"), (None, "m"))
     assert {r[0] for r in differing(before, after, "k").collect()} == {1, 3, 4, None}
+    one, two = (spark.createDataFrame(rows, "k int, u int, v string") for rows in ([(1, 1, "a"), (1, 2, None), (2, 3, None), (3, 4, "x")], [(1, 1, "a"), (1, 2, None), (2, 3, ""), (4, 4, "x")]))
+    assert {r[0] for r in differing_by(one, two, ("k", "u"), "k").collect()} == {2, 3, 4}
     touched = say((3, ""), (4, "")).select("k")
     assert sorted(map(str, replaced(before, after.filter("k = 4"), touched, "k").collect())) == sorted(
         map(str, say((1, "a"), (1, "a"), (2, None), (None, "n"), (4, "d")).collect())
@@ -309,3 +311,37 @@ def test_the_database_is_asked_above_the_mark():
 
     mark = datetime.datetime(2024, 1, 2, 3, 4, 5, tzinfo=datetime.UTC)
     assert _above(mark) == "creation_time_utc > '2024-01-02 03:04:05.000000'" and _above(None) is None
+
+
+# --- buckets -----------------------------------------------------------------------------------
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_options_and_facts_are_read_in_their_buckets(spark, lake):
+    for day, price in (("2024-03-01", "1"), ("2024-03-02", "2")):
+        append(lake, spark, day, *({"lineitem_id": k, "order_id": k // 4, "item_price": price} for k in range(40)))
+        daily.silver_items_step(lake, run_on(day))
+        load_options(lake, spark, day, *({"lineitem_id": k, "order_id": k // 4, "option_price": price if k < 9 else "1"} for k in range(40)))
+        daily.pricing_step(lake)
+        daily.order_facts_step(lake)
+    table = lake.published("silver", "order_item_options")
+    now, old = table.state(), table.state(table._pointers()[-2])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before, after = (option_totals(lake.silver("order_item_options", state)) for state in (old, now))
+        assert exchanges(after) == 0
+        changed = differing_by(before, after, ("order_id", "lineitem_id"), "order_id")  # one for the distinct ids of what differs, none for the comparison
+        assert exchanges(changed) == 1 and {r[0] for r in changed.collect()} == {0, 1, 2}
+        items = lake.silver("order_items")
+        assert exchanges(priced_items(items, lake.silver("order_item_options"))) == 1  # of the items, which lie by day
+        orders = lake.silver("order_facts").groupBy("order_id", "restaurant_id", "order_date").agg(F.sum("gross"))
+        assert exchanges(orders) == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("orderloom_")]
+    same(lake.silver("order_facts"), rebuilt(lake)[1])
