@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +47,28 @@ def release(*frames: DataFrame) -> None:
         place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def tidy(task: Callable) -> Callable:
+    """A task over batches that gives the memory it has freed back to the machine at its end.
+
+    Python workers are used again for other stages, and would keep it.
+    """
+
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other systems have no such call
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df``, marked for broadcast only if it is counted to be within the bound."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, release, shingles, slices, small, stored, word_hashes
+from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, release, shingles, slices, small, stored, tidy, word_hashes
 from orderloom.llm.links import components
 
 #: Sets that one trie task holds at most of each of its two chunks.
@@ -121,7 +121,7 @@ def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, size long, print binary" + (", shingles array<long>" if extra else "")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), schema)
 
 
 def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np.ndarray:
@@ -166,7 +166,7 @@ def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np
             yield pa.RecordBatch.from_arrays([t.column("part"), t.column("group"), packed], t.schema.names)
 
     schema = "part int, group int, counts binary"
-    first = docs.select("text").mapInArrow(count, schema).groupBy("part", "group").applyInArrow(add, schema)
+    first = docs.select("text").mapInArrow(tidy(count), schema).groupBy("part", "group").applyInArrow(add, schema)
     rows = first.groupBy("part").applyInArrow(mark, schema).collect()  # half a megabyte of marks
     if not rows:
         return np.zeros(1 << bits, bool)
@@ -214,10 +214,10 @@ def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int, popular
         if keys:
             yield _pairs(*_star(np.concatenate(keys), np.concatenate(ids))[2:])
 
-    sent = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(runs, "bucket int, keys binary, docs binary, a long, b long")
+    sent = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(runs), "bucket int, keys binary, docs binary, a long, b long")
     sent = stored(sent)
     within = sent.filter("a IS NOT NULL").select("a", "b")
-    across = sent.filter("keys IS NOT NULL").groupBy("bucket").applyInArrow(merged, "a long, b long")
+    across = sent.filter("keys IS NOT NULL").groupBy("bucket").applyInArrow(tidy(merged), "a long, b long")
     found = stored(within.union(across).distinct())
     release(sent)
     return found

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm._shared import BROADCAST_ROWS, stored
+from orderloom.llm._shared import BROADCAST_ROWS, stored, tidy
 
 SIZE, SLACK, CLOSING = 1024, 8, 0
 SLICES = 128
@@ -105,7 +105,7 @@ def tokenized(docs: DataFrame, size: int = SIZE, path: str | None = None) -> Dat
                     rows = []
             yield _batch(rows)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(encode), SCHEMA)
 
 
 # --- cutting stock ---------------------------------------------------------------------------

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm._shared import tidy
+
 Span = tuple[str, int, int]
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "name", "secret")
@@ -212,7 +214,7 @@ def train(docs: DataFrame) -> dict[str, dict[str, float]]:
 
     counted = (
         docs.select("text")
-        .mapInArrow(patterns, "kind string, votes string, features string, n long")
+        .mapInArrow(tidy(patterns), "kind string, votes string, features string, n long")
         .groupBy("kind", "votes", "features")
         .agg(F.sum("n").alias("n"))
         .orderBy("kind", "votes", "features")
@@ -284,4 +286,4 @@ def mask(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return docs.withColumn("n_chars", F.col("n_chars").cast("long")).mapInArrow(rewrite, docs.schema) if "n_chars" in names else docs.mapInArrow(rewrite, docs.schema)
+    return docs.withColumn("n_chars", F.col("n_chars").cast("long")).mapInArrow(tidy(rewrite), docs.schema) if "n_chars" in names else docs.mapInArrow(tidy(rewrite), docs.schema)

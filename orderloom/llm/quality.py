@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm._shared import as_bytes, slices, stored, word_hashes
+from orderloom.llm._shared import as_bytes, slices, stored, tidy, word_hashes
 
 SAMPLE, BAGS, PASSAGE = 4000, 256_000, 64
 THRESHOLD = 0.3
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | None:
         docs.select("doc_id", "text")
         .join(F.broadcast(sample), "doc_id")  # SAMPLE rows at most
         .select(F.col("doc_id").cast("long"), F.col("_quality").cast("int"), "text")
-        .mapInArrow(encode, "id long, y int, bag binary")
+        .mapInArrow(tidy(encode), "id long, y int, bag binary")
     )
     size = F.sum(F.expr(f"octet_length(bag) div {2 * WIDTH}")).alias("n")
     sizes = encoded.groupBy("id").agg(size).orderBy(F.xxhash64("id"), "id").collect()  # SAMPLE rows at most
@@ -194,7 +194,7 @@ def scored(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame
                 scores[part] = np.round(attend(model, *passages(texts[part]))[0].astype(float), 5)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, name])
 
-    return docs.mapInArrow(score, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` double"]))
+    return docs.mapInArrow(tidy(score), ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` double"]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
