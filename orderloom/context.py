@@ -70,9 +70,12 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate data that the driver and all executors see.
 
     It is the one named in ``spark.checkpoint.dir``. Where that is unset, as in tests, a
-    folder inside the warehouse is used, which executors share as well.
+    folder inside the warehouse is used if everything runs on this machine; on a cluster the
+    warehouse may be a folder of the driver alone, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 

@@ -345,3 +345,21 @@ def test_options_and_facts_are_read_in_their_buckets(spark, lake):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("orderloom_")]
     same(lake.silver("order_facts"), rebuilt(lake)[1])
+
+
+# --- shared folder -----------------------------------------------------------------------------
+
+
+def test_a_cluster_needs_a_shared_folder_by_name():
+    from types import SimpleNamespace
+
+    from orderloom.context import shared_folder
+
+    def session(master, **settings):
+        conf = SimpleNamespace(get=lambda key, *default: settings.get(key, default[0] if default else "/w"))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("local[8]")) == "/w/_checkpoints"
+    assert shared_folder(session("yarn", **{"spark.checkpoint.dir": "hdfs:///c"})) == "hdfs:///c"
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn"))
