@@ -41,7 +41,11 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def release(*frames: DataFrame) -> None:
-    """Removes the files of ``stored`` frames that nothing reads any more."""
+    """Removes the files of ``stored`` frames that nothing reads any more.
+
+    The shuffles they were made with go as well: Spark removes their files when the driver's JVM has collected them.
+    """
+    frames[0].sparkSession._jvm.System.gc()
     for df in frames:
         place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
         place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)

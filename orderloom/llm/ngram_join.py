@@ -44,7 +44,7 @@ from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, release, shingl
 from orderloom.llm.links import components
 
 #: Sets that one trie task holds at most of each of its two chunks.
-CHUNK = 1000
+CHUNK = 2000
 #: Node keys that one bucket of the exchange holds about, and that a task sorts at once before it sends them.
 BUCKET_KEYS = RUN_KEYS = 400_000
 #: Bytes of text that a task works on at once.
@@ -413,8 +413,9 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     chunks = F.ceil(F.col("partners") / chunk).cast("int")
     star = stored(held.select("a", "b", F.pmod(F.xxhash64("a"), chunks).cast("int").alias("i")))
     roles = [star.select("b", "i", F.col("a").alias("doc_id"), F.lit(1).alias("side")), star.select("b", "i", F.col("b").alias("doc_id"), F.lit(0).alias("side")).distinct()]
-    met_there = small(stored(roles[0].union(roles[1]).withColumn("component", F.col("doc_id"))))
-    along = stored(sets.join(met_there, "doc_id").groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))
+    met_there = stored(roles[0].union(roles[1]).withColumn("component", F.col("doc_id")))
+    along = stored(sets.join(small(met_there), "doc_id").groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))
+    release(met_there, star)
     reached = components(along).withColumnsRenamed({"id": "doc_id", "component": "reached"})
     members = blocks.join(reached, "doc_id", "left").select("doc_id", "block", F.coalesce("reached", "doc_id").alias("component"))
     members = stored(members)
