@@ -60,6 +60,8 @@ def build_session(app_name: str = "orderloom", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Day folders are listed by this many tasks, not by one task for each folder.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "64")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -141,10 +141,11 @@ def quality_step(lake: Lake, run: RunContext) -> None:
     profiles, flags = [], []
     for name in quality.RULES:
         counts = lake.published("silver", name).state().notes.get("quality")
-        table = lake.silver(name)
-        found = (quality.null_profile(table), quality.flag_distribution(table))
         if counts:
             found = quality.tables_of(lake.spark, counts, [column for column, _ in schemas.SILVER[name]])
+        else:
+            table = lake.silver(name)
+            found = (quality.null_profile(table), quality.flag_distribution(table))
         for tables, df in zip((profiles, flags), found):
             tables.append(df.select(F.lit(name).alias("table_name"), "*"))
     lake.write_quality(reduce(DataFrame.unionByName, profiles), "dq_profile", run)
