@@ -38,7 +38,7 @@ STATES, FREQUENT, ENDINGS, DISCOUNT = 10, 20_000, 2048, 0.7
 #: Baum-Welch ends when an iteration gains less than ``GAIN`` nats a token, and after ``ITERATIONS`` at the latest.
 ITERATIONS, GAIN = 8, 0.003
 #: Text bytes of a block, tokens of a training segment, tokens of a batch of segments.
-BLOCK_BYTES, SEGMENT, BATCH = 4_000_000, 512, 150_000
+BLOCK_BYTES, SEGMENT, BATCH = 4_000_000, 2048, 150_000
 #: Hash of the end token, which no word is given.
 END = np.uint64(0)
 
@@ -200,12 +200,12 @@ def transfers(sequences: list[np.ndarray], model) -> np.ndarray:
     _, move, emit = model
     k = len(move)
     out = np.empty((len(sequences), k, k))
-    for chosen, steps, lengths in padded(sequences, BATCH // k):
-        product = np.tile(np.eye(k), (len(chosen), 1, 1))
+    for chosen, steps, lengths in padded(sequences, 8 * BATCH):  # only one product of each is held
+        product = np.tile(np.eye(k, dtype=move.dtype), (len(chosen), 1, 1))
         for t in range(len(steps)):
             live = int(np.count_nonzero(lengths > t))
-            part = (product[:live] @ move) * emit[steps[t, :live], None]
-            product[:live] = part / part.sum((1, 2), keepdims=True)
+            part = (product[:live].reshape(-1, k) @ move).reshape(-1, k, k) * emit[steps[t, :live], None]
+            product[:live] = part / part.max((1, 2), keepdims=True)
         out[chosen] = product
     return out
 
@@ -241,15 +241,15 @@ def expected_counts(documents: list[np.ndarray], model):
     k = len(start)
     segments = [d[begin : begin + SEGMENT] for d in documents for begin in range(0, len(d), SEGMENT)]
     firsts = np.array([begin == 0 for d in documents for begin in range(0, len(d), SEGMENT)])
-    before, after = boundaries(segments, firsts, model)
+    before, after = (x.astype(move.dtype) for x in boundaries(segments, firsts, model))
     starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros(emit.shape), 0.0
     for chosen, steps, lengths in padded(segments, BATCH):
         depth, width = steps.shape
         alpha, seen = np.zeros((depth, width, k), np.float32), emit[steps]
         alive = np.arange(depth)[:, None] < lengths
-        first, last = firsts[chosen], np.zeros((width, k))
+        first, last = firsts[chosen], np.zeros((width, k), move.dtype)
         row = np.where(first[:, None], start, before[chosen] @ move)
-        scales = np.ones((depth, width))
+        scales = np.ones((depth, width), move.dtype)
         for t in range(depth):
             live = int(np.count_nonzero(alive[t]))
             row = (row[:live] if t == 0 else row[:live] @ move) * seen[t, :live]
@@ -257,7 +257,7 @@ def expected_counts(documents: list[np.ndarray], model):
             row = row / scales[t, :live, None]
             alpha[t, :live] = row
             last[:live] = row
-        likelihood += float(np.log(scales[alive]).sum())
+        likelihood += float(np.log(scales[alive]).sum(dtype=float))
         beta = after[chosen] / (last * after[chosen]).sum(1, keepdims=True)
         carried, gamma = np.zeros_like(alpha), np.zeros_like(alpha)
         for t in range(depth - 1, -1, -1):
