@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -91,3 +92,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Parquet in the shared folder, for tables that several parts of a plan read.
+
+    Like ``cut_lineage``, but columns are packed and readers take only those they need, so it fits rows of lines or
+    orders. Rows may come back in other partitions. The files go when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,14 +24,24 @@ def option_totals(options: DataFrame) -> DataFrame:
     )
 
 
-def priced_items(items: DataFrame, options: DataFrame) -> DataFrame:
+def priced_items(items: DataFrame, options: DataFrame, by_line: bool = False) -> DataFrame:
     """Every line item with its option totals and net revenue, in the columns Gold reads.
 
     Options are totalled before the join, so it never multiplies line items, and
     a plan that reads no option column drops the join altogether. Net revenue is
     NULL where revenue is NULL, whatever the options cost.
+
+    ``by_line`` is for frames that lie by line item, as they do once duplicates are removed: totals and join stay
+    there, and orders are compared row by row. Such a join is not dropped.
     """
-    joined = items.join(option_totals(options), ["order_id", "lineitem_id"], "left").fillna(
+    totals = option_totals(options)
+    if by_line:
+        totals = totals.withColumnsRenamed({"order_id": "_order", "lineitem_id": "_line"})
+        same_order = F.col("order_id").between(F.col("_order"), F.col("_order"))  # equal, but no key to shuffle by
+        joined = items.join(totals, (F.col("lineitem_id") == F.col("_line")) & same_order, "left")
+    else:
+        joined = items.join(totals, ["order_id", "lineitem_id"], "left")
+    joined = joined.fillna(
         {"total_option_price": 0, "total_discount_amount": 0, "discount_count": 0, "has_discount": False}
     )
     depth = F.try_divide(F.abs("total_discount_amount") * 100, F.col("revenue")).try_cast("decimal(6,2)")
@@ -47,12 +59,13 @@ def priced_columns(items: DataFrame) -> DataFrame:
     return items.select(*("order_id", "lineitem_id", "user_id", "restaurant_id", "item_name", "item_category"), *("item_quantity", "is_loyalty", "order_date", "revenue"))
 
 
-def order_facts(priced: DataFrame) -> DataFrame:
+def order_facts(priced: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Sums and counts per order, customer, restaurant, day and loyalty flag, and whether any line of the order had a discount.
 
     The keys hold everything the Gold plans count distinctly at order level, and
     every measure can be added up further, so the plans read this smaller table
     instead of the lines. A hot customer or restaurant is spread by ``order_id``.
+    The flag reads the sums a second time: ``keep`` stores them, so lines are priced and summed up once.
     """
     facts = priced.groupBy(*ORDER_KEYS).agg(
         F.count("lineitem_id").alias("line_items"),
@@ -64,6 +77,8 @@ def order_facts(priced: DataFrame) -> DataFrame:
         total(F.abs("total_discount_amount")).alias("discount_given"),
         F.bool_or("has_discount").alias("has_discount"),
     )
+    if keep:
+        facts = keep(facts)
     return conform(with_order_discount(facts, facts), SILVER["order_facts"])
 
 

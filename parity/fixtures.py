@@ -8,10 +8,12 @@ share an ingestion time and belongs to no table. Works on whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.context import cut_lineage
+from orderloom.context import cut_lineage, stored
 from orderloom.operators.changes import differing, replaced
 from orderloom.operators.order_facts import order_facts, priced_columns, priced_items
 from orderloom.plans import silver
@@ -150,6 +152,29 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_facts(priced(spark, sf_dir))
 
 
+def priced_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``priced``, for plans that read net revenue or discounts: options are dealt out by line item once, for
+    their duplicates, their totals and the join with the line items."""
+    bought = silver.order_item_options(raw_options(spark, sf_dir).repartition("lineitem_id"), OPTION_TIES)
+    return priced_items(items(spark, sf_dir), bought, by_line=True)
+
+
+def net_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_facts(priced_by_line(spark, sf_dir))
+
+
+def gross_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """For plans that read such columns several times: stored once, as the daily run does. Options are not needed."""
+    return stored(facts(spark, sf_dir).select(*columns))
+
+
+def lines_and_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Such columns of the facts, and the priced lines they are summed up from: both are stored once, as the daily
+    run does."""
+    lines = stored(priced_by_line(spark, sf_dir).drop("item_name", "item_quantity", "discount_depth_pct"))
+    return stored(order_facts(lines).select(*columns)), lines
+
+
 def stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For plans that read the facts several times: stored once, as the daily run does."""
-    return cut_lineage(facts(spark, sf_dir))
+    """For plans that read the facts several times, or whether an order has a discount: summed up and stored once."""
+    return order_facts(priced_by_line(spark, sf_dir), stored)
