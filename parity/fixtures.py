@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.context import cut_lineage, stored
+from orderloom.context import stored
 from orderloom.operators.changes import differing, replaced
 from orderloom.operators.order_facts import order_facts, priced_columns, priced_items
 from orderloom.plans import silver
@@ -129,11 +129,15 @@ def correction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facts_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order facts kept up after the correction: only the orders it changed are priced and summed up again."""
-    before, bought = cut_lineage(items(spark, sf_dir)), cut_lineage(options(spark, sf_dir))
-    after = silver.corrected(before, silver.order_items(correction(spark, sf_dir), ITEM_TIES))
-    touched = cut_lineage(differing(priced_columns(before), priced_columns(after), "order_id"))
+    before = stored(priced_columns(items(spark, sf_dir)))
+    bought = stored(options(spark, sf_dir).select("order_id", "lineitem_id", "option_price", "is_discount"))
+    arriving = stored(priced_columns(silver.order_items(correction(spark, sf_dir), ITEM_TIES)))
+    after = stored(silver.corrected(before, arriving))
+    touched = stored(differing(priced_columns(before), priced_columns(after), "order_id"))
     of_touched = priced_items(*(df.join(touched, "order_id", "left_semi") for df in (after, bought)))
-    return replaced(order_facts(priced_items(before, bought)), order_facts(of_touched), touched, "order_id")
+    return replaced(
+        order_facts(priced_items(before, bought), stored), order_facts(of_touched, stored), touched, "order_id"
+    )
 
 
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
