@@ -15,6 +15,10 @@ from orderloom.functions.rules import (
 from orderloom.operators.order_facts import customers_only
 from orderloom.schemas import GOLD_BUSINESS, conform
 
+# Columns of the order facts that these plans read, besides whether the order has a discount, and what that is made of.
+ORDER_READS = ("order_id", "restaurant_id", "order_date", "user_id", "gross", "net", "discount", "line_items", "has_discount")
+CUSTOMER_READS = ("order_id", "user_id", "gross", "net", "discount_given", "is_loyalty", "has_discount")
+
 
 def discount_order_summary(facts: DataFrame) -> DataFrame:
     """Discounted orders against the rest.

@@ -30,66 +30,118 @@ def _unless(fault: str, value: str) -> Column:
     return F.expr(f"CASE WHEN {fault} THEN NULL ELSE {value} END")
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders")
-    parts = _table(spark, sf_dir, "part")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
-    )
+def _order() -> Column:
+    return _unless("l_partkey % 500 = 13", "l_orderkey")
+
+
+def _items_of(lines: DataFrame) -> DataFrame:
+    """Raw line items of lines with their ``lineitem_id``, order and part."""
     price = "CAST(l_extendedprice AS DECIMAL(10,2))"
-    return joined.select(
-        _unless("l_partkey % 500 = 13", "l_orderkey").alias("order_id"),
-        _unless("l_partkey % 500 = 7", "l_orderkey * 10 + l_linenumber").alias("lineitem_id"),
+    return lines.select(
+        _order().alias("order_id"),
+        "lineitem_id",
         _unless("o_custkey % 12 = 5", "o_custkey").alias("user_id"),
         F.expr("CASE WHEN l_partkey % 4 = 0 THEN concat('CARD-', o_custkey) END").alias("printed_card_number"),
-        F.expr("o_orderkey % 61").alias("restaurant_id"),
-        F.expr("concat('app', o_orderkey % 3)").alias("app_name"),
+        F.expr("l_orderkey % 61").alias("restaurant_id"),
+        F.expr("concat('app', l_orderkey % 3)").alias("app_name"),
         F.col("p_name").alias("item_name"),
         _unless("l_partkey % 50 = 0", "p_type").alias("item_category"),
         _unless("l_partkey % 89 = 0", f"IF(l_partkey % 97 = 0, -{price}, {price})").alias("item_price"),
         F.expr("IF(l_partkey % 101 = 0, 0, CAST(l_quantity AS INT))").alias("item_quantity"),
         F.lit("USD").alias("currency"),
-        _unless("o_orderkey % 41 = 0", "o_orderkey % 10 < 3").alias("is_loyalty"),
+        _unless("l_orderkey % 41 = 0", "l_orderkey % 10 < 3").alias("is_loyalty"),
         _unless(
-            "o_orderkey % 211 = 0", "IF(o_orderkey % 67 = 3, o_orderdate - INTERVAL '10' YEAR, o_orderdate)"
+            "l_orderkey % 211 = 0", "IF(l_orderkey % 67 = 3, o_orderdate - INTERVAL '10' YEAR, o_orderdate)"
         ).alias("creation_time_utc"),
         F.col("l_shipdate").alias("ingestion_ts"),
         F.col("l_partkey").alias("tie"),
     )
 
 
-def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A promotion and a side on every line. It is a discount on discounted lines of urgent and high-priority
-    orders, and its price is 0 on all others, as is that of an untaxed side."""
-    lines = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders")
+def _promotion() -> list[Column]:
     price, rate = "CAST(l_extendedprice AS DECIMAL(10,2))", "CAST(l_discount AS DECIMAL(3,2))"
-    keys = (
-        _unless("l_partkey % 500 = 13", "l_orderkey").alias("order_id"),
-        _unless("l_partkey % 500 = 7", "l_orderkey * 10 + l_linenumber").alias("lineitem_id"),
-    )
-    origin = (
-        F.lit(1).alias("option_quantity"),
-        F.col("l_shipdate").alias("ingestion_ts"),
-        F.col("l_partkey").alias("tie"),
-    )
-    promoted = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
-    discounts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        *keys,
+    return [
         _unless("l_partkey % 53 = 0", "'PROMO'").alias("option_group_name"),
         _unless("l_partkey % 59 = 0", "'discount'").alias("option_name"),
-        _unless("l_partkey % 61 = 0", f"IF({promoted}, CAST(-({price} * {rate}) AS DECIMAL(10,2)), CAST(0 AS DECIMAL(10,2)))").alias("option_price"),
-        *origin,
-    )
-    sides = lines.select(
-        *keys,
+        _unless("l_partkey % 61 = 0", f"IF(promoted, CAST(-({price} * {rate}) AS DECIMAL(10,2)), CAST(0 AS DECIMAL(10,2)))").alias("option_price"),
+    ]
+
+
+def _side() -> list[Column]:
+    return [
         F.lit("SIDE").alias("option_group_name"),
         F.lit("extra").alias("option_name"),
         F.expr("CAST(CAST(l_tax AS DECIMAL(3,2)) * 100 AS DECIMAL(10,2))").alias("option_price"),
-        *origin,
+    ]
+
+
+def _options_of(lines: DataFrame, *option: Column) -> DataFrame:
+    """Raw options of lines with their ``lineitem_id``, and with their order for a promotion."""
+    return lines.select(
+        _order().alias("order_id"),
+        "lineitem_id",
+        *option,
+        F.lit(1).alias("option_quantity"),
+        F.col("l_shipdate").alias("ingestion_ts"),
+        F.col("l_partkey").alias("tie"),
+    )
+
+
+def _with_line_item(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("lineitem_id", _unless("l_partkey % 500 = 7", "l_orderkey * 10 + l_linenumber"))
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.expr("o_orderpriority IN ('1-URGENT', '2-HIGH')").alias("promoted")
     )
-    return discounts.unionByName(sides)
+
+
+def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "lineitem")
+    parts = _table(spark, sf_dir, "part")
+    joined = lines.join(_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey")).join(
+        parts, F.col("l_partkey") == F.col("p_partkey")
+    )
+    return _items_of(_with_line_item(joined))
+
+
+def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A promotion and a side on every line. It is a discount on discounted lines of urgent and high-priority
+    orders, and its price is 0 on all others, as is that of an untaxed side."""
+    lines = _table(spark, sf_dir, "lineitem")
+    ordered = lines.join(_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
+    discounts = _options_of(_with_line_item(ordered), *_promotion())
+    return discounts.unionByName(_options_of(_with_line_item(lines), *_side()))
+
+
+def raw_by_line(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw line items, without names and categories, and raw options, from lines dealt out by line item once for both.
+
+    Lines without an order or part stay, as their options do. Records without a key, and copies of a line item or side
+    that repeated parts or orders make or do not make here, are what Silver drops. A line travels as one value, so both
+    readers need the same columns and Spark shuffles them once.
+    """
+    parts = _table(spark, sf_dir, "part").select("p_partkey").distinct()
+    joined = (
+        _with_line_item(_table(spark, sf_dir, "lineitem"))
+        .filter(F.col("lineitem_id").isNotNull() & _order().isNotNull())
+        .join(_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    )
+    line = F.struct(
+        *("l_orderkey", "l_partkey", "l_quantity", "l_tax", "l_shipdate", "o_custkey", "o_orderdate", "promoted"),
+        # NULL without an order
+        F.expr("CASE WHEN o_orderkey IS NOT NULL THEN p_partkey IS NOT NULL END").alias("has_part"),
+        # what the prices are cast to, in fewer bytes
+        F.expr("CASE WHEN o_orderkey IS NOT NULL THEN CAST(l_extendedprice AS DECIMAL(10,2)) END").alias("l_extendedprice"),
+        F.expr("CASE WHEN o_orderkey IS NOT NULL THEN CAST(l_discount AS DECIMAL(3,2)) END").alias("l_discount"),
+    )
+    dealt = joined.select("lineitem_id", F.array(line).alias("line")).repartition("lineitem_id").select("lineitem_id", F.inline("line"))
+    nameless = dealt.filter("has_part").withColumns({name: F.lit(None).cast("string") for name in ("p_name", "p_type")})
+    promotion, side = F.struct(*_promotion()), F.struct(*_side())
+    bought = F.when(F.col("has_part").isNotNull(), F.array(promotion, side)).otherwise(F.array(side))
+    return _items_of(nameless), _options_of(dealt, F.inline(bought))
 
 
 def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,8 +164,8 @@ def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.order_items(raw_order_items(spark, sf_dir), ITEM_TIES)
+def items(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    return silver.order_items(raw_order_items(spark, sf_dir) if raw is None else raw, ITEM_TIES)
 
 
 def correction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +192,8 @@ def facts_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.order_item_options(raw_options(spark, sf_dir), OPTION_TIES)
+def options(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    return silver.order_item_options(raw_options(spark, sf_dir) if raw is None else raw, OPTION_TIES)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,12 +211,18 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def priced_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``priced``, for plans that read net revenue or discounts: options are dealt out by line item once, for
     their duplicates, their totals and the join with the line items."""
-    bought = silver.order_item_options(raw_options(spark, sf_dir).repartition("lineitem_id"), OPTION_TIES)
+    bought = options(spark, sf_dir, raw_options(spark, sf_dir).repartition("lineitem_id"))
     return priced_items(items(spark, sf_dir), bought, by_line=True)
 
 
+def _sums_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priced lines for order facts only: they hold no names or categories."""
+    lines, bought = raw_by_line(spark, sf_dir)
+    return priced_items(items(spark, sf_dir, lines), options(spark, sf_dir, bought), by_line=True)
+
+
 def net_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_facts(priced_by_line(spark, sf_dir))
+    return order_facts(_sums_by_line(spark, sf_dir))
 
 
 def gross_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
@@ -179,6 +237,7 @@ def lines_and_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) ->
     return stored(order_facts(lines).select(*columns)), lines
 
 
-def stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For plans that read the facts several times, or whether an order has a discount: summed up and stored once."""
-    return order_facts(priced_by_line(spark, sf_dir), stored)
+def stored_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ()) -> DataFrame:
+    """For plans that read the facts several times, or whether an order has a discount: summed up and stored once,
+    all of them or such columns only."""
+    return order_facts(_sums_by_line(spark, sf_dir), lambda sums: stored(sums.select(*columns or sums.columns)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from orderloom.context import stored
 from orderloom.operators.order_facts import order_facts, priced_items
-from orderloom.plans import churn, loyalty
+from orderloom.plans import churn, discount, loyalty, silver
 from parity import fixtures
 from tests.conftest import SF_DIR
 
@@ -91,3 +91,64 @@ def test_loyalty_reads_its_columns_of_the_facts(spark):
 def test_nothing_below_the_stored_sums_is_read_again(spark, name):
     files = registry.queries()[name](spark, SF_DIR).inputFiles()
     assert files and all("/stored-" in path for path in files)
+
+
+@pytest.mark.parametrize("name", ["gold_discount_order_summary", "gold_discount_customer", "report_discount_kpis"])
+def test_discounts_store_what_they_read_of_the_facts(spark, name):
+    reads = discount.CUSTOMER_READS if name == "gold_discount_customer" else discount.ORDER_READS
+    found = columns_read(spark, registry.queries()[name](spark, SF_DIR))
+    assert found and all(names == set(reads) for names in found)
+
+
+@pytest.fixture
+def odd_tables(spark, tmp_path):
+    """Lines without an order or part, with a repeated part, twice, without a key, and two orders' lines of one id."""
+    day = "timestamp_ntz '2001-02-03'"
+    made = {
+        "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double",
+        "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+        "part": "p_partkey bigint, p_name string, p_type string",
+    }
+    rows = {
+        "lineitem": [
+            *((1, part, number, 2.0, 10.0, 0.1, 0.05) for number, part in enumerate([1, 2, 3, 9, 7, 13, 1], 1)),
+            *((2, 1, 1, 1.0, 5.0, 0.0, 0.0), (2, 1, 1, 1.0, 5.0, 0.0, 0.0), (1, 1, 11, 3.0, 7.0, 0.2, 0.01)),
+            *((5, 1, 1, 1.0, 6.0, 0.1, 0.02), (None, 1, 1, 1.0, 1.0, 0.1, 0.1), (3, None, 1, 1.0, 1.0, 0.1, 0.1)),
+            *((3, 4, 2, None, None, None, None), (4, 1, None, 1.0, 2.0, 0.1, 0.1), (4, 1, 2, 1.0, 2.0, 0.1, 0.1)),
+        ],
+        "orders": [(1, 11, "1-URGENT"), (2, 12, "5-LOW"), (3, 13, "2-HIGH"), (4, None, None), (None, 14, "1-URGENT")],
+        "part": [(1, "a", "b"), (2, "c", "d"), (2, "c", "d"), (3, None, None), (4, "e", "f"), (7, "g", "h"), (13, "i", "j"), (None, "k", "l")],
+    }
+    dated = {"lineitem": "l_shipdate", "orders": "o_orderdate"}
+    for name, schema in made.items():
+        table = spark.createDataFrame(rows[name], schema)
+        if name in dated:
+            table = table.withColumn(dated[name], F.expr(day))
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_lines_dealt_out_once_give_the_same_line_items_and_options(spark, odd_tables):
+    items, bought = fixtures.raw_by_line(spark, odd_tables)
+    nameless = silver.order_items(items, fixtures.ITEM_TIES).drop("item_name", "item_category")
+    found = nameless, silver.order_item_options(bought, fixtures.OPTION_TIES)
+    plain = fixtures.items(spark, odd_tables).drop("item_name", "item_category"), fixtures.options(spark, odd_tables)
+    for made, wanted in zip(found, plain):
+        assert made.dtypes == wanted.dtypes and wanted.count()
+        assert sorted(map(str, made.collect())) == sorted(map(str, wanted.collect()))
+    facts = fixtures.net_facts(spark, odd_tables), fixtures.facts(spark, odd_tables)
+    assert facts[0].dtypes == facts[1].dtypes
+    assert len({tuple(sorted(map(str, df.collect()))) for df in facts}) == 1
+
+
+def test_lines_are_shuffled_once_for_line_items_and_options(spark):
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    try:
+        plan = fixtures.net_facts(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and "ReusedExchange" in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
