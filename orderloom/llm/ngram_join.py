@@ -20,7 +20,10 @@ sections of them is also stored by the sections of all its shingles.
    joined by a path-compressed trie: a traversal carries the overlap with a whole subtree, and leaves it
    when the remaining lengths can no longer reach the threshold, or all its sets are linked already.
 4. Large blocks are first linked along their stars, each hub by the tries of its partners, in chunks; what that leaves
-   apart is joined by tries over pairs of chunks, so a task never holds more than two chunks.
+   apart is joined by tries over pairs of chunks, so a task never holds more than two chunks. A set goes only to the
+   pairs of chunks where it may have a partner. That is found out by sketches, some thirtieth of a set: the parities of its
+   shingles dealt over bits. Two sets differ in at least as many shingles as their sketches in bits, so no similar
+   pair is lost; the trie decides about the others.
 
 Links carry components, not all pairs: every pair of similar sets ends up in one component, which is the
 same as if all links were listed. Documents without words, and null or empty texts, are linked with nothing.
@@ -51,6 +54,8 @@ BUCKET_KEYS = RUN_KEYS = 400_000
 SLICE = 1 << 18
 #: Hubs that a set of a large block is held against before the tries over chunks.
 HUBS = 2
+#: Bits of a sketch for each shingle, at least, and chunks of sets whose sketches one task holds as a chunk.
+SKETCH_BITS, SKETCH_CHUNKS = 2, 4
 #: Counters of popular shingles at most, as a power of two.
 COUNTER_BITS = 22
 
@@ -67,6 +72,10 @@ class Similarity:
         """Least overlap of similar sets of these sizes."""
         return -(-self.percent * (x + y) // (100 + self.percent))
 
+    def apart(self, x: int, y):
+        """Most differing shingles of similar sets of these sizes."""
+        return x + y - 2 * self.needed(x, y)
+
     def level(self, size: int) -> int:
         return int(math.log(size) / math.log(self.ratio) + 1e-9)
 
@@ -166,8 +175,9 @@ def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np
             yield pa.RecordBatch.from_arrays([t.column("part"), t.column("group"), packed], t.schema.names)
 
     schema = "part int, group int, counts binary"
-    first = docs.select("text").mapInArrow(tidy(count), schema).groupBy("part", "group").applyInArrow(add, schema)
+    first = stored(docs.select("text").mapInArrow(tidy(count), schema).groupBy("part", "group").applyInArrow(add, schema))
     rows = first.groupBy("part").applyInArrow(mark, schema).collect()  # half a megabyte of marks
+    release(first)
     if not rows:
         return np.zeros(1 << bits, bool)
     return np.unpackbits(np.frombuffer(b"".join(r["counts"] for r in sorted(rows)), np.uint8)).astype(bool)
@@ -262,6 +272,88 @@ def _hung(key: np.ndarray, doc: np.ndarray, buckets: int) -> Iterator[pa.RecordB
         )
 
 
+# --- sketches --------------------------------------------------------------------------------
+
+
+def sketch(shingled: np.ndarray) -> np.ndarray:
+    """Parities of the set's shingles by the last bits of their hash; its width is a power of two."""
+    width = 1 << max(6, (SKETCH_BITS * len(shingled) - 1).bit_length())
+    places = (mix(shingled.view(np.uint64)) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=width) & 1).view(np.uint64)
+
+
+def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """The sketches (rows) of the same sets at a smaller width."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
+
+
+def near(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]], similarity: Similarity) -> Iterator[np.ndarray]:
+    """For each (size, sketch) of left, the numbers of those of right that may be similar: all similar ones, and some others."""
+    by_width: dict[int, list[int]] = {}
+    for number in sorted(range(len(right)), key=lambda k: right[k][0]):
+        by_width.setdefault(len(right[number][1]), []).append(number)
+    groups, folded = {}, {}
+    for words, numbers in by_width.items():
+        groups[words] = np.array(numbers), np.array([right[k][0] for k in numbers])
+        folded[words, words] = np.stack([right[k][1] for k in numbers])
+    for size, own in left:
+        found = [np.zeros(0, np.int64)]
+        for words, (numbers, sizes) in groups.items():
+            low = int(np.searchsorted(sizes, -(-similarity.percent * size // 100)))
+            high = int(np.searchsorted(sizes, size * 100 // similarity.percent, "right"))
+            if low >= high:
+                continue
+            common = min(words, len(own))
+            if (words, common) not in folded:
+                folded[words, common] = _folded(folded[words, words], common)
+            probe, step = _folded(own[None], common), max(1, (1 << 16) // common)
+            for k in range(low, high, step):
+                part = slice(k, min(k + step, high))
+                differ = np.bitwise_count(folded[words, common][part] ^ probe).sum(axis=1, dtype=np.int64)
+                found.append(numbers[part][differ <= similarity.apart(size, sizes[part])])
+        yield np.concatenate(found)
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The column of sets (the last one) as sizes and sketches."""
+    for batch in batches:
+        sets = [np.asarray(s.values, np.int64) for s in batch.column(batch.num_columns - 1)]
+        sizes, sketches = pa.array(map(len, sets), pa.int64(), size=len(sets)), pa.array([sketch(s).tobytes() for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes, sketches], [*batch.schema.names[:-1], "size", "sketch"])
+
+
+def _near_task(similarity: Similarity):
+    """Sets of unlinked components that may be similar, once for each pair of their chunks (i, j) where they may."""
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(tables)
+        table = table.take(pa.array(np.lexsort((table.column("doc_id").to_numpy(), table.column("side").to_numpy()))))
+        doc, component, chunk, side = (table.column(c).to_numpy() for c in ("doc_id", "component", "chunk", "side"))
+        rows = [(n, np.frombuffer(b, np.uint64)) for n, b in zip(table.column("size").to_pylist(), table.column("sketch").to_pylist())]
+        begin = int(np.count_nonzero(side == 0))
+        left, right = rows[:begin], rows[begin:]
+        begin = begin if right else 0
+        found, pending = [np.zeros((0, 4), np.int64)], 0
+        for x, numbers in enumerate(near(left, right or left, similarity)):
+            y = numbers + begin
+            y = y[component[y] != component[x]]
+            if len(y):
+                i, j = np.minimum(chunk[x], chunk[y]), np.maximum(chunk[x], chunk[y])
+                own = np.stack([np.full(len(y), x), i, j, (chunk[x] > chunk[y]).astype(np.int64)], 1)
+                found += [np.unique(own, axis=0), np.stack([y, i, j, (chunk[y] > chunk[x]).astype(np.int64)], 1)]
+                pending += len(y)
+                if pending > RUN_KEYS:
+                    found, pending = [np.unique(np.concatenate(found), axis=0)], 0
+        kept = np.unique(np.concatenate(found), axis=0)
+        ids = [pa.array(doc[kept[:, 0]], pa.int64()), pa.array(component[kept[:, 0]], pa.int64())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(kept), table.column("block")[0].as_py()), pa.int64()), *ids, *(pa.array(kept[:, k], pa.int32()) for k in (1, 2, 3))],
+            ["block", "doc_id", "component", "i", "j", "side"],
+        )
+
+    return run
+
+
 # --- trie ------------------------------------------------------------------------------------
 
 
@@ -346,17 +438,20 @@ def trie_links(left: list, right: list | None, similarity: Similarity) -> list[t
             c = parent[c]
         return c
 
-    root, out = trie([s for _, _, s in stored_sets]), []
-    for doc, component, probe in left:
-        def known(numbers, component=component):
-            own = find(component)
-            return all(find(stored_sets[k][1]) == own for k in numbers)
+    def apart(numbers, component):
+        own = find(component)
+        return {k for k in numbers if find(stored_sets[k][1]) != own}
 
-        for number in linked(probe, root, similarity, known):
+    sketched = [[(len(s), sketch(s)) for _, _, s in rows] for rows in ([left] if right is None else [left, right])]
+    root, out = trie([s for _, _, s in stored_sets]), []
+    for (doc, component, probe), close in zip(left, near(sketched[0], sketched[-1], similarity)):
+        maybe = apart(close.tolist(), component)
+        for number in linked(probe, root, similarity, maybe.isdisjoint) if maybe else ():
             other = stored_sets[number]
             if find(other[1]) != find(component):
                 parent[find(other[1])] = find(component)
                 out.append((doc, other[0]))
+                maybe.intersection_update(apart(maybe, component))
     return out
 
 
@@ -376,6 +471,24 @@ def _chunk_task(similarity: Similarity):
     return run
 
 
+def _pairs_of_chunks(of: int):
+    """(i, j, side) of the tasks that a row goes to, of all pairs of chunks of ``of`` chunks each, but for two of the largest component."""
+    in_top = F.col("chunk") >= F.col("loose")
+    loose, fixed = (F.ceil(F.col(c) / of).cast("int") for c in ("loose", "fixed"))
+    own = F.floor(F.when(in_top, F.col("chunk") - F.col("loose")).otherwise(F.col("chunk")) / of).cast("int")
+    zero = F.lit(0)
+    task = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+    span = lambda low, high, f: F.when(low <= high, F.transform(F.sequence(low, high), f)).otherwise(F.array())
+    return F.when(in_top, span(zero, loose - 1, lambda i: task(i, loose + own, 1))).otherwise(
+        F.concat(
+            span(own, own, lambda i: task(i, i, 0)),
+            span(own + 1, loose - 1, lambda j: task(own, j, 0)),
+            span(zero, own - 1, lambda i: task(i, own, 1)),
+            span(loose, loose + fixed - 1, lambda j: task(own, j, 0)),
+        )
+    )
+
+
 def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id of every document."""
     similarity = Similarity(percent)
@@ -436,27 +549,21 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     spread = F.pmod(F.xxhash64("doc_id"), F.col("loose")).cast("int")
     spread_top = F.pmod(F.xxhash64("doc_id"), F.greatest("fixed", F.lit(1))).cast("int")
     in_top = (F.col("component") == F.col("top")) & (F.col("fixed") > 0)
-    task = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
-    span = lambda low, high, f: F.when(low <= high, F.transform(F.sequence(low, high), f)).otherwise(F.array())
-    own_chunk, zero = F.col("own"), F.lit(0)
-    tasks = F.when(
-        F.col("in_top"), span(zero, F.col("loose") - 1, lambda i: task(i, F.col("loose") + own_chunk, 1))
-    ).otherwise(
-        F.concat(
-            span(own_chunk, own_chunk, lambda i: task(i, i, 0)),
-            span(own_chunk + 1, F.col("loose") - 1, lambda j: task(own_chunk, j, 0)),
-            span(zero, own_chunk - 1, lambda i: task(i, own_chunk, 1)),
-            span(F.col("loose"), F.col("loose") + F.col("fixed") - 1, lambda j: task(own_chunk, j, 0)),
-        )
-    )
-    dealt = (
-        members.join(tops, "block")
-        .withColumn("in_top", in_top)
-        .withColumn("own", F.when(F.col("in_top"), spread_top).otherwise(spread))
-        .withColumn("task", tasks)
-        .select("doc_id", "block", "component", F.explode_outer("task").alias("task"))
-        .select("doc_id", "block", "component", "task.i", "task.j", "task.side")
+    placed = members.join(tops, "block").withColumn("chunk", F.when(in_top, F.col("loose") + spread_top).otherwise(spread))
+    placed = stored(placed.select("doc_id", "block", "component", "chunk", "loose", "fixed"))
+    zero = F.lit(0).cast("int")
+    whole = placed.filter("loose + fixed = 1").select("block", "doc_id", "component", zero.alias("i"), zero.alias("j"), zero.alias("side"))
+    # Blocks of several chunks: only the sketches meet in all pairs of (larger) chunks.
+    several = placed.filter("loose + fixed > 1")
+    several = sets.join(small(several), "doc_id").select(*several.columns, "shingles")
+    sketched = stored(several.mapInArrow(tidy(_sketches), "doc_id long, block long, component long, chunk int, loose int, fixed int, size long, sketch binary"))
+    close = (
+        sketched.withColumn("task", F.explode(_pairs_of_chunks(SKETCH_CHUNKS)))
+        .select("doc_id", "block", "component", "chunk", "size", "sketch", "task.*")
+        .groupBy("block", "i", "j")
+        .applyInArrow(tidy(_near_task(similarity)), "block long, doc_id long, component long, i int, j int, side int")
     )
+    dealt = whole.union(close)
     dealt = small(stored(dealt))
     found = stored(sets.join(dealt, "doc_id").groupBy("block", "i", "j").applyInArrow(_chunk_task(similarity), "a long, b long"))
     release(sets)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderloom.llm import decontamination, embedding_join, links, ngram_join
@@ -76,6 +78,61 @@ def test_trie_finds_every_similar_set():
         assert set(ngram_join.linked(probe, root, similarity, lambda _: False)) == expected
 
 
+def test_near_keeps_every_similar_set_and_few_others():
+    rng = np.random.default_rng(4)
+    similarity = ngram_join.Similarity(80)
+    sets = []
+    for size in (1, 2, 5, 31, 33, 60, 250, 260, 700):
+        base = np.unique(rng.integers(-(2**63), 2**63, size))
+        sets += [np.sort(base[rng.random(len(base)) < share]) for share in (1, 0.95, 0.85, 0.8, 0.5)]
+        sets += [np.unique(np.concatenate([base, rng.integers(-(2**63), 2**63, more)])) for more in (1, size // 9, size // 4, size)]
+    sets = [s for s in sets if len(s)]
+    rows = [(len(s), ngram_join.sketch(s)) for s in sets]
+    kept = 0
+    for x, found in zip(sets, ngram_join.near(rows, rows, similarity)):
+        similar = {k for k, s in enumerate(sets) if 5 * len(np.intersect1d(s, x)) >= 4 * len(np.union1d(s, x))}
+        assert similar <= set(found.tolist()) and len(set(found.tolist())) == len(found)
+        kept += len(found)
+    assert kept < len(sets) ** 2 / 5
+    assert [len(f) for f in ngram_join.near(rows[:2], [], similarity)] == [0, 0]
+
+
+def test_sets_of_a_large_block_go_only_where_they_may_be_similar(frame, tmp_path, monkeypatch):
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(48):  # alike enough to meet, too far apart to be linked
+        words = list(base)
+        for k in rng.choice(200, 6, replace=False):
+            words[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, rows[i][1] + " more") for i in (3, 20, 41)]
+    calls, task = [], ngram_join._chunk_task
+
+    def counting(similarity):
+        folder = tmp_path / str(len(calls))
+        folder.mkdir()
+        calls.append(folder)
+        run, place = task(similarity), str(folder)
+
+        def counted(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import uuid
+
+            tables = list(tables)
+            with open(f"{place}/{uuid.uuid4().hex}", "w") as out:
+                out.write(str(sum(t.num_rows for t in tables)))
+            yield from run(iter(tables))
+
+        return counted
+
+    monkeypatch.setattr(ngram_join, "_chunk_task", counting)
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.join(frame(rows), 80, 5, 8).collect()}
+    assert found == brute_components(rows, 80, 5)[1]
+    assert found[103] == 3 and len(set(found.values())) == 48
+    sent = sum(int(f.read_text()) for f in calls[-1].iterdir())
+    assert sent <= len(rows)
+
+
 def test_similar_sets_share_a_node():
     rng = np.random.default_rng(9)
     for percent in (80, 90):
