@@ -113,7 +113,7 @@ class Similarity:
 
 
 def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
-    """doc_id, size, print (128 bits of the set), and the set itself if asked for (``extra``)."""
+    """doc_id, size, print (128 bits of the set), and the set itself (``extra``) with its sketch if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,10 +126,11 @@ def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
             names = ["doc_id", "size", "print"]
             if extra:
                 columns.append(pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())))
-                names.append("shingles")
+                columns.append(pa.array([sketch(s).tobytes() for s in sets], pa.binary()))
+                names += [extra, "sketch"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, size long, print binary" + (", shingles array<long>" if extra else "")
+    schema = "doc_id long, size long, print binary" + (f", {extra} array<long>, sketch binary" if extra else "")
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), schema)
 
 
@@ -314,14 +315,6 @@ def near(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]]
         yield np.concatenate(found)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The column of sets (the last one) as sizes and sketches."""
-    for batch in batches:
-        sets = [np.asarray(s.values, np.int64) for s in batch.column(batch.num_columns - 1)]
-        sizes, sketches = pa.array(map(len, sets), pa.int64(), size=len(sets)), pa.array([sketch(s).tobytes() for s in sets], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes, sketches], [*batch.schema.names[:-1], "size", "sketch"])
-
-
 def _near_task(similarity: Similarity):
     """Sets of unlinked components that may be similar, once for each pair of their chunks (i, j) where they may."""
 
@@ -509,7 +502,7 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     ids = blocks.select("doc_id")
     met_texts = texts.join(F.broadcast(ids) if met <= BROADCAST_ROWS else ids, "doc_id", "left_semi")
     # The shingles come out of a Python task: signed, so ordered as signed numbers.
-    sets = _sets(met_texts, n, "shingles").select("doc_id", F.array_sort("shingles").alias("shingles"))
+    sets = _sets(met_texts, n, "shingles").select("doc_id", "size", F.array_sort("shingles").alias("shingles"), "sketch")
     repeated = not sized.groupBy("doc_id").count().filter("count > 1").isEmpty()
     sets = stored(sets.dropDuplicates(["doc_id"]) if repeated else sets)
 
@@ -527,7 +520,8 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     star = stored(held.select("a", "b", F.pmod(F.xxhash64("a"), chunks).cast("int").alias("i")))
     roles = [star.select("b", "i", F.col("a").alias("doc_id"), F.lit(1).alias("side")), star.select("b", "i", F.col("b").alias("doc_id"), F.lit(0).alias("side")).distinct()]
     met_there = stored(roles[0].union(roles[1]).withColumn("component", F.col("doc_id")))
-    along = stored(sets.join(small(met_there), "doc_id").groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))
+    whole_sets = sets.select("doc_id", "shingles")
+    along = stored(whole_sets.join(small(met_there), "doc_id").groupBy("b", "i").applyInArrow(_chunk_task(similarity), "a long, b long"))
     release(met_there, star)
     reached = components(along).withColumnsRenamed({"id": "doc_id", "component": "reached"})
     members = blocks.join(reached, "doc_id", "left").select("doc_id", "block", F.coalesce("reached", "doc_id").alias("component"))
@@ -555,17 +549,17 @@ def join(docs: DataFrame, percent: int, n: int, chunk: int = CHUNK) -> DataFrame
     whole = placed.filter("loose + fixed = 1").select("block", "doc_id", "component", zero.alias("i"), zero.alias("j"), zero.alias("side"))
     # Blocks of several chunks: only the sketches meet in all pairs of (larger) chunks.
     several = placed.filter("loose + fixed > 1")
-    several = sets.join(small(several), "doc_id").select(*several.columns, "shingles")
-    sketched = stored(several.mapInArrow(tidy(_sketches), "doc_id long, block long, component long, chunk int, loose int, fixed int, size long, sketch binary"))
     close = (
-        sketched.withColumn("task", F.explode(_pairs_of_chunks(SKETCH_CHUNKS)))
+        sets.select("doc_id", "size", "sketch")
+        .join(small(several), "doc_id")
+        .withColumn("task", F.explode(_pairs_of_chunks(SKETCH_CHUNKS)))
         .select("doc_id", "block", "component", "chunk", "size", "sketch", "task.*")
         .groupBy("block", "i", "j")
         .applyInArrow(tidy(_near_task(similarity)), "block long, doc_id long, component long, i int, j int, side int")
     )
     dealt = whole.union(close)
     dealt = small(stored(dealt))
-    found = stored(sets.join(dealt, "doc_id").groupBy("block", "i", "j").applyInArrow(_chunk_task(similarity), "a long, b long"))
+    found = stored(whole_sets.join(dealt, "doc_id").groupBy("block", "i", "j").applyInArrow(_chunk_task(similarity), "a long, b long"))
     release(sets)
     joined = components(along.union(found)).withColumnsRenamed({"id": "class_id", "component": "joined"})
     of_class = stored(classes.join(joined, "class_id", "left").select("print", "class_id", F.coalesce("joined", "class_id").alias("component")))
