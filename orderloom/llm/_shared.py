@@ -164,6 +164,13 @@ def slices(texts: list[bytes], most: int = 1 << 20) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
+def pieces(batches: Iterator, rows: int = 1000) -> Iterator:
+    """The batches in pieces of so many rows, so that only one piece's texts and results are held at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def as_bytes(column) -> list[bytes]:
     """The UTF-8 bytes of an Arrow string column; null counts as empty."""
     import pyarrow as pa

@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, release, shingles, slices, small, stored, tidy, word_hashes
+from orderloom.llm._shared import BROADCAST_ROWS, as_bytes, mix, pieces, release, shingles, slices, small, stored, tidy, word_hashes
 from orderloom.llm.links import components
 
 #: Sets that one trie task holds at most of each of its two chunks.
@@ -116,7 +116,7 @@ def _sets(docs: DataFrame, n: int, extra: str = "") -> DataFrame:
     """doc_id, size, print (128 bits of the set), and the set itself (``extra``) with its sketch if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts, sets = as_bytes(batch.column(1)), []
             for part in slices(texts, SLICE):
                 hashes, begins = word_hashes(texts[part])
@@ -148,7 +148,7 @@ def popular_shingles(docs: DataFrame, n: int, total: int, parts: int = 16) -> np
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
+        for batch in pieces(batches):
             texts = as_bytes(batch.column(0))
             for part in slices(texts, SLICE):
                 hashes, begins = word_hashes(texts[part])
@@ -200,7 +200,7 @@ def stars(docs: DataFrame, similarity: Similarity, n: int, buckets: int, popular
             yield from _hung(key, doc, buckets)
 
         pending = 0
-        for batch in batches:
+        for batch in pieces(batches):
             texts, numbers = as_bytes(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
             for part in slices(texts, SLICE):
                 hashes, begins = word_hashes(texts[part])
