@@ -361,17 +361,18 @@ def loyalty_categories(by_category: DataFrame, k: int = 30) -> DataFrame:
 
 
 def leading_loyalty_categories(by_category: DataFrame, k: int = 8) -> DataFrame:
-    """All rows of the ``k`` categories with the most revenue, ranked over the whole table."""
+    """All rows of the ``k`` categories with the most revenue, ranked over the whole table, which is read once."""
     rows = by_category.filter(F.col("item_category").isNotNull()).select(
         "item_category", "loyalty_label", "total_revenue", "total_orders", "unique_customers"
     )
-    leaders = (
+    by_label = F.collect_list(F.struct(*(name for name in rows.columns if name != "item_category")))
+    return (
         rows.groupBy("item_category")
-        .agg(total(F.col("total_revenue")).alias("revenue"))
+        .agg(total(F.col("total_revenue")).alias("revenue"), by_label.alias("rows"))
         .orderBy(*_desc("revenue", "item_category"))
         .limit(k)
+        .select("item_category", F.inline("rows"))
     )
-    return rows.join(leaders.select("item_category"), "item_category", "left_semi")
 
 
 def loyalty_trend(monthly: DataFrame) -> DataFrame:

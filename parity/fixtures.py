@@ -115,14 +115,17 @@ def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discounts.unionByName(_options_of(_with_line_item(lines), *_side()))
 
 
-def raw_by_line(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Raw line items, without names and categories, and raw options, from lines dealt out by line item once for both.
+def raw_by_line(spark: SparkSession, sf_dir: str, *named: str) -> tuple[DataFrame, DataFrame]:
+    """Raw line items, with those of their part's columns that are named, and raw options, from lines dealt out by line
+    item once for both.
 
     Lines without an order or part stay, as their options do. Records without a key, and copies of a line item or side
     that repeated parts or orders make or do not make here, are what Silver drops. A line travels as one value, so both
     readers need the same columns and Spark shuffles them once.
     """
-    parts = _table(spark, sf_dir, "part").select("p_partkey").distinct()
+    parts = _table(spark, sf_dir, "part").select("p_partkey", *named).distinct()
+    if named:
+        parts = parts.groupBy("p_partkey").agg(F.min(F.struct(*named)).alias("part")).select("p_partkey", "part.*")
     joined = (
         _with_line_item(_table(spark, sf_dir, "lineitem"))
         .filter(F.col("lineitem_id").isNotNull() & _order().isNotNull())
@@ -133,15 +136,16 @@ def raw_by_line(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         *("l_orderkey", "l_partkey", "l_quantity", "l_tax", "l_shipdate", "o_custkey", "o_orderdate", "promoted"),
         # NULL without an order
         F.expr("CASE WHEN o_orderkey IS NOT NULL THEN p_partkey IS NOT NULL END").alias("has_part"),
+        *named,
         # what the prices are cast to, in fewer bytes
         F.expr("CASE WHEN o_orderkey IS NOT NULL THEN CAST(l_extendedprice AS DECIMAL(10,2)) END").alias("l_extendedprice"),
         F.expr("CASE WHEN o_orderkey IS NOT NULL THEN CAST(l_discount AS DECIMAL(3,2)) END").alias("l_discount"),
     )
     dealt = joined.select("lineitem_id", F.array(line).alias("line")).repartition("lineitem_id").select("lineitem_id", F.inline("line"))
-    nameless = dealt.filter("has_part").withColumns({name: F.lit(None).cast("string") for name in ("p_name", "p_type")})
+    nameless = {name: F.lit(None).cast("string") for name in ("p_name", "p_type") if name not in named}
     promotion, side = F.struct(*_promotion()), F.struct(*_side())
     bought = F.when(F.col("has_part").isNotNull(), F.array(promotion, side)).otherwise(F.array(side))
-    return _items_of(nameless), _options_of(dealt, F.inline(bought))
+    return _items_of(dealt.filter("has_part").withColumns(nameless)), _options_of(dealt, F.inline(bought))
 
 
 def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,14 +219,14 @@ def priced_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priced_items(items(spark, sf_dir), bought, by_line=True)
 
 
-def _sums_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Priced lines for order facts only: they hold no names or categories."""
-    lines, bought = raw_by_line(spark, sf_dir)
+def sums_by_line(spark: SparkSession, sf_dir: str, *named: str) -> DataFrame:
+    """Priced lines for sums: of names and categories they hold only the part's columns that are named."""
+    lines, bought = raw_by_line(spark, sf_dir, *named)
     return priced_items(items(spark, sf_dir, lines), options(spark, sf_dir, bought), by_line=True)
 
 
 def net_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_facts(_sums_by_line(spark, sf_dir))
+    return order_facts(sums_by_line(spark, sf_dir))
 
 
 def gross_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
@@ -240,4 +244,4 @@ def lines_and_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) ->
 def stored_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ()) -> DataFrame:
     """For plans that read the facts several times, or whether an order has a discount: summed up and stored once,
     all of them or such columns only."""
-    return order_facts(_sums_by_line(spark, sf_dir), lambda sums: stored(sums.select(*columns or sums.columns)))
+    return order_facts(sums_by_line(spark, sf_dir), lambda sums: stored(sums.select(*columns or sums.columns)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from orderloom.context import stored
 from orderloom.operators.order_facts import order_facts, priced_items
-from orderloom.plans import churn, discount, loyalty, silver
+from orderloom.plans import churn, discount, loyalty, reports, silver
 from parity import fixtures
 from tests.conftest import SF_DIR
 
@@ -152,3 +152,38 @@ def test_lines_are_shuffled_once_for_line_items_and_options(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_lines_dealt_out_once_hold_the_names_asked_for(spark, odd_tables):
+    lines, _ = fixtures.raw_by_line(spark, odd_tables, "p_name", "p_type")
+    found, plain = silver.order_items(lines, fixtures.ITEM_TIES), fixtures.items(spark, odd_tables)
+    assert found.dtypes == plain.dtypes and plain.filter("item_category IS NOT NULL").count()
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    tables = [loyalty.loyalty_by_category(df) for df in (fixtures.sums_by_line(spark, odd_tables, "p_type"), fixtures.priced(spark, odd_tables))]
+    assert len({tuple(sorted(map(str, df.collect()))) for df in tables}) == 1
+
+
+@pytest.mark.parametrize("name", ["gold_loyalty_by_category", "report_leading_loyalty_categories"])
+def test_loyalty_categories_shuffle_lines_once_by_each_key(spark, name):
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        plan = registry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().splitlines()
+        made = [line for line in plan if "Exchange hashpartitioning(" in line and "ReusedExchange" not in line]
+        assert [sum(f"({key}" in line for line in made) for key in ("l_orderkey", "l_partkey", "lineitem_id")] == [1, 1, 1]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_leading_loyalty_categories_are_whole_and_read_once(spark):
+    rows = [("a", "x", 5), ("a", "y", 1), ("b", "x", 6), ("c", None, None), ("c", "x", 2), (None, "x", 99), ("d", "y", 3)]
+    table = spark.createDataFrame(rows, "item_category string, loyalty_label string, revenue int").select(
+        "*", *(F.col("revenue").cast(kind).alias(c) for c, kind in (("total_revenue", "decimal(22,2)"), ("total_orders", "bigint"), ("unique_customers", "bigint")))
+    )
+    found = reports.leading_loyalty_categories(table, k=3)
+    assert found.columns == ["item_category", "loyalty_label", "total_revenue", "total_orders", "unique_customers"]
+    assert {(r[0], r[1], r[3]) for r in found.collect()} == {row for row in rows if row[0] in ("b", "a", "d")}
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
