@@ -98,11 +98,30 @@ def stored(df: DataFrame) -> DataFrame:
     """Parquet in the shared folder, for tables that several parts of a plan read.
 
     Like ``cut_lineage``, but columns are packed and readers take only those they need, so it fits rows of lines or
-    orders. Rows may come back in other partitions. The files go when the driver's JVM ends.
+    orders. Rows may come back in other partitions. The files go with ``release``, or else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of what has been stored: it does so once the driver's JVM has collected them.
+
+    Listeners hold on to the last query's plan until another one ends, so a tiny one is run before.
+    """
+    spark.range(1).collect()
+    spark._jvm.System.gc()
+
+
+def release(*frames: DataFrame) -> None:
+    """Removes the files of ``stored`` frames that nothing reads any more, and the shuffles they were made with."""
+    for df in frames:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+    drop_shuffles(frames[0].sparkSession)

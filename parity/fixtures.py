@@ -9,12 +9,13 @@ share an ingestion time and belongs to no table. Works on whole tables.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.context import stored
-from orderloom.operators.changes import differing, replaced
+from orderloom.context import drop_shuffles, release, stored
+from orderloom.operators.changes import differing_by, replaced
 from orderloom.operators.order_facts import order_facts, priced_columns, priced_items
 from orderloom.plans import silver
 
@@ -172,10 +173,10 @@ def items(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> Dat
     return silver.order_items(raw_order_items(spark, sf_dir) if raw is None else raw, ITEM_TIES)
 
 
-def correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+def correction(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """A later load: every line again, those of large quantities three days on and a unit dearer, all others as they were."""
     large = F.expr("COALESCE(item_quantity > 40, FALSE)")
-    return raw_order_items(spark, sf_dir).withColumns(
+    return (raw_order_items(spark, sf_dir) if raw is None else raw).withColumns(
         {
             "item_price": F.when(large, F.expr("CAST(item_price + 1 AS DECIMAL(10,2))")).otherwise(F.col("item_price")),
             "creation_time_utc": F.when(large, F.expr("creation_time_utc + INTERVAL '3' DAY")).otherwise(F.col("creation_time_utc")),
@@ -183,17 +184,35 @@ def correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_together(*frames: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Frames that are made from one shuffle, stored in one pass: the table they share, and each with its own rows and
+    columns."""
+    numbered = [df.withColumn("_frame", F.lit(k)) for k, df in enumerate(frames)]
+    table = stored(reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), numbered))
+    return table, [table.filter(F.col("_frame") == k).select(df.columns) for k, df in enumerate(frames)]
+
+
 def facts_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order facts kept up after the correction: only the orders it changed are priced and summed up again."""
-    before = stored(priced_columns(items(spark, sf_dir)))
-    bought = stored(options(spark, sf_dir).select("order_id", "lineitem_id", "option_price", "is_discount"))
-    arriving = stored(priced_columns(silver.order_items(correction(spark, sf_dir), ITEM_TIES)))
+    """Order facts kept up after the correction: only the orders it changed are priced and summed up again.
+
+    Both loads and the options are made where the lines lie by line item. What a step shuffled goes before the next one
+    begins, and what it stored once nothing reads it.
+    """
+    lines, bought = raw_by_line(spark, sf_dir, "p_name", "p_type")
+    loads = (priced_columns(items(spark, sf_dir, raw)) for raw in (lines, correction(spark, sf_dir, lines)))
+    bought = options(spark, sf_dir, bought).select("order_id", "lineitem_id", "option_price", "is_discount")
+    made, (before, arriving, bought) = _stored_together(*loads, bought)
+    drop_shuffles(spark)
     after = stored(silver.corrected(before, arriving))
-    touched = stored(differing(priced_columns(before), priced_columns(after), "order_id"))
+    drop_shuffles(spark)
+    touched = stored(differing_by(before, after, ["order_id", "lineitem_id"], "order_id"))
+    drop_shuffles(spark)
     of_touched = priced_items(*(df.join(touched, "order_id", "left_semi") for df in (after, bought)))
-    return replaced(
-        order_facts(priced_items(before, bought), stored), order_facts(of_touched, stored), touched, "order_id"
-    )
+    changed = order_facts(of_touched, stored)
+    release(after)
+    facts = order_facts(priced_items(before, bought), stored)
+    release(made)
+    return replaced(facts, changed, touched, "order_id")
 
 
 def options(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:

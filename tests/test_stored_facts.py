@@ -187,3 +187,35 @@ def test_leading_loyalty_categories_are_whole_and_read_once(spark):
     assert found.columns == ["item_category", "loyalty_label", "total_revenue", "total_orders", "unique_customers"]
     assert {(r[0], r[1], r[3]) for r in found.collect()} == {row for row in rows if row[0] in ("b", "a", "d")}
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_frames_stored_together_come_back_as_they_were(spark):
+    one = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "k bigint, name string")
+    two = spark.createDataFrame([("7.50", 1)], "price string, k bigint").withColumn("price", F.col("price").cast("decimal(10,2)"))
+    table, found = fixtures._stored_together(one, two, one.limit(0))
+    assert [df.dtypes for df in found] == [one.dtypes, two.dtypes, one.dtypes]
+    assert [sorted(map(str, df.collect())) for df in found] == [sorted(map(str, df.collect())) for df in (one, two, one.limit(0))]
+    assert {path.rsplit("/", 1)[0] for df in found for path in df.inputFiles()} == {table.inputFiles()[0].rsplit("/", 1)[0]}
+
+
+def test_correction_joins_lines_once_and_keeps_nothing_it_has_read(spark, odd_tables, monkeypatch):
+    kept, plans = [], []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        kept.append(stored(df))
+        return kept[-1]
+
+    monkeypatch.setattr(fixtures, "stored", seen)
+    found = registry.queries()["order_facts_after_correction"](spark, SF_DIR)
+    assert sum("l_shipdate" in plan for plan in plans) == 1
+    left = {path.rsplit("/", 1)[0] for path in found.inputFiles()}
+    folder = spark._jvm.java.io.File
+    there = [folder(df.stored_at.removeprefix("file:")).exists() for df in kept]
+    assert there.count(False) == 2 and all(folder(path.removeprefix("file://")).exists() for path in left)
+    again = registry.queries()["order_facts_after_correction"](spark, odd_tables)
+    after = silver.corrected(
+        fixtures.items(spark, odd_tables), silver.order_items(fixtures.correction(spark, odd_tables), fixtures.ITEM_TIES)
+    )
+    plain = order_facts(priced_items(after, fixtures.options(spark, odd_tables)))
+    assert again.dtypes == plain.dtypes and sorted(map(str, again.collect())) == sorted(map(str, plain.collect()))
